@@ -12,8 +12,42 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {
     "daily_kpi": kpi.daily_kpi,
+    "derive_time_columns": kpi.derive_time_columns,
+    "conditional_revenue": kpi.conditional_revenue,
+    "filter_non_negative": kpi.filter_non_negative,
+    "removed_row_count": kpi.removed_row_count,
+    "broadcast_left_enrich": kpi.broadcast_left_enrich,
+    "repartition_user_join": kpi.repartition_user_join,
+    "kpi_grouped": kpi.kpi_grouped,
+    "repartition_group_agg": kpi.repartition_group_agg,
+    "conditional_count": kpi.conditional_count,
+    "distinct_users": kpi.distinct_users,
+    "rolling_sum_7_rows": kpi.rolling_sum_7_rows,
+    "kpi_sorted_preview": kpi.kpi_sorted_preview,
+    "kpi_partitioned_roundtrip": kpi.kpi_partitioned_roundtrip,
+    "kpi_first_partition": kpi.kpi_first_partition,
+    "kpi_single_file_roundtrip": kpi.kpi_single_file_roundtrip,
+    "kpi_file_layout": kpi.kpi_file_layout,
+    "kpi_partition_list": kpi.kpi_partition_list,
 }
 
 ORACLE: dict[str, str] = {
     "daily_kpi": oracle.DAILY_KPI,
+    "derive_time_columns": oracle.DERIVE_TIME_COLUMNS,
+    "conditional_revenue": oracle.CONDITIONAL_REVENUE,
+    "filter_non_negative": oracle.FILTER_NON_NEGATIVE,
+    "removed_row_count": oracle.REMOVED_ROW_COUNT,
+    "broadcast_left_enrich": oracle.BROADCAST_LEFT_ENRICH,
+    "repartition_user_join": oracle.BROADCAST_LEFT_ENRICH,
+    "kpi_grouped": oracle.KPI_GROUPED,
+    "repartition_group_agg": oracle.KPI_GROUPED,
+    "conditional_count": oracle.CONDITIONAL_COUNT,
+    "distinct_users": oracle.DISTINCT_USERS,
+    "rolling_sum_7_rows": oracle.ROLLING_SUM_7_ROWS,
+    "kpi_sorted_preview": oracle.KPI_SORTED_PREVIEW,
+    "kpi_partitioned_roundtrip": oracle.DAILY_KPI,
+    "kpi_first_partition": oracle.KPI_FIRST_PARTITION,
+    "kpi_single_file_roundtrip": oracle.DAILY_KPI,
+    "kpi_file_layout": oracle.KPI_FILE_LAYOUT,
+    "kpi_partition_list": oracle.KPI_PARTITION_LIST,
 }
