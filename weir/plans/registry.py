@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.plans import kpi, oracle
+from weir.plans import formats, kpi, oracle, sql_reports
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,17 @@ QUERIES: dict[str, QueryFn] = {
     "kpi_single_file_roundtrip": kpi.kpi_single_file_roundtrip,
     "kpi_file_layout": kpi.kpi_file_layout,
     "kpi_partition_list": kpi.kpi_partition_list,
+    "outer_join_range_on": sql_reports.outer_join_range_on,
+    "repeat_buyers": sql_reports.repeat_buyers,
+    "alibi_intersection": sql_reports.alibi_intersection,
+    "alibi_intersection_df": sql_reports.alibi_intersection_df,
+    "union_table_counts": sql_reports.union_table_counts,
+    "filter_greater": sql_reports.filter_greater,
+    "global_average": sql_reports.global_average,
+    "sql_group_avg_desc": sql_reports.sql_group_avg_desc,
+    "csv_inferred_roundtrip": formats.csv_inferred_roundtrip,
+    "csv_declared_load": formats.csv_declared_load,
+    "jsonl_gz_nested_roundtrip": formats.jsonl_gz_nested_roundtrip,
 }
 
 ORACLE: dict[str, str] = {
@@ -50,4 +61,15 @@ ORACLE: dict[str, str] = {
     "kpi_single_file_roundtrip": oracle.DAILY_KPI,
     "kpi_file_layout": oracle.KPI_FILE_LAYOUT,
     "kpi_partition_list": oracle.KPI_PARTITION_LIST,
+    "outer_join_range_on": oracle.OUTER_JOIN_RANGE_ON,
+    "repeat_buyers": oracle.REPEAT_BUYERS,
+    "alibi_intersection": oracle.ALIBI_INTERSECTION,
+    "alibi_intersection_df": oracle.ALIBI_INTERSECTION,
+    "union_table_counts": oracle.UNION_TABLE_COUNTS,
+    "filter_greater": oracle.FILTER_GREATER,
+    "global_average": oracle.GLOBAL_AVERAGE,
+    "sql_group_avg_desc": oracle.SQL_GROUP_AVG_DESC,
+    "csv_inferred_roundtrip": oracle.CSV_INFERRED_ROUNDTRIP,
+    "csv_declared_load": oracle.CSV_DECLARED_LOAD,
+    "jsonl_gz_nested_roundtrip": oracle.JSONL_GZ_NESTED_ROUNDTRIP,
 }

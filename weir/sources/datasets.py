@@ -53,7 +53,7 @@ def kpi_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(
             event_price(F.col("event_id"), F.col("value")).alias("price"),
             F.when(is_purchase, F.lit("card")).alias("payment_method"),
-            F.when(~is_purchase, (F.col("value") * 100).cast("int")).alias("dwell_ms"),
+            F.when(~is_purchase, F.floor(F.col("value") * 100).cast("int")).alias("dwell_ms"),
         ).alias("props"),
         F.struct(F.when(F.col("event_id") % 2 == 0, "A").otherwise("B").alias("ab_group")).alias("exp"),
     )
@@ -79,3 +79,63 @@ def kpi_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("country"),
         (F.col("c_acctbal") > 0).alias("marketing_opt_in"),
     )
+
+
+# ------------------------------------------------------- lab03 (presence)
+
+def _badge(key) -> Column:
+    return F.concat(F.lit("BDG-"), key.cast("string"))
+
+
+def lab_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """people: person_id, full_name, team, badge_uid (from customer)."""
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").cast("int").alias("person_id"),
+        F.col("c_name").alias("full_name"),
+        F.col("c_mktsegment").alias("team"),
+        _badge(F.col("c_custkey")).alias("badge_uid"),
+    )
+
+
+def lab_swipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """swipes: badge_uid, session_code, ts (one per order)."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(
+        _badge(F.col("o_custkey")).alias("badge_uid"),
+        F.col("o_orderstatus").alias("session_code"),
+        F.col("o_orderdate").alias("ts"),
+    )
+
+
+def lab_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """sessions: session_code, session_name (the distinct codes)."""
+    o = read_table(spark, sf_dir, "orders")
+    codes = o.select(F.col("o_orderstatus").alias("session_code")).distinct()
+    return codes.withColumn("session_name", F.concat(F.lit("SESSION "), F.col("session_code")))
+
+
+def lab_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """purchases: purchase_id, badge_uid, location, product, qty, ts."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").cast("int").alias("purchase_id"),
+        _badge(F.col("o_custkey")).alias("badge_uid"),
+        F.lit("cafeteria").alias("location"),
+        F.col("o_orderpriority").alias("product"),
+        F.lit(1).alias("qty"),
+        F.col("o_orderdate").alias("ts"),
+    )
+
+
+# ------------------------------------------------------ microlab (people)
+
+def sample_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, name, age, city (from customer: age = 20 + nation key)."""
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").cast("int").alias("id"),
+        F.col("c_name").alias("name"),
+        (F.col("c_nationkey") + 20).cast("int").alias("age"),
+        F.col("c_mktsegment").alias("city"),
+    )
