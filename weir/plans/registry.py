@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.plans import formats, kpi, oracle, sql_reports
+from weir.plans import formats, ingest, kpi, oracle, sql_reports
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,15 @@ QUERIES: dict[str, QueryFn] = {
     "csv_inferred_roundtrip": formats.csv_inferred_roundtrip,
     "csv_declared_load": formats.csv_declared_load,
     "jsonl_gz_nested_roundtrip": formats.jsonl_gz_nested_roundtrip,
+    "flatten_nested_load": ingest.flatten_nested_load,
+    "insert_if_absent": ingest.insert_if_absent,
+    "new_files_only": ingest.new_files_only,
+    "manifest_append": ingest.manifest_append,
+    "rows_loaded_per_file": ingest.rows_loaded_per_file,
+    "top10_recent": ingest.top10_recent,
+    "revenue_by_group": ingest.revenue_by_group,
+    "manifest_recent": ingest.manifest_recent,
+    "constraint_report": ingest.constraint_report,
 }
 
 ORACLE: dict[str, str] = {
@@ -72,4 +81,13 @@ ORACLE: dict[str, str] = {
     "csv_inferred_roundtrip": oracle.CSV_INFERRED_ROUNDTRIP,
     "csv_declared_load": oracle.CSV_DECLARED_LOAD,
     "jsonl_gz_nested_roundtrip": oracle.JSONL_GZ_NESTED_ROUNDTRIP,
+    "flatten_nested_load": oracle.FLATTEN_NESTED_LOAD,
+    "insert_if_absent": oracle.INSERT_IF_ABSENT,
+    "new_files_only": oracle.NEW_FILES_ONLY,
+    "manifest_append": oracle.MANIFEST_APPEND,
+    "rows_loaded_per_file": oracle.ROWS_LOADED_PER_FILE,
+    "top10_recent": oracle.TOP10_RECENT,
+    "revenue_by_group": oracle.REVENUE_BY_GROUP,
+    "manifest_recent": oracle.MANIFEST_RECENT,
+    "constraint_report": oracle.CONSTRAINT_REPORT,
 }

@@ -139,3 +139,45 @@ def sample_people(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_nationkey") + 20).cast("int").alias("age"),
         F.col("c_mktsegment").alias("city"),
     )
+
+
+# ------------------------------------------------------ lab05 (fuel export)
+
+FUEL_FILES = 4  # source_file = fuel_export_<l_orderkey % 4>.parquet
+FUEL_LOADED_BEFORE = ("fuel_export_0.parquet",)  # already in the manifest
+
+
+def fuel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuel export rows (D6 shape) with the export file each belongs to."""
+    from weir.operators.joins import broadcast_if_bounded
+
+    li = read_table(spark, sf_dir, "lineitem")
+    part, _ = broadcast_if_bounded(
+        read_table(spark, sf_dir, "part").select(F.col("p_partkey"), F.col("p_brand").alias("franchise"))
+    )
+    li = li.join(part, li["l_partkey"] == part["p_partkey"], "left")
+    pk = F.col("l_partkey")
+    return li.select(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+        .alias("transaction_id"),
+        F.col("l_suppkey").cast("int").alias("station_id"),
+        F.when(pk % 10 == 0, F.lit(None)).otherwise(
+            F.struct(F.col("l_linenumber").cast("short").alias("bay"), F.col("l_returnflag").alias("level"))
+        ).alias("dock"),
+        F.concat(F.lit("SHIP-"), (pk % 50).cast("string")).alias("ship_name"),
+        "franchise",
+        F.concat(F.lit("Captain "), F.col("l_suppkey").cast("string")).alias("captain_name"),
+        F.col("l_linestatus").alias("species"),
+        F.col("l_returnflag").alias("fuel_type"),
+        F.col("l_quantity").cast("float").alias("fuel_units"),
+        F.col("l_discount").cast("decimal(8,2)").alias("price_per_unit"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("total_cost"),
+        F.when(pk % 7 == 0, F.lit(None)).otherwise(F.array("l_linestatus", "l_returnflag")).alias("services"),
+        F.when(pk % 13 == 0, F.lit(None)).otherwise(F.col("l_discount") > 0.09).alias("is_emergency"),
+        F.col("l_shipdate").cast("timestamp").alias("visited_at"),
+        F.col("l_shipdate").cast("date").alias("arrival_date"),
+        pk.cast("double").alias("coords_x"),
+        F.col("l_tax").alias("coords_y"),
+        F.concat(F.lit("fuel_export_"), (F.col("l_orderkey") % FUEL_FILES).cast("string"), F.lit(".parquet"))
+        .alias("source_file"),
+    )
