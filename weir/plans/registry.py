@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.plans import formats, ingest, kpi, oracle, sql_reports
+from weir.plans import formats, ingest, kpi, oracle, sql_reports, streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,9 @@ QUERIES: dict[str, QueryFn] = {
     "revenue_by_group": ingest.revenue_by_group,
     "manifest_recent": ingest.manifest_recent,
     "constraint_report": ingest.constraint_report,
+    "decode_payload": streams.decode_payload,
+    "stream_batches": streams.stream_batches,
+    "file_stream_ingest": streams.file_stream_ingest,
 }
 
 ORACLE: dict[str, str] = {
@@ -90,4 +93,7 @@ ORACLE: dict[str, str] = {
     "revenue_by_group": oracle.REVENUE_BY_GROUP,
     "manifest_recent": oracle.MANIFEST_RECENT,
     "constraint_report": oracle.CONSTRAINT_REPORT,
+    "decode_payload": oracle.DECODE_PAYLOAD,
+    "stream_batches": oracle.STREAM_BATCHES,
+    "file_stream_ingest": oracle.FILE_STREAM_INGEST,
 }

@@ -181,3 +181,31 @@ def fuel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("fuel_export_"), (F.col("l_orderkey") % FUEL_FILES).cast("string"), F.lit(".parquet"))
         .alias("source_file"),
     )
+
+
+# -------------------------------------------------------- minilab (stream)
+
+STREAM_TOPIC = "demo"
+STREAM_PARTITIONS = 3  # partition = event_id % 3, offset = event_id div 3
+
+
+def stream_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broker envelopes (key, value, topic, partition, offset, timestamp)
+    whose value is the Avro payload of one event."""
+    from weir.functions.avro import encode_payload
+    from weir.functions.columns import ntz_to_epoch_millis
+
+    e = read_table(spark, sf_dir, "events")
+    return e.select(
+        F.lit(None).cast("binary").alias("key"),
+        encode_payload(
+            F.concat(F.lit("u_"), F.col("user_id").cast("string")),
+            F.col("event_type"),
+            F.col("value"),
+            ntz_to_epoch_millis(F.col("ts")),
+        ).alias("value"),
+        F.lit(STREAM_TOPIC).alias("topic"),
+        (F.col("event_id") % STREAM_PARTITIONS).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / STREAM_PARTITIONS).cast("long").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
