@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.plans import formats, ingest, kpi, oracle, sql_reports, streams
+from weir.plans import formats, ingest, kpi, logs, oracle, orders, sql_reports, streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,16 @@ QUERIES: dict[str, QueryFn] = {
     "decode_payload": streams.decode_payload,
     "stream_batches": streams.stream_batches,
     "file_stream_ingest": streams.file_stream_ingest,
+    "order_totals": orders.order_totals,
+    "order_fields_csv": orders.order_fields_csv,
+    "order_validation": orders.order_validation,
+    "fetch_outcomes": orders.fetch_outcomes,
+    "fetched_only": orders.fetched_only,
+    "fetch_uniqueness": orders.fetch_uniqueness,
+    "parse_access_log": logs.parse_access_log,
+    "error_counts": logs.error_counts,
+    "users_flatten": logs.users_flatten,
+    "log_user_join": logs.log_user_join,
 }
 
 ORACLE: dict[str, str] = {
@@ -96,4 +106,14 @@ ORACLE: dict[str, str] = {
     "decode_payload": oracle.DECODE_PAYLOAD,
     "stream_batches": oracle.STREAM_BATCHES,
     "file_stream_ingest": oracle.FILE_STREAM_INGEST,
+    "order_totals": oracle.ORDER_TOTALS,
+    "order_fields_csv": oracle.ORDER_FIELDS_CSV,
+    "order_validation": oracle.ORDER_VALIDATION,
+    "fetch_outcomes": oracle.FETCH_OUTCOMES,
+    "fetched_only": oracle.FETCHED_ONLY,
+    "fetch_uniqueness": oracle.FETCH_UNIQUENESS,
+    "parse_access_log": oracle.PARSE_ACCESS_LOG,
+    "error_counts": oracle.ERROR_COUNTS,
+    "users_flatten": oracle.USERS_FLATTEN,
+    "log_user_join": oracle.LOG_USER_JOIN,
 }

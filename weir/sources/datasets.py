@@ -209,3 +209,147 @@ def stream_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("event_id") / STREAM_PARTITIONS).cast("long").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
+
+
+# ------------------------------------------------------------ HW1 (orders)
+
+# Fixed values of the order service: tax rate by currency, status names.
+TAX_RATE_USD = "0.07"
+TAX_RATE_OTHER = "0.20"
+ORDER_STATUSES = ("created", "confirmed", "invoiced", "paid")
+ORDER_CURRENCIES = ("USD", "EUR", "GBP")
+
+
+def order_currency(order_key: Column) -> Column:
+    return F.when(order_key % 3 == 0, F.lit("USD")).otherwise(F.lit("EUR"))
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines, one row each (the exploded `lines` array): order_id,
+    sku, name, qty, unit_price, amount, usage_month. qty is 0 on every
+    50th part (invalid rows for the domain checks)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("name"),
+        F.when(F.col("l_partkey") % 50 == 0, F.lit(0)).otherwise(F.col("l_quantity").cast("int")).alias("qty"),
+        F.col("l_discount").cast("decimal(18,4)").alias("unit_price"),
+        F.round(F.col("l_extendedprice").cast("decimal(18,2)"), 2).alias("amount"),
+        F.date_format("l_shipdate", "yyyy-MM-01").alias("usage_month"),
+    )
+
+
+def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order header fields: order_id, account_id, company, contact, status,
+    currency, created_at, source."""
+    from weir.operators.joins import broadcast_if_bounded
+
+    o = read_table(spark, sf_dir, "orders")
+    c, _ = broadcast_if_bounded(
+        read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    )
+    j = o.join(c, o["o_custkey"] == c["c_custkey"], "left")
+    status = (
+        F.when(F.col("o_orderkey") % 40 == 0, F.lit("unknown"))
+        .when(F.col("o_orderstatus") == "F", F.lit("paid"))
+        .when(F.col("o_orderstatus") == "P", F.lit("invoiced"))
+        .otherwise(F.lit("created"))
+    )
+    return j.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("account_id"),
+        F.col("c_name").alias("company"),
+        F.struct(
+            F.col("c_name").alias("name"),
+            F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
+            F.concat(F.lit("+1-555-"), F.lpad(F.col("o_custkey").cast("string"), 7, "0")).alias("phone"),
+            F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("country"),
+        ).alias("contact"),
+        status.alias("status"),
+        order_currency(F.col("o_orderkey")).alias("currency"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
+        F.lit("mock").alias("source"),
+    )
+
+
+# ---------------------------------------------------- HW1 (fetch attempts)
+
+FETCH_MAX_ATTEMPTS = 5
+
+
+def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (item, attempt 1..5) with the status the service gave:
+    500 when (item*7 + n*3) % 10 = 0, 429 when (item*11 + n*5) % 17 = 0,
+    404 when (item + n) % 97 = 0, else 200 (first rule that holds)."""
+    o = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("item_id"))
+    a = o.select("item_id", F.explode(F.sequence(F.lit(1), F.lit(FETCH_MAX_ATTEMPTS))).alias("attempt"))
+    i, n = F.col("item_id"), F.col("attempt")
+    status = (
+        F.when((i * 7 + n * 3) % 10 == 0, F.lit(500))
+        .when((i * 11 + n * 5) % 17 == 0, F.lit(429))
+        .when((i + n) % 97 == 0, F.lit(404))
+        .otherwise(F.lit(200))
+    )
+    return a.withColumn("status", status)
+
+
+# ------------------------------------------------------ lab02 (access log)
+
+# Fixed values of the log format.
+LOG_METHODS = ("GET", "POST", "PUT", "PATCH", "DELETE")
+LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
+
+
+def user_ip(key: Column) -> Column:
+    return F.concat(F.lit("10.0."), F.floor(key / 50).cast("string"), F.lit("."), (key % 50).cast("string"))
+
+
+def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One combined-format access-log line per event (column `value`)."""
+    e = read_table(spark, sf_dir, "events")
+    is_err = F.col("event_type") == "error"
+    status = F.when(is_err, F.when(F.col("event_id") % 2 == 0, 404).otherwise(500)).otherwise(200)
+    level = F.when(is_err, F.lit("ERROR")).otherwise(F.lit("INFO"))
+    err_type = F.when(is_err, F.when(F.col("event_id") % 2 == 0, "NOT_FOUND").otherwise("TIMEOUT"))
+    method = F.element_at(F.array(*[F.lit(m) for m in LOG_METHODS]), (F.col("event_id") % 5 + 1).cast("int"))
+    query = F.when(F.col("event_id") % 4 == 0,
+                   F.concat(F.lit("?page="), (F.col("event_id") % 50).cast("string"), F.lit("&q=x"))) \
+        .otherwise(F.lit(""))
+    line = F.concat(
+        user_ip(F.col("user_id")), F.lit(" - - ["),
+        F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0000] \""),
+        method, F.lit(" /api/v1/items/"), F.get_json_object("props", "$.k"), query, F.lit(" HTTP/1.1\" "),
+        status.cast("string"), F.lit(" "), F.floor(F.col("value") * 100).cast("string"),
+        F.lit(" \"-\" \"agent-"), (F.col("user_id") % 7).cast("string"), F.lit("\" level="), level,
+        F.lit(" request_id="), F.lpad(F.lower(F.hex(F.col("event_id"))), 12, "0"),
+        F.coalesce(F.concat(F.lit(" error_type=ERROR:"), err_type), F.lit("")),
+    )
+    return e.select(line.alias("value"))
+
+
+def user_documents_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One user (D16 `users` element) per customer; ip shared with the log."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    langs = F.array(*[F.lit(x) for x in ("en", "es", "de", "fr", "ru", "zh")])
+    return c.select(
+        F.format_string("u%05d", k).alias("id"),
+        F.struct(
+            F.col("c_name").alias("name"),
+            F.lower(F.regexp_replace("c_name", "#", "_")).alias("username"),
+            user_ip(k).alias("ip"), F.lit("UTC").alias("tz"), F.lit("en_US").alias("locale"),
+        ).alias("profile"),
+        F.struct(
+            F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
+            F.concat(F.lit("+1-555-"), F.lpad(k.cast("string"), 7, "0")).alias("phone"),
+        ).alias("contact"),
+        F.struct(
+            F.element_at(langs, (F.col("c_nationkey") % 6 + 1).cast("int")).alias("lang"),
+            (F.col("c_acctbal") > 0).alias("marketing_opt_in"),
+            F.when(k % 2 == 0, "light").otherwise("dark").alias("theme"),
+        ).alias("preferences"),
+        F.array(F.struct(F.concat(F.lit("agent-"), (k % 7).cast("string")).alias("ua"),
+                         F.lit("Linux").alias("os"))).alias("devices"),
+        F.array(F.col("c_mktsegment")).alias("tags"),
+    )
