@@ -102,3 +102,15 @@ def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     among all exported rows, before loading."""
     flat = I.flatten_fuel(D.fuel_rows(spark, sf_dir), with_load_time=False)
     return Q.constraint_violations(flat, FUEL_TARGET_RULES, unique=(FUEL_TARGET_KEY,))
+
+
+def service_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions per service (explode of `services`) in the loaded
+    target, and how many carry service 'F' (array_contains)."""
+    t = _final_target(spark, sf_dir)
+    per_service = t.select(F.explode("services").alias("service")).groupBy("service").agg(
+        F.count(F.lit(1)).alias("transactions")
+    )
+    with_f = t.agg(F.count_if(F.array_contains("services", "F")).alias("transactions")) \
+        .select(F.lit("has:F").alias("service"), "transactions")
+    return per_service.unionByName(with_f)

@@ -147,3 +147,33 @@ def kpi_partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The date partitions of the written table."""
     out = _write_kpi(spark, sf_dir, one_file_per_date=False)
     return L.list_partitions(spark.read.parquet(out), "date")
+
+
+def dataset_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per KPI input dataset, one result."""
+    from weir.operators.quality import dataset_counts
+
+    ev, items, users = _inputs(spark, sf_dir)
+    return dataset_counts([("users", users), ("items", items), ("events", ev)])
+
+
+def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per Spark partition of each KPI input (layout-dependent,
+    so checked by row totals only)."""
+    ev, items, users = _inputs(spark, sf_dir)
+    out = None
+    for name, df in (("users", users), ("items", items), ("events", ev)):
+        r = L.partition_record_counts(df, name)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def item_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and revenue per item tag (explode of the items' tag
+    array; events of unknown items have no tags and drop out)."""
+    ev, items, users = _inputs(spark, sf_dir)
+    enriched = K.enrich(K.prepared_events(ev), items, users)
+    tags = enriched.select(F.explode("tags").alias("tag"), "revenue")
+    return tags.groupBy("tag").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("revenue").cast(K.MONEY_SUM).alias("revenue")
+    )

@@ -62,6 +62,10 @@ QUERIES: dict[str, QueryFn] = {
     "error_counts": logs.error_counts,
     "users_flatten": logs.users_flatten,
     "log_user_join": logs.log_user_join,
+    "dataset_record_counts": kpi.dataset_record_counts,
+    "partition_report": kpi.partition_report,
+    "item_tag_counts": kpi.item_tag_counts,
+    "service_counts": ingest.service_counts,
 }
 
 ORACLE: dict[str, str] = {
@@ -116,4 +120,7 @@ ORACLE: dict[str, str] = {
     "error_counts": oracle.ERROR_COUNTS,
     "users_flatten": oracle.USERS_FLATTEN,
     "log_user_join": oracle.LOG_USER_JOIN,
+    "dataset_record_counts": oracle.DATASET_RECORD_COUNTS,
+    "item_tag_counts": oracle.ITEM_TAG_COUNTS,
+    "service_counts": oracle.SERVICE_COUNTS,
 }
