@@ -47,5 +47,6 @@ def file_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_partitioned(rows, landing, "source_file", one_file_per_partition=True)
     target0.withColumn("loaded_at", F.current_timestamp()).write.parquet(target)
     manifest0.write.parquet(manifest)
-    run_file_ingest(spark, landing, target, manifest, f"{root}/checkpoint", partitioned_by_file=True)
+    run_file_ingest(spark, landing, target, manifest, f"{root}/checkpoint", partitioned_by_file=True,
+                    visited_at_ns=False)
     return spark.read.parquet(target).drop("loaded_at")

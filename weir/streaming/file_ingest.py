@@ -20,19 +20,33 @@ from pyspark.sql import types as T
 from weir.operators.ingest import ingest_step
 from weir.operators.sinks import MANIFEST_SCHEMA, create_table_if_absent
 from weir.schemas import FUEL_EXPORT, FUEL_TARGET
+from weir.session import apply_result_conf
 
 
 def export_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 1,
-                  archive_dir: str | None = None, partitioned_by_file: bool = False) -> DataFrame:
+                  archive_dir: str | None = None, partitioned_by_file: bool = False,
+                  visited_at_ns: bool = True) -> DataFrame:
     """Export rows with `source_file`: the file's basename, or - when the
-    landing is laid out as `source_file=<name>/` folders - that name."""
+    landing is laid out as `source_file=<name>/` folders - that name.
+
+    The exporter writes `visited_at` as INT64 TIMESTAMP(NANOS), which Spark
+    reads only as long nanoseconds (`nanosAsLong`); it is converted to a
+    microsecond timestamp here. `visited_at_ns=False` for files whose
+    timestamps are already micros (Spark-written)."""
+    apply_result_conf(spark)
     schema = FUEL_EXPORT
+    if visited_at_ns:
+        schema = T.StructType([
+            T.StructField(f.name, T.LongType()) if f.name == "visited_at" else f for f in schema.fields
+        ])
     if partitioned_by_file:
         schema = T.StructType(FUEL_EXPORT.fields + [T.StructField("source_file", T.StringType())])
     r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = r.parquet(landing)
+    if visited_at_ns:
+        df = df.withColumn("visited_at", F.timestamp_micros(F.floor(F.col("visited_at") / 1000).cast("long")))
     if not partitioned_by_file:
         df = df.withColumn("source_file", F.col("_metadata.file_name"))
     return df
@@ -56,11 +70,12 @@ def load_batch(spark: SparkSession, target_path: str, manifest_path: str):
 def run_file_ingest(spark: SparkSession, landing: str, target_path: str, manifest_path: str,
                     checkpoint: str, max_files_per_trigger: int = 1,
                     archive_dir: str | None = None, partitioned_by_file: bool = False,
-                    available_now: bool = True):
+                    visited_at_ns: bool = True, available_now: bool = True):
     """Start (and, with `available_now`, finish) the ingest stream."""
     create_table_if_absent(spark, target_path, FUEL_TARGET)
     create_table_if_absent(spark, manifest_path, MANIFEST_SCHEMA)
-    src = export_stream(spark, landing, max_files_per_trigger, archive_dir, partitioned_by_file)
+    src = export_stream(spark, landing, max_files_per_trigger, archive_dir, partitioned_by_file,
+                        visited_at_ns)
     w = src.writeStream.foreachBatch(load_batch(spark, target_path, manifest_path)).option(
         "checkpointLocation", checkpoint
     )
