@@ -55,12 +55,39 @@ def _fixed_width(dt: T.DataType) -> int:
     return 8
 
 
+# Proven sizes, keyed by (plan semantic hash, exact input files, max_rows).
+# A new, removed or rewritten input file changes the key, so a proof is
+# only reused for the very files it measured.
+_PROVEN: dict[tuple, SideSize | None] = {}
+
+
+def _proof_key(df: DataFrame, max_rows: int) -> tuple | None:
+    try:
+        files = tuple(sorted(df.inputFiles()))
+    except Exception:  # noqa: BLE001 - sources without files (streams, JDBC)
+        return None
+    if not files:
+        return None
+    return (df.semanticHash(), files, max_rows)
+
+
 def measure_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> SideSize | None:
     """Exact rows and bytes of `df` if it has at most `max_rows` rows.
 
     One small job that stops after ``max_rows + 1`` rows; returns None when
-    the side is larger (no bound proven).
+    the side is larger (no bound proven). Repeated plans over unchanged
+    files reuse the earlier proof.
     """
+    key = _proof_key(df, max_rows)
+    if key is not None and key in _PROVEN:
+        return _PROVEN[key]
+    size = _measure(df, max_rows)
+    if key is not None:
+        _PROVEN[key] = size
+    return size
+
+
+def _measure(df: DataFrame, max_rows: int) -> SideSize | None:
     width = F.lit(0).cast("long")
     for f in df.schema.fields:
         width = width + _width(F.col(f"`{f.name}`"), f.dataType)

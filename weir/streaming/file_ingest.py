@@ -1,6 +1,7 @@
 """New export files -> keyed target table, each file once.
 
-The reference polls a folder every minute and loads new files row by row.
+The reference polls a folder every minute and loads all new files, row by
+row. Here one trigger takes all new files (or `max_files_per_trigger`).
 Here the file stream source finds new files (its checkpoint remembers what
 it has seen) and each micro-batch runs `weir.operators.ingest.ingest_step`
 against the current target and manifest, then appends. Because the step
@@ -23,7 +24,7 @@ from weir.schemas import FUEL_EXPORT, FUEL_TARGET
 from weir.session import apply_result_conf
 
 
-def export_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 1,
+def export_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None,
                   archive_dir: str | None = None, partitioned_by_file: bool = False,
                   visited_at_ns: bool = True) -> DataFrame:
     """Export rows with `source_file`: the file's basename, or - when the
@@ -41,7 +42,9 @@ def export_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
         ])
     if partitioned_by_file:
         schema = T.StructType(FUEL_EXPORT.fields + [T.StructField("source_file", T.StringType())])
-    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = r.parquet(landing)
@@ -68,7 +71,7 @@ def load_batch(spark: SparkSession, target_path: str, manifest_path: str):
 
 
 def run_file_ingest(spark: SparkSession, landing: str, target_path: str, manifest_path: str,
-                    checkpoint: str, max_files_per_trigger: int = 1,
+                    checkpoint: str, max_files_per_trigger: int | None = None,
                     archive_dir: str | None = None, partitioned_by_file: bool = False,
                     visited_at_ns: bool = True, available_now: bool = True):
     """Start (and, with `available_now`, finish) the ingest stream."""
