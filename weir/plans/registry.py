@@ -66,6 +66,7 @@ QUERIES: dict[str, QueryFn] = {
     "partition_report": kpi.partition_report,
     "item_tag_counts": kpi.item_tag_counts,
     "service_counts": ingest.service_counts,
+    "lab_constraint_report": sql_reports.lab_constraint_report,
 }
 
 ORACLE: dict[str, str] = {
@@ -123,4 +124,5 @@ ORACLE: dict[str, str] = {
     "dataset_record_counts": oracle.DATASET_RECORD_COUNTS,
     "item_tag_counts": oracle.ITEM_TAG_COUNTS,
     "service_counts": oracle.SERVICE_COUNTS,
+    "lab_constraint_report": oracle.LAB_CONSTRAINT_REPORT,
 }

@@ -147,3 +147,22 @@ def sql_group_avg_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
         ORDER BY avg_age DESC
         """
     )
+
+
+def lab_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 on the lab tables: PRIMARY KEY / UNIQUE, NOT NULL and VARCHAR(n)
+    violations per table and column, before loading."""
+    from weir.operators.quality import constraint_violations
+    from weir.schemas import LAB_RULES
+
+    tables = {
+        "sessions": D.lab_sessions(spark, sf_dir), "people": D.lab_people(spark, sf_dir),
+        "swipes": D.lab_swipes(spark, sf_dir), "purchases": D.lab_purchases(spark, sf_dir),
+    }
+    out = None
+    for name, (rules, unique) in LAB_RULES.items():
+        r = constraint_violations(tables[name], rules, unique=unique).select(
+            F.lit(name).alias("table_name"), "rule", "column_name", "violations"
+        )
+        out = r if out is None else out.unionByName(r)
+    return out

@@ -101,3 +101,14 @@ USERS_DOCUMENT = _s(
     ("generated_at", S), ("meta", _s(("source", S), ("version", L))),
     ("users", T.ArrayType(USER_DOC)),
 )
+
+# D5 column rules of the lab tables: (column, max length or None, not null),
+# and their PRIMARY KEY / UNIQUE columns.
+LAB_RULES = {
+    "sessions": ((("session_code", 10, True), ("session_name", 100, False)), ("session_code",)),
+    "people": ((("person_id", None, True), ("full_name", 100, False), ("team", 50, False),
+                ("badge_uid", 50, False)), ("person_id", "badge_uid")),
+    "swipes": ((("badge_uid", 50, False), ("session_code", 10, False)), ()),
+    "purchases": ((("purchase_id", None, True), ("badge_uid", 50, False), ("location", 50, False),
+                   ("product", 50, False)), ("purchase_id",)),
+}
