@@ -81,3 +81,17 @@ def test_microlab_sample(spark, tmp):
     assert dict(df.dtypes)["age"] == "int"
     assert sorted(r.name for r in df.filter(F.col("age") > 30).collect()) == ["Bob", "Charlie", "Diana"]
     assert df.agg(F.format_number(F.avg("age"), 1)).first()[0] == "32.4"
+
+
+def test_constraint_violations_counts(spark):
+    from weir.operators.quality import constraint_violations
+
+    df = spark.createDataFrame(
+        [(1, "a" * 12, "x"), (1, "b", None), (2, None, "y"), (None, "c", "z")],
+        "k int, name string, code string",
+    )
+    got = {(r.rule, r.column_name): r.violations for r in
+           constraint_violations(df, (("k", None, True), ("name", 10, False), ("code", None, True)),
+                                 unique=("k",)).collect()}
+    assert got == {("not_null", "k"): 1, ("max_length_10", "name"): 1, ("not_null", "code"): 1,
+                   ("unique", "k"): 1}
