@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.sources.tables import read_table
+from weir.sources.tables import read_table, spread
 
 # ---------------------------------------------------------------- KPI (HW2)
 
@@ -151,7 +151,7 @@ def fuel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fuel export rows (D6 shape) with the export file each belongs to."""
     from weir.operators.joins import broadcast_if_bounded
 
-    li = read_table(spark, sf_dir, "lineitem")
+    li = spread(read_table(spark, sf_dir, "lineitem"))
     part, _ = broadcast_if_bounded(
         read_table(spark, sf_dir, "part").select(F.col("p_partkey"), F.col("p_brand").alias("franchise"))
     )
@@ -195,7 +195,7 @@ def stream_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weir.functions.avro import encode_payload
     from weir.functions.columns import ntz_to_epoch_millis
 
-    e = read_table(spark, sf_dir, "events")
+    e = spread(read_table(spark, sf_dir, "events"))
     return e.select(
         F.lit(None).cast("binary").alias("key"),
         encode_payload(
@@ -307,7 +307,7 @@ def user_ip(key: Column) -> Column:
 
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One combined-format access-log line per event (column `value`)."""
-    e = read_table(spark, sf_dir, "events")
+    e = spread(read_table(spark, sf_dir, "events"))
     is_err = F.col("event_type") == "error"
     status = F.when(is_err, F.when(F.col("event_id") % 2 == 0, 404).otherwise(500)).otherwise(200)
     level = F.when(is_err, F.lit("ERROR")).otherwise(F.lit("INFO"))

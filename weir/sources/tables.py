@@ -23,3 +23,12 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     apply_result_conf(spark)
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster when a scan yields fewer
+    partitions than there are cores (one small file or one row group is
+    one task). Large inputs already have many splits and pass unchanged, so
+    no shuffle is added at scale."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
