@@ -14,7 +14,10 @@ from weir.operators import ingest as I
 from weir.operators import quality as Q
 from weir.operators.sinks import rows_to_insert
 from weir.schemas import FUEL_TARGET_KEY, FUEL_TARGET_RULES
+from weir.operators.sinks import write_partitioned
+from weir.session import scratch_path
 from weir.sources import datasets as D
+from weir.sources.files import list_files, read_parquet_with_lineage
 
 # Fixed value: the time the earlier run is recorded with.
 EARLIER_RUN_AT = "2000-01-01 00:00:00"
@@ -44,11 +47,20 @@ def _final_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target0.unionByName(step.inserts.drop("loaded_at"))
 
 
+def write_landing(spark: SparkSession, rows: DataFrame) -> str:
+    """The export files on disk: one Parquet file per export, in
+    `source_file=<name>/` folders (Spark cannot name its output files)."""
+    landing = scratch_path(spark, "landing")
+    write_partitioned(rows, landing, "source_file", one_file_per_partition=True)
+    return landing
+
+
 def flatten_nested_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the new files, flattened (load time
-    left out: it is the clock)."""
+    """The export files read back with their lineage,
+    new files only, flattened (load time left out: it is the clock)."""
     rows, manifest0, _ = _state(spark, sf_dir)
-    return I.flatten_fuel(I.unprocessed(rows, manifest0), with_load_time=False)
+    files = read_parquet_with_lineage(spark, write_landing(spark, rows), ("visited_at",))
+    return I.flatten_fuel(I.unprocessed(files, manifest0), with_load_time=False)
 
 
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,9 +69,12 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing files not in the manifest."""
+    """Files listed in the landing folder (by export name)
+    that are not in the manifest."""
     rows, manifest0, _ = _state(spark, sf_dir)
-    return I.new_file_names(rows.select(F.col("source_file").alias("filename")), manifest0)
+    listed = list_files(spark, write_landing(spark, rows), recursive=True)
+    names = listed.select(F.regexp_extract("folder", r"^source_file=(.+)$", 1).alias("filename"))
+    return I.new_file_names(names, manifest0)
 
 
 def manifest_append(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,8 +38,8 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export files streamed into the keyed target; the target
-    read back (load time left out)."""
+    """Export files streamed into the keyed target (processed files
+    archived by the source); the target read back (load time left out)."""
     root = scratch_path(spark, "ingest")
     landing, target, manifest = f"{root}/landing", f"{root}/target", f"{root}/manifest"
     rows, manifest0, target0 = _state(spark, sf_dir)
@@ -48,5 +48,5 @@ def file_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     target0.withColumn("loaded_at", F.current_timestamp()).write.parquet(target)
     manifest0.write.parquet(manifest)
     run_file_ingest(spark, landing, target, manifest, f"{root}/checkpoint", partitioned_by_file=True,
-                    visited_at_ns=False)
+                    visited_at_ns=False, archive_dir=f"{root}/archive")
     return spark.read.parquet(target).drop("loaded_at")

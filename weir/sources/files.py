@@ -56,7 +56,9 @@ def read_partition(spark: SparkSession, root: str, col: str, value) -> DataFrame
 # S6 ------------------------------------------------------------------------
 def read_parquet_with_lineage(spark: SparkSession, path: str,
                               ns_timestamp_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Parquet with `source_file` = basename of the file each row came from.
+    """Parquet with `source_file` = basename of the file each row came from
+    (or, for a landing laid out as `source_file=<name>/` folders, that
+    partition value).
 
     INT64 TIMESTAMP(NANOS) columns are read as long nanoseconds (see
     `weir.session.RESULT_CONF`) and converted to microsecond timestamps.
@@ -66,6 +68,8 @@ def read_parquet_with_lineage(spark: SparkSession, path: str,
     for c in ns_timestamp_cols:
         if c in df.columns and isinstance(df.schema[c].dataType, T.LongType):
             df = df.withColumn(c, F.timestamp_micros(F.floor(F.col(c) / 1000).cast("long")))
+    if "source_file" in df.columns:
+        return df
     return df.withColumn("source_file", F.col("_metadata.file_name"))
 
 
@@ -103,13 +107,19 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) ->
 
 
 # S12 -----------------------------------------------------------------------
-def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """Files in a landing folder (path, filename, length, modified); file
-    contents are not read."""
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+def list_files(spark: SparkSession, path: str, glob: str = "*.parquet",
+               recursive: bool = False) -> DataFrame:
+    """Files in a landing folder (path, filename, parent folder, length,
+    modified); file contents are not read (the binaryFile source only reads
+    `content` when it is selected)."""
+    r = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if recursive:
+        r = r.option("recursiveFileLookup", True)
+    df = r.load(path)
     return df.select(
         F.col("path"),
         F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"),
+        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"),
         "length",
         F.col("modificationTime").alias("modified"),
     )
