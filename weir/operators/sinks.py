@@ -1,4 +1,4 @@
-"""Sinks (K1-K8): partitioned writers, single-file CSV, insert-if-absent
+"""Sinks (K1-K8): partitioned writers, ordered CSV, insert-if-absent
 loading with a file manifest, table creation.
 
 All writers are plain DataFrameWriter jobs: tasks write in parallel and the
@@ -44,10 +44,20 @@ def write_partitioned(
 
 
 # K4 ------------------------------------------------------------------------
-def write_single_csv(df: DataFrame, path: str, order_by: Sequence[str | Column]) -> None:
-    """Header CSV, globally ordered, as one file. The sort is distributed
-    (range partitioning); only the final concatenation is one task."""
-    df.orderBy(*order_by).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_ordered_csv(df: DataFrame, path: str, order_by: Sequence[str | Column],
+                      single_file: bool = False) -> None:
+    """Header CSV in global key order.
+
+    Default: the sort range-partitions the rows and every task writes its
+    range, so part-00000, part-00001, ... hold consecutive key ranges - read
+    in name order, the folder is the ordered file. `single_file=True` adds
+    `coalesce(1)` for the one-file form of the reference; that funnels all
+    rows through one task and is meant for small outputs only.
+    """
+    out = df.orderBy(*order_by)
+    if single_file:
+        out = out.coalesce(1)
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 # K5 / J6 -------------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir import schemas
-from weir.operators.sinks import write_single_csv
+from weir.operators.sinks import write_ordered_csv
 from weir.session import scratch_path
 from weir.sources import datasets as D
 from weir.sources.files import read_csv_declared, read_csv_inferred, read_jsonl
@@ -25,12 +25,12 @@ def csv_inferred_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_declared_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 + K4: purchases as one ordered header CSV, loaded back into
-    declared columns with FAILFAST (a bad row aborts the load)."""
+    """S4 + K4: purchases as header CSV in purchase_id order, loaded back
+    into declared columns with FAILFAST (a bad row aborts the load)."""
     out = scratch_path(spark, "purchases_csv")
     rows = D.lab_purchases(spark, sf_dir)
-    write_single_csv(rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")),
-                     out, ["purchase_id"])
+    write_ordered_csv(rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")),
+                      out, ["purchase_id"])
     return read_csv_declared(spark, out, schemas.PURCHASES)
 
 

@@ -12,14 +12,13 @@ from weir.sources.files import read_json_documents, read_text_lines
 
 # Fixed value: the generated_at stamp of the users documents.
 USERS_GENERATED_AT = "2024-01-01T00:00:00Z"
-# gz text files the log is cut into (gzip cannot be split; files can)
-LOG_FILES = 4
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "access_log")
-    D.access_log_lines(spark, sf_dir).repartition(LOG_FILES).write.mode("overwrite") \
-        .option("compression", "gzip").text(out)
+    # one gz file per partition of the lines: gzip cannot be split, so the
+    # read parallelism is the number of files, which grows with the input
+    D.access_log_lines(spark, sf_dir).write.mode("overwrite").option("compression", "gzip").text(out)
     return G.parse_access_log(read_text_lines(spark, out))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weir import schemas
 from weir.operators import orders as O
 from weir.operators.quality import uniqueness
-from weir.operators.sinks import write_single_csv
+from weir.operators.sinks import write_ordered_csv
 from weir.session import scratch_path
 from weir.sources import datasets as D
 from weir.sources.files import read_csv_declared, read_documents_strict
@@ -28,8 +28,8 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_fields_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order documents as JSON -> strict read (malformed
-    document or missing field fails) -> the 9 CSV fields -> one CSV ordered
-    by order_id -> loaded back."""
+    document or missing field fails) -> the 9 CSV fields -> CSV in order_id
+    order (range-partitioned parts) -> loaded back."""
     root = scratch_path(spark, "orders")
     docs = D.order_headers(spark, sf_dir).join(_totals(spark, sf_dir).drop("currency"), "order_id")
     docs.select(
@@ -38,7 +38,7 @@ def order_fields_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         "created_at", "source",
     ).write.mode("overwrite").json(f"{root}/docs")
     read = read_documents_strict(spark, f"{root}/docs", schemas.ORDER, schemas.ORDER_CSV_FIELDS)
-    write_single_csv(read.select(*schemas.ORDER_CSV_FIELDS), f"{root}/csv", ["order_id"])
+    write_ordered_csv(read.select(*schemas.ORDER_CSV_FIELDS), f"{root}/csv", ["order_id"])
     return read_csv_declared(spark, f"{root}/csv", ORDER_CSV_SCHEMA)
 
 
