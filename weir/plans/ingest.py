@@ -48,10 +48,12 @@ def _final_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_landing(spark: SparkSession, rows: DataFrame) -> str:
-    """The export files on disk: one Parquet file per export, in
-    `source_file=<name>/` folders (Spark cannot name its output files)."""
+    """The export files on disk, one `source_file=<name>/` folder per export
+    (Spark cannot name its output files). Written with the rebalancing
+    writer, so a large export is several part files written in parallel;
+    the folder, not the part file, is the unit the manifest records."""
     landing = scratch_path(spark, "landing")
-    write_partitioned(rows, landing, "source_file", one_file_per_partition=True)
+    write_partitioned(rows, landing, "source_file")
     return landing
 
 

@@ -44,8 +44,9 @@ def file_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "ingest")
     landing, target, manifest = f"{root}/landing", f"{root}/target", f"{root}/manifest"
     rows, manifest0, target0 = _state(spark, sf_dir)
-    # one Parquet file per export, as the exporter writes them
-    write_partitioned(rows, landing, "source_file", one_file_per_partition=True)
+    # one folder per export (possibly several part files); all new files go
+    # into one trigger, so an export is never split across batches
+    write_partitioned(rows, landing, "source_file")
     target0.withColumn("loaded_at", F.current_timestamp()).write.parquet(target)
     manifest0.write.parquet(manifest)
     run_file_ingest(spark, landing, target, manifest, f"{root}/checkpoint", partitioned_by_file=True,

@@ -7,6 +7,10 @@ it has seen) and each micro-batch runs `weir.operators.ingest.ingest_step`
 against the current target and manifest, then appends. Because the step
 anti-joins both, a replayed batch inserts nothing twice.
 
+With the folder-per-export layout (`partitioned_by_file`), the manifest
+records exports, not part files: keep `max_files_per_trigger` unset (all new
+files in one trigger) so that an export is never split across batches.
+
 With `archive_dir`, processed files are moved there by the source
 (`cleanSource=archive`); the move lags one batch, so the manifest, not the
 folder, is the record of what was loaded.
