@@ -10,7 +10,7 @@ def _ts(s):
 
 
 def _lab_rows(spark):
-    # hand-written rows in the shape of the lab03 tables
+    # hand-written rows in the shape of the presence tables
     people = spark.createDataFrame([
         (1, "Ada Nguyen", "Gamma", "B-1"),
         (2, "Juno Garcia", "Alpha", "B-2"),
@@ -67,7 +67,7 @@ def test_golden_thief_dataframe_form(spark):
     assert [r.verification_hash for r in rows] == [GOLDEN_HASH]
 
 
-def test_microlab_sample(spark, tmp):
+def test_csv_demo_sample(spark, tmp):
     # the five-row people CSV of the demo, inferred types
     path = f"{tmp}/people.csv"
     with open(path, "w") as f:

@@ -1,4 +1,4 @@
-"""Incremental file ingestion into a keyed target table (lab05 pattern).
+"""Incremental file ingestion into a keyed target table.
 
 Per run: files not yet in the manifest are read; a file with a row that
 breaks NOT NULL on the target is rejected whole (earlier and later files

@@ -1,4 +1,4 @@
-"""Access logs and the users document (lab02 formats): parse, count errors,
+"""Access logs and the users document formats: parse, count errors,
 join log lines to users by IP, flatten the users document."""
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Presence and repeat-buyer investigation (the lab03 pattern).
+"""Presence and repeat-buyer investigation.
 
 suspects: people LEFT JOIN swipes ON badge AND session = s AND ts BETWEEN
 [start, end] (conditions in ON, so people without a matching swipe stay),

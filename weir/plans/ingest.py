@@ -1,4 +1,4 @@
-"""lab05 query keys: incremental load of fuel exports into a keyed table.
+"""File-ingestion query keys: incremental load of fuel exports into a keyed table.
 
 State at the start of the run, derived from the driver tables: the landing
 holds four export files; `fuel_export_0.parquet` was loaded by an earlier

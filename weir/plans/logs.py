@@ -1,4 +1,4 @@
-"""lab02 query keys: access log parse, error counts, users document."""
+"""Access-log query keys: access log parse, error counts, users document."""
 
 from __future__ import annotations
 

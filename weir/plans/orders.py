@@ -1,4 +1,4 @@
-"""HW1 query keys: order documents, totals, validation, fetch outcomes."""
+"""Order-client query keys: order documents, totals, validation, fetch outcomes."""
 
 from __future__ import annotations
 
