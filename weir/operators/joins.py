@@ -64,11 +64,11 @@ _PROVEN: dict[tuple, SideSize | None] = {}
 def _proof_key(df: DataFrame, max_rows: int) -> tuple | None:
     try:
         files = tuple(sorted(df.inputFiles()))
+        if not files:
+            return None
+        return (df.semanticHash(), files, max_rows)
     except Exception:  # noqa: BLE001 - sources without files (streams, JDBC)
         return None
-    if not files:
-        return None
-    return (df.semanticHash(), files, max_rows)
 
 
 def measure_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> SideSize | None:

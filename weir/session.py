@@ -59,8 +59,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="weir-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - no SparkContext access (e.g. Spark Connect)
+        pass
     return d
 
 

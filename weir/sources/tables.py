@@ -30,5 +30,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partitions than there are cores (one small file or one row group is
     one task). Large inputs already have many splits and pass unchanged, so
     no shuffle is added at scale."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect)
+        return df
+    return df.repartition(n) if current < n else df
