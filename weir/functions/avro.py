@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import json
 import struct
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +37,9 @@ PAYLOAD_AVSC = json.dumps({
     ],
 })
 
-_DOUBLE = struct.Struct("<d")
+# The codec travels with the UDF (pickled by value), so Python workers need
+# no copy of this package to decode.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class CorruptPayload(ValueError):
@@ -77,7 +81,7 @@ def encode_record(user: str, event: str, amount: float, ts: int) -> bytes:
         b = s.encode("utf-8")
         _put_long(out, len(b))
         out += b
-    out += _DOUBLE.pack(amount)
+    out += struct.pack("<d", amount)
     _put_long(out, ts)
     return bytes(out)
 
@@ -87,7 +91,7 @@ def decode_record(buf: bytes) -> tuple[str, str, float, int]:
     event, pos = _get_string(buf, pos)
     if pos + 8 > len(buf):
         raise CorruptPayload("double runs past the record")
-    (amount,) = _DOUBLE.unpack_from(buf, pos)
+    (amount,) = struct.unpack_from("<d", buf, pos)
     ts, pos = _get_long(buf, pos + 8)
     if pos != len(buf):
         raise CorruptPayload("trailing bytes after the record")

@@ -41,13 +41,40 @@ SCALE_CONF = {
 
 
 def apply_result_conf(spark: SparkSession) -> SparkSession:
-    """Pin the settings that change answers. Cheap and idempotent."""
+    """Pin the settings that change answers, and make the package importable
+    by Python workers. Cheap and idempotent."""
     for k, v in RESULT_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Zip this package once per application and add it with `addPyFile`,
+    so Python workers on every executor can import it (UDF code is pickled
+    by reference to its module)."""
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext access (e.g. Spark Connect)
+        return
+    if app in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="weir-pkg-")
+    archive = shutil.make_archive(
+        os.path.join(out, "weir"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="weir"
+    )
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
