@@ -35,7 +35,7 @@ def event_price(event_id: Column, value: Column) -> Column:
 
 def kpi_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested events: ts string, event, user_id, item_id, context, props, exp."""
-    e = read_table(spark, sf_dir, "events")
+    e = spread(read_table(spark, sf_dir, "events"))
     is_purchase = F.col("event_type") == "purchase"
     return e.select(
         _iso_ts(F.col("ts")).alias("ts"),
@@ -100,7 +100,7 @@ def lab_people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lab_swipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """swipes: badge_uid, session_code, ts (one per order)."""
-    o = read_table(spark, sf_dir, "orders")
+    o = spread(read_table(spark, sf_dir, "orders"))
     return o.select(
         _badge(F.col("o_custkey")).alias("badge_uid"),
         F.col("o_orderstatus").alias("session_code"),
@@ -117,7 +117,7 @@ def lab_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lab_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """purchases: purchase_id, badge_uid, location, product, qty, ts."""
-    o = read_table(spark, sf_dir, "orders")
+    o = spread(read_table(spark, sf_dir, "orders"))
     return o.select(
         F.col("o_orderkey").cast("int").alias("purchase_id"),
         _badge(F.col("o_custkey")).alias("badge_uid"),
@@ -228,7 +228,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines, one row each (the exploded `lines` array): order_id,
     sku, name, qty, unit_price, amount, usage_month. qty is 0 on every
     50th part (invalid rows for the domain checks)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = spread(read_table(spark, sf_dir, "lineitem"))
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
@@ -245,7 +245,7 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     currency, created_at, source."""
     from weir.operators.joins import broadcast_if_bounded
 
-    o = read_table(spark, sf_dir, "orders")
+    o = spread(read_table(spark, sf_dir, "orders"))
     c, _ = broadcast_if_bounded(
         read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     )
@@ -282,7 +282,7 @@ def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (item, attempt 1..5) with the status the service gave:
     500 when (item*7 + n*3) % 10 = 0, 429 when (item*11 + n*5) % 17 = 0,
     404 when (item + n) % 97 = 0, else 200 (first rule that holds)."""
-    o = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("item_id"))
+    o = spread(read_table(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("item_id"))
     a = o.select("item_id", F.explode(F.sequence(F.lit(1), F.lit(FETCH_MAX_ATTEMPTS))).alias("attempt"))
     i, n = F.col("item_id"), F.col("attempt")
     status = (
