@@ -24,6 +24,7 @@ def write_partitioned(
     mode: str = "overwrite",
     one_file_per_partition: bool = False,
     dynamic_overwrite: bool = False,
+    few_values: bool = False,
 ) -> None:
     """Parquet partitioned by one column.
 
@@ -32,10 +33,13 @@ def write_partitioned(
     merged) instead of every task writing a file into every folder.
     `one_file_per_partition` hash-partitions by the column instead: one
     task and one file per value (meant for small results such as the KPI).
+    `few_values` writes without any shuffle: for a column with a handful of
+    values, every task writing one file into each folder it holds is both
+    the cheapest and the most parallel layout.
     """
     if one_file_per_partition:
         df = df.repartition(partition_col)
-    else:
+    elif not few_values:
         df = df.hint("rebalance", partition_col)
     w = df.write.partitionBy(partition_col).mode(mode)
     if dynamic_overwrite:

@@ -53,7 +53,7 @@ def write_landing(spark: SparkSession, rows: DataFrame) -> str:
     writer, so a large export is several part files written in parallel;
     the folder, not the part file, is the unit the manifest records."""
     landing = scratch_path(spark, "landing")
-    write_partitioned(rows, landing, "source_file")
+    write_partitioned(rows, landing, "source_file", few_values=True)
     return landing
 
 

@@ -46,7 +46,7 @@ def file_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, manifest0, target0 = _state(spark, sf_dir)
     # one folder per export (possibly several part files); all new files go
     # into one trigger, so an export is never split across batches
-    write_partitioned(rows, landing, "source_file")
+    write_partitioned(rows, landing, "source_file", few_values=True)
     target0.withColumn("loaded_at", F.current_timestamp()).write.parquet(target)
     manifest0.write.parquet(manifest)
     run_file_ingest(spark, landing, target, manifest, f"{root}/checkpoint", partitioned_by_file=True,
