@@ -87,3 +87,14 @@ def test_first_partition_keeps_partition_column(spark):
 def test_one_file_per_date(spark):
     layout = plans.kpi_file_layout(spark, SF_SMALL)
     assert layout.agg(F.max("files")).first()[0] == 1
+
+
+def test_unparsable_ts_gives_null_date_not_failure(spark):
+    import pytest
+
+    ev = _events(spark, [("not a time", "view", 10, 1, "US", None),
+                         ("2024-01-01T10:00:00+00:00", "view", 10, 1, "US", None)])
+    rows = K.with_time_columns(ev).select("timestamp", "date").collect()
+    assert sorted((r.date is None) for r in rows) == [False, True]
+    with pytest.raises(Exception):
+        K.with_time_columns(ev, strict=True).collect()
