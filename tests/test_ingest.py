@@ -4,7 +4,6 @@ from decimal import Decimal
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import functions as F
 
 from weir import schemas
 from weir.operators import ingest as I

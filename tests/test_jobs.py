@@ -4,7 +4,6 @@ import gzip
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from weir.functions.avro import encode_record  # noqa: F401  (import check)
 from weir.plans import jobs

@@ -3,7 +3,6 @@
 import contextlib
 import io
 
-from pyspark.sql import functions as F
 
 from weir.operators import ingest as I
 from weir.operators.sinks import first_per_key
