@@ -86,8 +86,23 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
 def rows_to_insert(incoming: DataFrame, target_keys: DataFrame, key: str,
                    order_by: Sequence[str]) -> DataFrame:
     """Rows an INSERT ... ON CONFLICT (key) DO NOTHING would add: first row
-    per key in `order_by` order, minus keys already in the target."""
+    per key in `order_by` order, minus keys already in the target.
+
+    The target only grows, while a load is small. When the incoming keys
+    have a measured size bound they are broadcast and the target is
+    semi-joined against them: the target's keys stream through without a
+    shuffle and only the keys already present come back. Without a bound,
+    it is a plain anti join against the distinct target keys.
+    """
+    from weir.operators.joins import DEFAULT_MAX_BYTES, measure_bounded
+
     firsts = first_per_key(incoming, key, order_by)
+    keys = incoming.select(key).filter(F.col(key).isNotNull())
+    size = measure_bounded(keys)
+    if size is not None and size.bytes <= DEFAULT_MAX_BYTES:
+        # both sides below are bounded by the measured incoming keys
+        present = target_keys.select(key).join(F.broadcast(keys.distinct()), key, "left_semi")
+        return firsts.join(F.broadcast(present.distinct()), on=key, how="left_anti")
     return firsts.join(target_keys.select(key).distinct(), on=key, how="left_anti")
 
 
