@@ -90,7 +90,7 @@ def ingest_step(incoming: DataFrame, target: DataFrame, manifest: DataFrame) ->
     rejected = rejected_files(fresh)
     good = fresh.join(rejected.select("source_file"), "source_file", "left_anti")
     flat = flatten_fuel(good, with_load_time=False)
-    inserts = rows_to_insert(flat, target, FUEL_TARGET_KEY, FIRST_WINS_ORDER)
+    inserts = rows_to_insert(flat, target, FUEL_TARGET_KEY, FIRST_WINS_ORDER, keys_superset=incoming)
     inserts = inserts.withColumn("loaded_at", F.current_timestamp())
     entries = manifest_entries(good)
     return IngestStep(

@@ -84,7 +84,7 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
 
 
 def rows_to_insert(incoming: DataFrame, target_keys: DataFrame, key: str,
-                   order_by: Sequence[str]) -> DataFrame:
+                   order_by: Sequence[str], keys_superset: DataFrame | None = None) -> DataFrame:
     """Rows an INSERT ... ON CONFLICT (key) DO NOTHING would add: first row
     per key in `order_by` order, minus keys already in the target.
 
@@ -93,12 +93,15 @@ def rows_to_insert(incoming: DataFrame, target_keys: DataFrame, key: str,
     semi-joined against them: the target's keys stream through without a
     shuffle and only the keys already present come back. Without a bound,
     it is a plain anti join against the distinct target keys.
+    `keys_superset` (e.g. the raw rows of the load, before filtering) is a
+    cheaper frame to measure: its bound covers the incoming keys too.
     """
     from weir.operators.joins import DEFAULT_MAX_BYTES, measure_bounded
 
     firsts = first_per_key(incoming, key, order_by)
     keys = incoming.select(key).filter(F.col(key).isNotNull())
-    size = measure_bounded(keys)
+    probe = keys if keys_superset is None else keys_superset.select(key).filter(F.col(key).isNotNull())
+    size = measure_bounded(probe)
     if size is not None and size.bytes <= DEFAULT_MAX_BYTES:
         # both sides below are bounded by the measured incoming keys
         present = target_keys.select(key).join(F.broadcast(keys.distinct()), key, "left_semi")
