@@ -84,7 +84,8 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
 
 
 def rows_to_insert(incoming: DataFrame, target_keys: DataFrame, key: str,
-                   order_by: Sequence[str], keys_superset: DataFrame | None = None) -> DataFrame:
+                   order_by: Sequence[str], keys_superset: DataFrame | None = None,
+                   broadcast_max_bytes: int | None = None) -> DataFrame:
     """Rows an INSERT ... ON CONFLICT (key) DO NOTHING would add: first row
     per key in `order_by` order, minus keys already in the target.
 
@@ -102,7 +103,8 @@ def rows_to_insert(incoming: DataFrame, target_keys: DataFrame, key: str,
     keys = incoming.select(key).filter(F.col(key).isNotNull())
     probe = keys if keys_superset is None else keys_superset.select(key).filter(F.col(key).isNotNull())
     size = measure_bounded(probe)
-    if size is not None and size.bytes <= DEFAULT_MAX_BYTES:
+    limit = DEFAULT_MAX_BYTES if broadcast_max_bytes is None else broadcast_max_bytes
+    if size is not None and size.bytes <= limit:
         # both sides below are bounded by the measured incoming keys
         present = target_keys.select(key).join(F.broadcast(keys.distinct()), key, "left_semi")
         return firsts.join(F.broadcast(present.distinct()), on=key, how="left_anti")
