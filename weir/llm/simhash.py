@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from weir.llm.common import id_and_bytes
 from weir.llm.graph import components
+from weir.session import scratch_path
 
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"  # what separates words
 SEGMENT = 4 << 20  # a longer text is hashed in segments of about this many bytes
@@ -74,14 +75,17 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id` and the 64-bit fingerprint `fp` (signed long) of every row."""
+    """`doc_id`, `body_hash` (XXH64 of the text) and the 64-bit fingerprint `fp`
+    (signed long) of every row."""
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(x, shingle) for x in b.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            fp = np.array([fingerprint(x, shingle) for x in b.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(fp.view(np.int64))], names=["doc_id", "body_hash", "fp"])
 
-    return id_and_bytes(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    rows = id_and_bytes(docs, id_col, text_col).select("doc_id", F.xxhash64("body").alias("body_hash"), "body")
+    return rows.mapInArrow(run, "doc_id long, body_hash long, fp long")
 
 
 # ---- the walk over two subtrees -------------------------------------------
@@ -232,12 +236,9 @@ def _choose(n: int, r: int):
     return combinations(range(n), r)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp, component_id for every row of `docs`."""
+def _components(docs: DataFrame, shingle: int, budget: int, id_col: str, text_col: str):
+    """(prints, linked): every row's fingerprint, and every distinct one's root."""
     spark = docs.sparkSession
-    from weir.session import scratch_path
-
     path = scratch_path(spark, "simhash")
     # fingerprints are read again by several steps: written once, narrow
     fingerprints(docs, shingle, id_col, text_col).write.mode("overwrite").parquet(path)
@@ -246,6 +247,35 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2,
     roots = components(hamming_links(distinct.select("fp"), budget))
     linked = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    return prints, linked
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp, component_id for every row of `docs`."""
+    prints, linked = _components(docs, shingle, budget, id_col, text_col)
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = linked.join(least, "root").select(F.col("fp").alias("named_fp"), "component_id")
     return prints.join(named, F.col("fp") == F.col("named_fp")).select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
+    """`docs` with one row of each component: the smallest id (null ids last),
+    and of rows repeated under it the one whose text hashes smallest."""
+    prints, linked = _components(docs, shingle, budget, "doc_id", "text")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("body_hash").alias("h"))
+    first = prints.groupBy("fp").agg(F.min(order).alias("o"))
+    kept = first.join(linked.select(F.col("fp").alias("linked_fp"), "root"), F.col("fp") == F.col("linked_fp")).groupBy(
+        "root").agg(F.min("o").alias("o")).select(_key(F.col("o.i")).alias("kept_id"), F.col("o.h").alias("kept_hash"))
+    columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    rows = docs.select(
+        *columns, _key(F.col("doc_id").cast("long")).alias("row_id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("row_hash"))
+    own = (F.col("row_id") == F.col("kept_id")) & (F.col("row_hash") == F.col("kept_hash"))
+    one = rows.join(kept, own, "left_semi").dropDuplicates(["row_id", "row_hash"])
+    return one.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def _key(doc_id):
+    """An id as a join key that a null id has too."""
+    return F.coalesce(doc_id, F.lit(2**63 - 1))
