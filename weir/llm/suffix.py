@@ -292,7 +292,7 @@ def _splitters(docs: DataFrame, ranges: int, width: int, core: int) -> list[byte
 
     drawn = sample.mapInArrow(take, "c binary").distinct()
     # distinct contexts, those with a common core counted twice: they are what is merged
-    spread = drawn.withColumn("d", F.xxhash64("c")).orderBy("d").limit(MAX_SPLITTERS).select("c")
+    spread = drawn.withColumn("d", F.xxhash64("c")).orderBy("d").limit(min(MAX_SPLITTERS, 64 * ranges)).select("c")
     found = sorted(bytes(r.c) for r in spread.collect())
     weight = [2 if (i and x[:core] == found[i - 1][:core]) else 1 for i, x in enumerate(found)]
     total, out, run = sum(weight), [], 0
