@@ -35,6 +35,7 @@ DEPTH = 5
 BLOCK_BYTES = 32 << 20
 SCAN_BYTES = 2 << 20
 START, END = 0xFE, 0xFF  # never bytes of UTF-8
+TOP = ("zeros", "ones", "below")
 END_WORD = 0x9E3779B97F4A7C15  # stands for the end token among word hashes
 
 
@@ -172,12 +173,9 @@ def log_probabilities(keys: np.ndarray, levels, top) -> np.ndarray:
     return out
 
 
-def top_of(parts: list[np.ndarray]):
-    """Depths 1 and 0 from the shards' sums by (nearest byte, partial byte):
-    columns node, zeros, ones, sum of weighted log probabilities at depth 2."""
-    rows = np.concatenate(parts) if parts else np.zeros((0, 4))
-    node, inverse = np.unique(rows[:, 0].astype(np.uint64), return_inverse=True)
-    zeros, ones, below = (np.bincount(inverse, rows[:, c], len(node)) for c in (1, 2, 3))
+def top_of(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray):
+    """Depths 1 and 0 from the sums over all shards by (nearest byte, partial
+    byte), sorted; `below`: log probabilities weighted at depth 2."""
     total, share = weigh(log_kt(zeros, ones), below)
     root, up = np.unique(node & np.uint64(0xFF), return_inverse=True)
     z0, o0 = np.bincount(up, zeros, len(root)), np.bincount(up, ones, len(root))
@@ -263,27 +261,33 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         return keys, words, all_keys, n, all_words, t
 
     def summit(key, table):
-        """A shard's part of depths 1 and 0, and of the training tokens."""
+        """A shard's part of depths 1 and 0; in row -1, of the training tokens."""
         _, _, keys, n, _, times = shard_sums(table)
-        rows = np.zeros((0, 4))
+        rows = np.array([[-1, times.sum(), (times > 0).sum(), 0]], float)
         if len(keys):
             levels, (node, total) = subtree(keys, n)
             _, zeros, ones, _, _ = levels[2]
             up = (node >> np.uint64(16)) << np.uint64(8) | node & np.uint64(0xFF)
             one, inverse = np.unique(up, return_inverse=True)
-            rows = np.stack([one.astype(float)] + [np.bincount(inverse, v, len(one)) for v in (zeros, ones, total)], axis=1)
-        return pa.table({"part": pa.array([rows.astype("<f8").tobytes()], pa.binary()),
-                         "tokens": pa.array([int(times.sum())], pa.int64()),
-                         "distinct": pa.array([int((times > 0).sum())], pa.int64())})
+            sums = [np.bincount(inverse, v, len(one)) for v in (zeros, ones, total)]
+            rows = np.concatenate([rows, np.stack([one.astype(float), *sums], axis=1)])
+        return pa.table({"node": rows[:, 0].astype(np.int64), **{c: rows[:, i] for c, i in zip(TOP, (1, 2, 3))}})
+
+    def join_summits(key, table):
+        """The sums of all shards as one row."""
+        at = np.argsort(table.column("node").to_numpy())
+        node, *sums = (table.column(c).to_numpy()[at] for c in ("node", *TOP))
+        return pa.table({"top": [_bytes(np.concatenate([node.astype(float), *sums]))]})
 
     def answer(left, right):
         """Log probabilities and word counts for each block, in the order it sent them."""
         if not left.num_rows:
             return _answers([])
         keys, words, all_keys, n, all_words, times = shard_sums(left)
-        top = top_of([np.frombuffer(x, "<f8").reshape(-1, 4) for x in right.column("parts")[0].as_py()])
+        node, zeros, ones, below = _array(right.column("top")[0].as_py(), "<f8").reshape(4, -1)
+        tokens, distinct = int(zeros[0]), int(ones[0])
+        top = top_of(node[1:].astype(np.uint64), zeros[1:], ones[1:], below[1:])
         log_p = log_probabilities(all_keys, subtree(all_keys, n)[0], top) if len(all_keys) else np.zeros(0)
-        tokens, distinct = right.column("tokens")[0].as_py(), right.column("distinct")[0].as_py()
         return _answers([
             (block, shard, _bytes(log_p[np.searchsorted(all_keys, k)]),
              _bytes(times[np.searchsorted(all_words, w)].astype("<i8")), tokens, distinct)
@@ -341,10 +345,11 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
     sent = blocks.groupBy("block").applyInArrow(
         gather, "shard int, of_block int, keys binary, counts binary, words binary, times binary"
     ).repartition(shards, "shard")
-    # at most 65,535 nodes of 32 bytes from each shard: depths 0 and 1 have 257 contexts
-    summits = sent.groupBy("shard").applyInArrow(summit, "part binary, tokens long, distinct long").agg(
-        F.collect_list("part").alias("parts"), F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct"))
-    to_all = summits.select("*", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("to_shard"))
+    # depths 0 and 1 are 257 contexts of 255 nodes at most: summed, they are one row, sent to each shard
+    summits = sent.groupBy("shard").applyInArrow(summit, "node long, zeros double, ones double, below double")
+    top = summits.groupBy("node").agg(*[F.sum(c).alias(c) for c in TOP]).groupBy(F.lit(0)).applyInArrow(
+        join_summits, "top binary")
+    to_all = top.select("top", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("to_shard"))
     answers = sent.groupBy("shard").cogroup(to_all.groupBy("to_shard")).applyInArrow(
         answer, "to_block int, from_shard int, log_p binary, times binary, tokens long, distinct_tokens long")
     return blocks.groupBy("block").cogroup(answers.groupBy("to_block")).applyInArrow(
