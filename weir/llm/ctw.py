@@ -347,8 +347,8 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
     ).repartition(shards, "shard")
     # depths 0 and 1 are 257 contexts of 255 nodes at most: summed, they are one row, sent to each shard
     summits = sent.groupBy("shard").applyInArrow(summit, "node long, zeros double, ones double, below double")
-    top = summits.groupBy("node").agg(*[F.sum(c).alias(c) for c in TOP]).groupBy(F.lit(0)).applyInArrow(
-        join_summits, "top binary")
+    top = summits.groupBy("node").agg(*[F.sum(c).alias(c) for c in TOP]).withColumn(
+        "whole", F.lit("whole")).groupBy("whole").applyInArrow(join_summits, "top binary")
     to_all = top.select("top", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("to_shard"))
     answers = sent.groupBy("shard").cogroup(to_all.groupBy("to_shard")).applyInArrow(
         answer, "to_block int, from_shard int, log_p binary, times binary, tokens long, distinct_tokens long")
