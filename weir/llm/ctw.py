@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from weir.llm.common import chunks, id_and_bytes, id_fold, in_blocks, shuffle_partitions
 
 DEPTH = 5
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 20 << 20
 SCAN_BYTES = 2 << 20
 START, END = 0xFE, 0xFF  # never bytes of UTF-8
 TOP = ("zeros", "ones", "below")
@@ -64,7 +64,7 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
 def sorted_counts(keys: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and their counts (or sums of weights)."""
     if weight is not None:
-        at = np.argsort(keys, kind="stable")
+        at = np.argsort(keys)
         keys, weight = keys[at], weight[at]
     else:
         keys = np.sort(keys)
@@ -315,7 +315,7 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         scores = []
         for i, j in chunks(bodies, SCAN_BYTES):
             k, owner = gram_keys(bodies[i:j])
-            order = np.argsort(k, kind="stable")
+            order = np.argsort(k)
             k = k[order]
             fresh = np.ones(len(k), bool)
             fresh[1:] = k[1:] != k[:-1]
