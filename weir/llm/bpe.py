@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from weir.llm.common import id_and_bytes
 
 FREQUENT = 2e-6  # share of a task's runs from which a run is frequent: at most 500,000 of a task
-HELD_RUNS = 600_000  # runs a worker keeps the ids of, before it starts anew
+HELD_RUNS = 300_000  # runs, and words, a worker keeps the ids of before it starts anew
 MAGIC = 0x57454952
 
 

@@ -29,7 +29,7 @@ ORDERS = (3, 4)
 SHARE = 1e-5  # so a language has at most 100,000 n-grams of any corpus
 HASHES = 4
 BITS_PER_GRAM = 12
-HELD = 500_000  # runs a worker keeps the counts of
+HELD = 250_000  # runs a worker keeps the counts of
 FIELD = 40  # bits of each counter in a packed sum: texts up to 10^12 n-grams
 
 
