@@ -153,3 +153,24 @@ def test_insert_paths_agree(spark):
     got_a = sorted(((r.transaction_id, r.station_id) for r in a.collect()), key=repr)
     assert got_a == sorted(((r.transaction_id, r.station_id) for r in b.collect()), key=repr)
     assert sorted(got_a, key=repr) == sorted([("k1", 1), ("k3", 7), (None, 8)], key=repr)
+
+
+def test_ns_timestamps_keep_every_microsecond(spark, tmp):
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from weir.sources.files import read_parquet_with_lineage
+
+    base = 1_726_000_000_123_457
+    micros = [base + 7919 * i for i in range(3000)]
+    pq.write_table(pa.table({"t": pa.array([m * 1000 for m in micros], pa.timestamp("ns"))}), f"{tmp}/ns.parquet",
+                   version="2.6")
+    rows = read_parquet_with_lineage(spark, f"{tmp}/ns.parquet", ("t",)).selectExpr("unix_micros(t) AS u").collect()
+    assert sorted(r.u for r in rows) == micros
+
+
+def test_export_stream_by_folder_reads_ns(spark, tmp):
+    from weir.streaming.file_ingest import export_stream
+
+    schema = export_stream(spark, tmp, partitioned_by_file=True).schema
+    assert schema["visited_at"].dataType.simpleString() == "timestamp" and "source_file" in schema.names

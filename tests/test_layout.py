@@ -56,3 +56,22 @@ def test_hash_partition_and_report(spark):
     df = hash_partition(spark.range(100).withColumn("u", F.col("id") % 7), "u", n=4)
     rep = partition_record_counts(df, "x").collect()
     assert sum(r.records for r in rep) == 100 and len(rep) <= 4
+
+
+def test_measure_sees_a_file_rewritten_in_place(spark, tmp):
+    import os
+
+    path = f"{tmp}/side.json"
+
+    def size(n):
+        with open(path, "w") as f:
+            f.write("".join(f'{{"k": {i}}}\n' for i in range(n)))
+        if os.path.exists(f"{tmp}/.side.json.crc"):
+            os.remove(f"{tmp}/.side.json.crc")
+        return measure_bounded(spark.read.schema("k long").json(path)).rows
+
+    assert (size(1), size(5000)) == (1, 5000)
+
+
+def test_measure_gives_up_on_large_files_without_a_scan(spark):
+    assert measure_bounded(spark.range(1000), hopeless_bytes=10) is None

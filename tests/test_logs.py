@@ -42,3 +42,16 @@ def test_users_documents_round_trip(spark, tmp):
     log = G.parse_access_log(spark.createDataFrame([(x,) for x in LINES], "value string"))
     joined = {r.ip: r.user_id for r in G.requests_per_user(log, flat).collect()}
     assert joined == {"10.0.0.1": "u00000", "10.0.0.2": None, None: None}
+
+
+def test_odd_values_in_a_line_are_nulls(spark):
+    from weir.operators import logs as G
+
+    line = '1.2.3.4 - - [{}] "GET {} HTTP/1.1" 200 {} "-" "ua" level=INFO request_id=r1'
+    rows = [(line.format("garbage", "/a", "5"),), (line.format("10/Oct/2024:13:55:36 +0000", "/a?page=abc", "9" * 30),),
+            (line.format("10/Oct/2024:13:55:36 +0000", "/a?page=7", "5"),), ("no log line",)]
+    got = G.parse_access_log(spark.createDataFrame(rows, "value string")).collect()
+    assert got[0].ts is None and got[0].bytes == 5 and got[0].path == "/a"
+    assert got[1].page is None and got[1].bytes is None and got[1].ts is not None
+    assert got[2].page == 7 and got[2].status == 200 and got[2].error_type is None
+    assert all(v is None for v in got[3])

@@ -1,11 +1,11 @@
 """Joins whose strategy follows a *measured* size, never a guess.
 
 `broadcast()` ships a whole table to every executor, so it is only safe for
-a side whose size is bounded. `measure_bounded` reads at most
-``max_rows + 1`` rows of the (already filtered and projected) side and sums
-their real byte width. If the side fits, it is broadcast; otherwise the
-join stays a shuffle join, where AQE may still switch to a broadcast at
-run time and splits skewed (hot-key) partitions.
+a side whose size is bounded. `measure_bounded` counts the rows and real byte
+width of the (already filtered and projected) side by one plain aggregate. If the
+side fits, it is broadcast; otherwise the join stays a shuffle join, where AQE
+may still switch to a broadcast at run time and splits skewed (hot-key)
+partitions.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
+HOPELESS_BYTES = 64 * DEFAULT_MAX_BYTES  # a side this large by its files is not worth a scan to measure it
 
 
 @dataclass(frozen=True)
@@ -55,51 +56,28 @@ def _fixed_width(dt: T.DataType) -> int:
     return 8
 
 
-# Proven sizes, keyed by (plan semantic hash, exact input files, max_rows).
-# A new, removed or rewritten input file changes the key, so a proof is
-# only reused for the very files it measured.
-_PROVEN: dict[tuple, SideSize | None] = {}
+def _planned_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of the side's size (of a scan: its files' bytes)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def _proof_key(df: DataFrame, max_rows: int) -> tuple | None:
+def measure_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                    hopeless_bytes: int = HOPELESS_BYTES) -> SideSize | None:
+    """Exact rows and bytes of `df` if it has at most `max_rows` rows, else
+    None (no bound proven). One aggregate whose tasks each return one row;
+    it is run anew every time, so a rewritten file is measured as it is now.
+    A side planned at more than `hopeless_bytes` is not measured."""
     try:
-        files = tuple(sorted(df.inputFiles()))
-        if not files:
+        if _planned_bytes(df) > hopeless_bytes:
             return None
-        return (df.semanticHash(), files, max_rows)
-    except Exception:  # noqa: BLE001 - sources without files (streams, JDBC)
-        return None
-
-
-def measure_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> SideSize | None:
-    """Exact rows and bytes of `df` if it has at most `max_rows` rows.
-
-    One small job that stops after ``max_rows + 1`` rows; returns None when
-    the side is larger (no bound proven). Repeated plans over unchanged
-    files reuse the earlier proof.
-    """
-    key = _proof_key(df, max_rows)
-    if key is not None and key in _PROVEN:
-        return _PROVEN[key]
-    size = _measure(df, max_rows)
-    if key is not None:
-        _PROVEN[key] = size
-    return size
-
-
-def _measure(df: DataFrame, max_rows: int) -> SideSize | None:
+    except (AttributeError, TypeError):  # Spark Connect: no plan statistics
+        pass
     width = F.lit(0).cast("long")
     for f in df.schema.fields:
         width = width + _width(F.col(f"`{f.name}`"), f.dataType)
-    row = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
-        .first()
-    )
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     n, b = int(row["n"]), int(row["b"] or 0)
-    if n > max_rows:
-        return None
-    return SideSize(n, b)
+    return SideSize(n, b) if n <= max_rows else None
 
 
 def broadcast_if_bounded(
@@ -111,9 +89,3 @@ def broadcast_if_bounded(
     if size is not None and size.bytes <= max_bytes:
         return F.broadcast(df), True
     return df, False
-
-
-def left_enrich(fact: DataFrame, dim: DataFrame, on, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    """fact LEFT JOIN dim; dim broadcast only if its measured size fits."""
-    side, _ = broadcast_if_bounded(dim, max_bytes=max_bytes)
-    return fact.join(side, on=on, how="left")

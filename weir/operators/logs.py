@@ -16,30 +16,34 @@ LOG_PATTERN = (
     r'^(\S+) \S+ \S+ \[([^\]]+)\] "(\S+) (\S+) (\S+)" (\d{3}) (\d+) "([^"]*)" "([^"]*)"'
     r" level=(\S+) request_id=(\S+)(?: error_type=ERROR:(\S+))?$"
 )
+SEPARATOR = "\x01"
 _FIELDS = ("ip", "time", "method", "target", "protocol", "status", "bytes", "referrer",
            "user_agent", "level", "request_id", "error_type")
 
 
 def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:
     """Typed columns from each line (regexp, JVM side).
-    A line that does not match gives nulls (kept, not dropped)."""
-    ex = {f: F.regexp_extract(col, LOG_PATTERN, i + 1) for i, f in enumerate(_FIELDS)}
-    matched = F.col(col).rlike(LOG_PATTERN)
-    target = ex["target"]
-    out = lines.select(
-        F.when(matched, ex["ip"]).alias("ip"),
-        F.when(matched, F.to_timestamp(ex["time"], LOG_TIME_FORMAT)).alias("ts"),
-        F.when(matched, ex["method"]).alias("method"),
-        F.when(matched, F.regexp_extract(target, r"^([^?]*)", 1)).alias("path"),
-        F.nullif(F.regexp_extract(target, r"[?&]page=([^&]*)", 1), F.lit("")).cast("int").alias("page"),
-        F.when(matched, ex["status"].cast("int")).alias("status"),
-        F.when(matched, ex["bytes"].cast("long")).alias("bytes"),
-        F.when(matched, ex["user_agent"]).alias("user_agent"),
-        F.when(matched, ex["level"]).alias("level"),
-        F.when(matched, ex["request_id"]).alias("request_id"),
-        F.nullif(ex["error_type"], F.lit("")).alias("error_type"),
+    A line that does not match gives nulls (kept, not dropped), and so does a
+    time, page or size that is none."""
+    # one pass of the pattern: its groups, set apart by a character that lines do not hold
+    joined = SEPARATOR.join(f"${i + 1}" for i in range(len(_FIELDS)))
+    parts = F.split(F.regexp_replace(F.translate(F.col(col), SEPARATOR, ""), LOG_PATTERN, joined), SEPARATOR)
+    rows = lines.select(parts.alias("parts"))
+    held = {f: F.when(F.size("parts") == len(_FIELDS), F.col("parts")[i]) for i, f in enumerate(_FIELDS)}
+    target = held["target"]
+    return rows.select(
+        held["ip"].alias("ip"),
+        F.try_to_timestamp(held["time"], F.lit(LOG_TIME_FORMAT)).alias("ts"),
+        held["method"].alias("method"),
+        F.regexp_extract(target, r"^([^?]*)", 1).alias("path"),
+        F.nullif(F.regexp_extract(target, r"[?&]page=([^&]*)", 1), F.lit("")).try_cast("int").alias("page"),
+        held["status"].try_cast("int").alias("status"),
+        held["bytes"].try_cast("long").alias("bytes"),
+        held["user_agent"].alias("user_agent"),
+        held["level"].alias("level"),
+        held["request_id"].alias("request_id"),
+        F.nullif(held["error_type"], F.lit("")).alias("error_type"),
     )
-    return out
 
 
 def error_counts(parsed: DataFrame) -> DataFrame:

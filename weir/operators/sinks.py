@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,6 +146,8 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType)
     already there; returns the table."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - the path does not exist yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
         return spark.read.schema(schema).parquet(path)

@@ -158,14 +158,15 @@ def dataset_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records per Spark partition of each KPI input (layout-dependent,
-    so checked by row totals only)."""
-    ev, items, users = _inputs(spark, sf_dir)
+    """Records of each KPI input, summed from its records per Spark
+    partition (which depend on the layout), and whether it has any."""
     out = None
-    for name, df in (("users", users), ("items", items), ("events", ev)):
+    for name, df in zip(("events", "items", "users"), _inputs(spark, sf_dir)):
         r = L.partition_record_counts(df, name)
         out = r if out is None else out.unionByName(r)
-    return out
+    return out.groupBy("dataset").agg(
+        F.sum("records").alias("records"), (F.count_distinct("partition") >= 1).alias("has_partitions"))
+
 
 
 def item_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,6 +75,7 @@ ORACLE: dict[str, str] = {
     "conditional_revenue": oracle.CONDITIONAL_REVENUE,
     "filter_non_negative": oracle.FILTER_NON_NEGATIVE,
     "removed_row_count": oracle.REMOVED_ROW_COUNT,
+    "partition_report": oracle.PARTITION_REPORT,
     "broadcast_left_enrich": oracle.BROADCAST_LEFT_ENRICH,
     "repartition_user_join": oracle.BROADCAST_LEFT_ENRICH,
     "kpi_grouped": oracle.KPI_GROUPED,

@@ -16,8 +16,7 @@ from weir.sources.tables import read_table, spread
 
 # ------------------------------------------------------------------- KPI
 
-# The fixture's item range and country bucket count.
-ITEM_KEY_LIMIT = 80  # items = part rows with p_partkey below this
+# Fixed value: the fixture's country bucket count.
 COUNTRY_BUCKETS = 25  # country = 'N' || user_id % 25
 
 
@@ -33,6 +32,11 @@ def event_price(event_id: Column, value: Column) -> Column:
     return F.when(m == 11, F.lit(None).cast("double")).when(m == 7, -value).otherwise(value)
 
 
+def event_item(event_id: Column, key: Column) -> Column:
+    """The event's item; every tenth event names one that no table has."""
+    return F.when(event_id % 10 == 3, -1 - key).otherwise(key)
+
+
 def kpi_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested events: ts string, event, user_id, item_id, context, props, exp."""
     e = read_table(spark, sf_dir, "events")
@@ -41,7 +45,7 @@ def kpi_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _iso_ts(F.col("ts")).alias("ts"),
         F.col("event_type").alias("event"),
         F.col("user_id").cast("int").alias("user_id"),
-        F.get_json_object("props", "$.k").cast("int").alias("item_id"),
+        event_item(F.col("event_id"), F.get_json_object("props", "$.k").cast("int")).alias("item_id"),
         F.struct(
             F.concat(F.lit("N"), (F.col("user_id") % COUNTRY_BUCKETS).cast("string")).alias("country"),
             F.element_at(F.array(F.lit("web"), F.lit("ios"), F.lit("android")),
@@ -61,7 +65,7 @@ def kpi_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kpi_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items: item_id int, category string, tags array<string>."""
-    p = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") < ITEM_KEY_LIMIT)
+    p = read_table(spark, sf_dir, "part")
     return p.select(
         F.col("p_partkey").cast("int").alias("item_id"),
         F.col("p_type").alias("category"),
@@ -206,7 +210,7 @@ def stream_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("value"),
         F.lit(STREAM_TOPIC).alias("topic"),
         (F.col("event_id") % STREAM_PARTITIONS).cast("int").alias("partition"),
-        F.floor(F.col("event_id") / STREAM_PARTITIONS).cast("long").alias("offset"),
+        F.expr(f"event_id div {STREAM_PARTITIONS}").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
 
@@ -328,11 +332,14 @@ def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(line.alias("value"))
 
 
+USER_LANGUAGES = ("nl", "pt", "sv", "it", "pl", "fi")
+
+
 def user_documents_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One user (D16 `users` element) per customer; ip shared with the log."""
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    langs = F.array(*[F.lit(x) for x in ("en", "es", "de", "fr", "ru", "zh")])
+    langs = F.array(*[F.lit(x) for x in USER_LANGUAGES])
     return c.select(
         F.format_string("u%05d", k).alias("id"),
         F.struct(
@@ -345,7 +352,7 @@ def user_documents_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("+1-555-"), F.lpad(k.cast("string"), 7, "0")).alias("phone"),
         ).alias("contact"),
         F.struct(
-            F.element_at(langs, (F.col("c_nationkey") % 6 + 1).cast("int")).alias("lang"),
+            F.element_at(langs, (F.col("c_nationkey") % len(USER_LANGUAGES) + 1).cast("int")).alias("lang"),
             (F.col("c_acctbal") > 0).alias("marketing_opt_in"),
             F.when(k % 2 == 0, "light").otherwise("dark").alias("theme"),
         ).alias("preferences"),

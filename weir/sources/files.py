@@ -67,7 +67,7 @@ def read_parquet_with_lineage(spark: SparkSession, path: str,
     df = spark.read.parquet(path)
     for c in ns_timestamp_cols:
         if c in df.columns and isinstance(df.schema[c].dataType, T.LongType):
-            df = df.withColumn(c, F.timestamp_micros(F.floor(F.col(c) / 1000).cast("long")))
+            df = df.withColumn(c, F.expr(f"timestamp_micros(`{c}` div 1000)"))
     if "source_file" in df.columns:
         return df
     return df.withColumn("source_file", F.col("_metadata.file_name"))

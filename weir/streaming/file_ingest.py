@@ -45,7 +45,7 @@ def export_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
             T.StructField(f.name, T.LongType()) if f.name == "visited_at" else f for f in schema.fields
         ])
     if partitioned_by_file:
-        schema = T.StructType(FUEL_EXPORT.fields + [T.StructField("source_file", T.StringType())])
+        schema = T.StructType(schema.fields + [T.StructField("source_file", T.StringType())])
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -53,7 +53,7 @@ def export_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = r.parquet(landing)
     if visited_at_ns:
-        df = df.withColumn("visited_at", F.timestamp_micros(F.floor(F.col("visited_at") / 1000).cast("long")))
+        df = df.withColumn("visited_at", F.expr("timestamp_micros(visited_at div 1000)"))
     if not partitioned_by_file:
         df = df.withColumn("source_file", F.col("_metadata.file_name"))
     return df
