@@ -182,7 +182,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0
     asked = rows.where(is_query).dropDuplicates(["vec_id", "v"]).mapInArrow(lambda b: route(b, True), schema)
     sizes = {(r.d, r.part): r["count"] for r in indexed.groupBy("d", "part").count().collect()}
     total = sum(sizes.values())
-    rows_a_block = min(BLOCK_ROWS, max(256, total // 128))
+    rows_a_block = min(BLOCK_ROWS, max(2048, total // 128))
     cells = [(d, p, max(1, math.ceil(sizes.get((d, p), 0) / rows_a_block)), plan[d][2])
              for d, (parts, _, _) in plan.items() for p in range(parts)]
     # one row per part: how many blocks its rows and the queries fall into
