@@ -66,12 +66,14 @@ class SortedLists:
         place = np.where(down, n - 1 - self.place, self.place)  # in reading order
         worst = q * np.where(down, self.sorted[0], self.sorted[-1])
         few = max(4 * k, 32)
-        for depth in sorted({max(1, n * i // 16) for i in (1, 2, 3, 4, 5, 6, 8, 10, 12)} | {n}):
-            read = place < depth
+        product = self.values * q
+        for depth in sorted({max(1, n * i // 16) for i in (4, 7, 9, 11, 13)} | {n}):
+            read = (place < depth).astype(float)
             frontier = q * np.where(down, self.sorted[n - depth], self.sorted[depth - 1])
-            known = (self.values * read) @ q
-            lower = np.where(own, known + worst.sum() - read @ worst, -np.inf)
-            upper = known + frontier.sum() - read @ frontier
+            known = np.einsum("ij,ij->i", read, product)
+            unread = np.stack([worst, frontier], axis=1)
+            lower, upper = (known[:, None] + unread.sum(axis=0) - read @ unread).T
+            lower = np.where(own, lower, -np.inf)
             bar = np.partition(lower, n - k)[n - k]
             may = upper >= bar
             if int(may.sum()) <= few:
