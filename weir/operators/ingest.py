@@ -19,8 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.functions.columns import empty_if_null, false_if_null
-from weir.operators.sinks import manifest_append, manifest_entries, rows_to_insert
+from weir.operators.joins import broadcast_if_bounded
+from weir.operators.sinks import manifest_append, rows_to_insert
 from weir.schemas import FUEL_TARGET_KEY
+from weir.session import checkpoint_root
 
 # The columns that make "first row wins" a total order
 # (file name first, then the row's own values).
@@ -54,8 +56,9 @@ def flatten_fuel(df: DataFrame, with_load_time: bool = True) -> DataFrame:
 
 def unprocessed(rows: DataFrame, manifest: DataFrame, file_col: str = "source_file") -> DataFrame:
     """Rows whose file is not in the manifest (anti join by
-    basename; null-safe, unlike NOT IN)."""
-    m = manifest.select(F.col("filename").alias(file_col))
+    basename; null-safe, unlike NOT IN). A manifest of a measured size is
+    broadcast, so the rows are not shuffled by their few file names."""
+    m, _ = broadcast_if_bounded(manifest.select(F.col("filename").alias(file_col)))
     return rows.join(m, on=file_col, how="left_anti")
 
 
@@ -66,14 +69,20 @@ def new_file_names(files: DataFrame, manifest: DataFrame, name_col: str = "filen
     )
 
 
-def rejected_files(rows: DataFrame, file_col: str = "source_file") -> DataFrame:
-    """Files with at least one NOT NULL violation (the whole file is
-    rejected, as a per-file transaction would roll back)."""
-    bad = None
+def new_names(files: DataFrame, manifest: DataFrame, name_col: str = "filename") -> list[str]:
+    """The new file names themselves, to prune the scan by partition value
+    before it starts. The driver holds no more than the file listing that
+    any scan of the landing keeps there anyway."""
+    return sorted(r[0] for r in new_file_names(files, manifest, name_col).collect())
+
+
+def file_counts(rows: DataFrame, file_col: str = "source_file") -> DataFrame:
+    """Per file: its rows and those that break NOT NULL (a file with any is
+    rejected whole, as a per-file transaction would roll back)."""
+    bad = F.lit(False)
     for c in NOT_NULL:
-        cond = F.col(c).isNull()
-        bad = cond if bad is None else (bad | cond)
-    return rows.groupBy(file_col).agg(F.count_if(bad).alias("bad_rows")).filter("bad_rows > 0")
+        bad = bad | F.col(c).isNull()
+    return rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows_loaded"), F.count_if(bad).alias("bad_rows"))
 
 
 @dataclass
@@ -85,17 +94,25 @@ class IngestStep:
 
 
 def ingest_step(incoming: DataFrame, target: DataFrame, manifest: DataFrame) -> IngestStep:
-    """One load run over export rows (`source_file` set per row)."""
+    """One load run over export rows (`source_file` set per row).
+
+    The per-file counts are taken once and checkpointed (one row per file);
+    rejects, manifest entries and the attempted rows all come from them."""
+    checkpoint_root(incoming.sparkSession)
     fresh = unprocessed(incoming, manifest)
-    rejected = rejected_files(fresh)
-    good = fresh.join(rejected.select("source_file"), "source_file", "left_anti")
+    files = file_counts(fresh).checkpoint()
+    rejected = files.filter("bad_rows > 0").select("source_file", "bad_rows")
+    loaded = files.filter("bad_rows = 0")
+    refused, _ = broadcast_if_bounded(rejected.select("source_file"))
+    good = fresh.join(refused, "source_file", "left_anti")
     flat = flatten_fuel(good, with_load_time=False)
     inserts = rows_to_insert(flat, target, FUEL_TARGET_KEY, FIRST_WINS_ORDER, keys_superset=incoming)
     inserts = inserts.withColumn("loaded_at", F.current_timestamp())
-    entries = manifest_entries(good)
+    entries = loaded.select(F.col("source_file").alias("filename"), F.current_timestamp().alias("processed_at"),
+                            "rows_loaded")
     return IngestStep(
         inserts=inserts,
         manifest_new=manifest_append(manifest, entries),
         rejected=rejected,
-        attempted=entries.select(F.col("filename").alias("source_file"), "rows_loaded"),
+        attempted=loaded.select("source_file", "rows_loaded"),
     )

@@ -123,14 +123,14 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("filename", T.StringType(), False),
     T.StructField("processed_at", T.TimestampType(), True),
-    T.StructField("rows_loaded", T.IntegerType(), True),
+    T.StructField("rows_loaded", T.LongType(), True),
 ])
 
 
 def manifest_entries(loaded: DataFrame, file_col: str = "source_file") -> DataFrame:
     """Rows attempted per file (conflicts included), stamped now."""
     return loaded.groupBy(F.col(file_col).alias("filename")).agg(
-        F.count(F.lit(1)).cast("int").alias("rows_loaded")
+        F.count(F.lit(1)).alias("rows_loaded")
     ).select("filename", F.current_timestamp().alias("processed_at"), "rows_loaded")
 
 

@@ -7,14 +7,15 @@ run (it is in the manifest and its rows are in the target).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.operators import ingest as I
 from weir.operators import quality as Q
-from weir.operators.sinks import rows_to_insert
-from weir.schemas import FUEL_TARGET_KEY, FUEL_TARGET_RULES
-from weir.operators.sinks import write_partitioned
+from weir.operators.sinks import MANIFEST_SCHEMA, first_per_key, write_partitioned
+from weir.schemas import FUEL_TARGET, FUEL_TARGET_KEY, FUEL_TARGET_RULES
 from weir.session import scratch_path
 from weir.sources import datasets as D
 from weir.sources.files import list_files, read_parquet_with_lineage
@@ -23,46 +24,70 @@ from weir.sources.files import list_files, read_parquet_with_lineage
 EARLIER_RUN_AT = "2000-01-01 00:00:00"
 
 
-def _state(spark: SparkSession, sf_dir: str):
-    rows = D.fuel_rows(spark, sf_dir)
+@dataclass(frozen=True)
+class Stored:
+    """What an ingestion run finds: landing folders, target and manifest, each written once."""
+    landing: str
+    target_path: str
+    manifest_path: str
+    rows: DataFrame       # the landing read back, one partition value per export
+    target: DataFrame
+    manifest: DataFrame
+
+
+def write_landing(rows: DataFrame, landing: str) -> None:
+    """The export files on disk, one `source_file=<name>/` folder per export
+    (Spark cannot name its output files). Written without a shuffle: each
+    task adds a part file to the few folders it has rows for; the folder,
+    not the part file, is the unit the manifest records."""
+    write_partitioned(rows, landing, "source_file", few_values=True)
+
+
+def stored_state(spark: SparkSession, sf_dir: str) -> Stored:
+    """The driver tables are read once, for the landing. The earlier run's
+    target and manifest are loaded from its landing folders alone."""
+    root = scratch_path(spark, "ingest-state")
+    landing, target, manifest = f"{root}/landing", f"{root}/target", f"{root}/manifest"
+    write_landing(D.fuel_rows(spark, sf_dir), landing)
+    rows = read_parquet_with_lineage(spark, landing, ("visited_at",))
     before = rows.filter(F.col("source_file").isin(*D.FUEL_LOADED_BEFORE))
-    manifest0 = before.groupBy(F.col("source_file").alias("filename")).agg(
-        F.lit(EARLIER_RUN_AT).cast("timestamp").alias("processed_at"),
-        F.count(F.lit(1)).cast("int").alias("rows_loaded"),
-    )
-    flat0 = I.flatten_fuel(before, with_load_time=False)
-    empty = flat0.limit(0)
-    target0 = rows_to_insert(flat0, empty, FUEL_TARGET_KEY, I.FIRST_WINS_ORDER)
-    return rows, manifest0, target0
+    first = first_per_key(I.flatten_fuel(before, with_load_time=False), FUEL_TARGET_KEY, I.FIRST_WINS_ORDER)
+    first.withColumn("loaded_at", F.lit(EARLIER_RUN_AT).cast("timestamp")) \
+        .select(*FUEL_TARGET.fieldNames()).write.parquet(target)
+    before.groupBy(F.col("source_file").alias("filename")).agg(
+        F.lit(EARLIER_RUN_AT).cast("timestamp").alias("processed_at"), F.count(F.lit(1)).alias("rows_loaded"),
+    ).write.parquet(manifest)
+    return Stored(landing, target, manifest, rows,
+                  spark.read.schema(FUEL_TARGET).parquet(target),
+                  spark.read.schema(MANIFEST_SCHEMA).parquet(manifest))
 
 
-def _run(spark: SparkSession, sf_dir: str):
-    rows, manifest0, target0 = _state(spark, sf_dir)
-    step = I.ingest_step(rows, target0, manifest0)
-    return rows, manifest0, target0, step
+def _listed(spark: SparkSession, s: Stored) -> DataFrame:
+    """Exports in the landing, by folder name (no contents are read)."""
+    listed = list_files(spark, s.landing, recursive=True)
+    return listed.select(F.regexp_extract("folder", r"^source_file=(.+)$", 1).alias("filename"))
 
 
-def _final_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, target0, step = _run(spark, sf_dir)
-    return target0.unionByName(step.inserts.drop("loaded_at"))
+def _new_rows(spark: SparkSession, s: Stored) -> DataFrame:
+    """S12 then S6: list first, then read the new folders only."""
+    return s.rows.filter(F.col("source_file").isin(I.new_names(_listed(spark, s), s.manifest)))
 
 
-def write_landing(spark: SparkSession, rows: DataFrame) -> str:
-    """The export files on disk, one `source_file=<name>/` folder per export
-    (Spark cannot name its output files). Written with the rebalancing
-    writer, so a large export is several part files written in parallel;
-    the folder, not the part file, is the unit the manifest records."""
-    landing = scratch_path(spark, "landing")
-    write_partitioned(rows, landing, "source_file", few_values=True)
-    return landing
+def _run(spark: SparkSession, sf_dir: str) -> tuple[Stored, I.IngestStep]:
+    s = stored_state(spark, sf_dir)
+    return s, I.ingest_step(_new_rows(spark, s), s.target, s.manifest)
+
+
+def _final_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s, step = _run(spark, sf_dir)
+    return s.target.drop("loaded_at").unionByName(step.inserts.drop("loaded_at"))
 
 
 def flatten_nested_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The export files read back with their lineage,
     new files only, flattened (load time left out: it is the clock)."""
-    rows, manifest0, _ = _state(spark, sf_dir)
-    files = read_parquet_with_lineage(spark, write_landing(spark, rows), ("visited_at",))
-    return I.flatten_fuel(I.unprocessed(files, manifest0), with_load_time=False)
+    s = stored_state(spark, sf_dir)
+    return I.flatten_fuel(_new_rows(spark, s), with_load_time=False)
 
 
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,21 +98,19 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files listed in the landing folder (by export name)
     that are not in the manifest."""
-    rows, manifest0, _ = _state(spark, sf_dir)
-    listed = list_files(spark, write_landing(spark, rows), recursive=True)
-    names = listed.select(F.regexp_extract("folder", r"^source_file=(.+)$", 1).alias("filename"))
-    return I.new_file_names(names, manifest0)
+    s = stored_state(spark, sf_dir)
+    return I.new_file_names(_listed(spark, s), s.manifest)
 
 
 def manifest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: the manifest after the run (filename, rows_loaded)."""
-    _, manifest0, _, step = _run(spark, sf_dir)
-    return manifest0.unionByName(step.manifest_new).select("filename", "rows_loaded")
+    s, step = _run(spark, sf_dir)
+    return s.manifest.unionByName(step.manifest_new).select("filename", "rows_loaded")
 
 
 def rows_loaded_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows attempted per loaded file (conflicts included)."""
-    return _run(spark, sf_dir)[3].attempted
+    return _run(spark, sf_dir)[1].attempted
 
 
 def top10_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,8 +132,8 @@ def revenue_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest, newest first."""
-    _, manifest0, _, step = _run(spark, sf_dir)
-    m = manifest0.unionByName(step.manifest_new)
+    s, step = _run(spark, sf_dir)
+    m = s.manifest.unionByName(step.manifest_new)
     return m.orderBy(F.col("processed_at").desc_nulls_first()).select("filename", "rows_loaded")
 
 
@@ -123,11 +146,14 @@ def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def service_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions per service (explode of `services`) in the loaded
-    target, and how many carry service 'F' (array_contains)."""
-    t = _final_target(spark, sf_dir)
-    per_service = t.select(F.explode("services").alias("service")).groupBy("service").agg(
-        F.count(F.lit(1)).alias("transactions")
+    target, and how many carry service 'F' (array_contains). The target is
+    first counted per distinct list, so both figures come from one pass over
+    it and few rows are exploded."""
+    lists = _final_target(spark, sf_dir).groupBy("services").agg(F.count(F.lit(1)).alias("n"))
+    per_service = lists.select(F.explode("services").alias("service"), "n").groupBy("service").agg(
+        F.sum("n").alias("transactions")
     )
-    with_f = t.agg(F.count_if(F.array_contains("services", "F")).alias("transactions")) \
-        .select(F.lit("has:F").alias("service"), "transactions")
+    with_f = lists.filter(F.array_contains("services", "F")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("transactions")
+    ).select(F.lit("has:F").alias("service"), "transactions")
     return per_service.unionByName(with_f)

@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.operators.sinks import write_partitioned
-from weir.plans.ingest import _state
+from weir.plans.ingest import stored_state
 from weir.session import scratch_path
 from weir.sources import datasets as D
 from weir.streaming import events as S
@@ -41,14 +40,10 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export files streamed into the keyed target (processed files
     archived by the source); the target read back (load time left out)."""
-    root = scratch_path(spark, "ingest")
-    landing, target, manifest = f"{root}/landing", f"{root}/target", f"{root}/manifest"
-    rows, manifest0, target0 = _state(spark, sf_dir)
     # one folder per export (possibly several part files); all new files go
     # into one trigger, so an export is never split across batches
-    write_partitioned(rows, landing, "source_file", few_values=True)
-    target0.withColumn("loaded_at", F.current_timestamp()).write.parquet(target)
-    manifest0.write.parquet(manifest)
-    run_file_ingest(spark, landing, target, manifest, f"{root}/checkpoint", partitioned_by_file=True,
-                    visited_at_ns=False, archive_dir=f"{root}/archive")
-    return spark.read.parquet(target).drop("loaded_at")
+    s = stored_state(spark, sf_dir)
+    root = scratch_path(spark, "ingest")
+    run_file_ingest(spark, s.landing, s.target_path, s.manifest_path, f"{root}/checkpoint",
+                    partitioned_by_file=True, visited_at_ns=False, archive_dir=f"{root}/archive")
+    return spark.read.parquet(s.target_path).drop("loaded_at")
