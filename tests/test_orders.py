@@ -27,13 +27,23 @@ def test_totals_from_nested_lines(spark):
     assert (r.subtotal, r.tax, r.total) == (Decimal("58.12"), Decimal("4.07"), Decimal("62.19"))
 
 
+def test_documents_carry_their_lines_and_totals(spark):
+    headers = spark.createDataFrame([(1, "USD"), (2, "EUR")], "order_id long, currency string")
+    lines = O.with_amount(spark.createDataFrame(
+        [(1, "t", "n", 2, Decimal("29.0000"), "m"), (1, "s", "n", 3, Decimal("0.0415"), "m")],
+        "order_id long, sku string, name string, qty int, unit_price decimal(18,4), usage_month string"))
+    got = {r.order_id: r for r in O.with_nested_totals(O.order_documents(headers, lines)).collect()}
+    assert [(x.sku, x.amount) for x in got[1].lines] == [("s", Decimal("0.12")), ("t", Decimal("58.00"))]
+    assert (got[1].subtotal, got[1].total) == (Decimal("58.12"), Decimal("62.19"))
+    assert got[2].lines == [] and got[2].total == Decimal("0.00")   # order without lines
+
+
 def test_validation_names_failed_rules(spark):
     headers = spark.createDataFrame([(1, "paid", "USD"), (2, "unknown", "XXX")],
                                     "order_id long, status string, currency string")
     lines = spark.createDataFrame([(1, 1, Decimal("1.0"), Decimal("1.00")), (2, 0, Decimal("1.0"), Decimal("0.00"))],
                                   "order_id long, qty int, unit_price decimal(18,4), amount decimal(18,2)")
-    totals = O.order_totals(lines, headers.withColumn("currency", F.lit("USD")))
-    got = {r.order_id: (r.valid, r.failed_rules) for r in O.validate_orders(headers, totals, lines).collect()}
+    got = {r.order_id: (r.valid, r.failed_rules) for r in O.validate_orders(headers, lines).collect()}
     assert got[1] == (True, "")
     assert got[2] == (False, "qty>=1,status,currency")
 

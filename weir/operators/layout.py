@@ -42,6 +42,18 @@ def first_partition_value(spark: SparkSession, root: str, col: str):
     return spark.read.parquet(root).agg(F.min(col).alias("v")).first()["v"]
 
 
+def compare_layouts(layouts: dict[str, DataFrame], amount: str) -> DataFrame:
+    """One row per stored layout of the same result: its rows, the sum
+    of a decimal column and its files (those that hold rows)."""
+    out = None
+    for name, df in layouts.items():
+        r = df.select(F.col(amount), F.col("_metadata.file_path").alias("file")).agg(
+            F.lit(name).alias("layout"), F.count(F.lit(1)).alias("rows"),
+            F.sum(amount).cast("decimal(22,2)").alias(amount), F.count_distinct("file").alias("files"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def files_per_partition(df: DataFrame, col: str) -> DataFrame:
     """Output files per partition value, from file metadata."""
     return df.groupBy(col).agg(F.countDistinct(F.col("_metadata.file_path")).alias("files"))

@@ -28,6 +28,11 @@ def line_amount(unit_price: Column, qty: Column) -> Column:
     return F.round(unit_price.cast("decimal(18,4)") * qty, 2).cast(MONEY)
 
 
+def with_amount(lines: DataFrame) -> DataFrame:
+    """A15 per line: amount = round(unit_price x qty, 2)."""
+    return lines.withColumn("amount", line_amount(F.col("unit_price"), F.col("qty")))
+
+
 def with_tax_and_total(df: DataFrame) -> DataFrame:
     """subtotal + currency -> tax, total."""
     tax = F.round(F.col("subtotal") * tax_rate(F.col("currency")), 2).cast(MONEY)
@@ -45,29 +50,40 @@ def order_totals(lines: DataFrame, headers: DataFrame) -> DataFrame:
     return with_tax_and_total(j).select("order_id", "currency", "subtotal", "tax", "total")
 
 
-def order_totals_nested(docs: DataFrame) -> DataFrame:
-    """A15 over documents with a `lines` array: per-document fold, no
-    shuffle at all."""
+def with_nested_totals(docs: DataFrame) -> DataFrame:
+    """A15 over documents with a `lines` array (null: no lines): subtotal,
+    tax and total by a per-document fold, no shuffle at all."""
     sub = F.aggregate(
         "lines", F.lit(0).cast(MONEY),
         lambda acc, ln: (acc + line_amount(ln["unit_price"], ln["qty"])).cast(MONEY),
     )
-    return with_tax_and_total(docs.withColumn("subtotal", sub.cast(MONEY))).select(
-        "order_id", "currency", "subtotal", "tax", "total"
-    )
+    return with_tax_and_total(docs.withColumn("subtotal", F.coalesce(sub, F.lit(0)).cast(MONEY)))
+
+
+def order_totals_nested(docs: DataFrame) -> DataFrame:
+    """The totals of `with_nested_totals` alone, one row per document."""
+    return with_nested_totals(docs).select("order_id", "currency", "subtotal", "tax", "total")
+
+
+def order_documents(headers: DataFrame, lines: DataFrame) -> DataFrame:
+    """Headers with their `lines` array (D12), in a fixed order. A document
+    is one record by its format, so all lines of an order meet in one row."""
+    fields = ("sku", "name", "qty", "unit_price", "amount", "usage_month")
+    nested = lines.groupBy("order_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("lines"))
+    return headers.join(nested, "order_id", "left").withColumn("lines", F.coalesce("lines", F.array()))
 
 
-def validate_orders(headers: DataFrame, totals: DataFrame, lines: DataFrame) -> DataFrame:
-    """V2: order_id, valid, failed_rules (comma list). Line rules are
-    folded per order with bool_and (map-side combined)."""
-    line_ok = lines.groupBy("order_id").agg(
+def validate_orders(headers: DataFrame, lines: DataFrame) -> DataFrame:
+    """V2: order_id, valid, failed_rules (comma list). Totals and line rules
+    are folded in one grouped pass over the lines (map-side combined)."""
+    folded = lines.groupBy("order_id").agg(
+        F.sum("amount").cast(MONEY).alias("subtotal"),
         F.bool_and(F.col("qty") >= 1).alias("lines_qty_ok"),
         F.bool_and(F.col("unit_price") >= 0).alias("lines_unit_price_ok"),
         F.bool_and(F.col("amount") >= 0).alias("lines_amount_ok"),
     )
-    j = headers.select("order_id", "status", "currency").join(
-        totals.select("order_id", "subtotal", "tax", "total"), "order_id", "left"
-    ).join(line_ok, "order_id", "left")
+    j = headers.select("order_id", "status", "currency").join(folded, "order_id", "left")
+    j = with_tax_and_total(j.withColumn("subtotal", F.coalesce(F.col("subtotal"), F.lit(0).cast(MONEY))))
     rules = {
         "qty>=1": F.coalesce(F.col("lines_qty_ok"), F.lit(True)),
         "unit_price>=0": F.coalesce(F.col("lines_unit_price_ok"), F.lit(True)),
@@ -91,18 +107,19 @@ def _retryable(status: Column) -> Column:
 def fetch_outcomes(attempts: DataFrame, max_attempts: int = 5) -> DataFrame:
     """per item, the first attempt that ends it: 200 -> fetched, other
     non-retryable -> gave_up; none within `max_attempts` -> exhausted.
-    A grouped min of (attempt, status) over terminal rows."""
+    A grouped min over terminal rows of attempt * 1000 + status (statuses
+    have three digits): one long, so it stays a hash aggregate."""
     a = attempts.filter(F.col("attempt") <= max_attempts)
-    terminal = F.when(~_retryable(F.col("status")), F.struct("attempt", "status"))
-    first = a.groupBy("item_id").agg(F.min(terminal).alias("first"))
+    code = F.col("attempt").cast("long") * 1000 + F.col("status")
+    first = a.groupBy("item_id").agg(F.min(F.when(~_retryable(F.col("status")), code)).alias("first"))
     outcome = (
         F.when(F.col("first").isNull(), F.lit("exhausted"))
-        .when(F.col("first.status") == 200, F.lit("fetched"))
+        .when(F.col("first") % 1000 == 200, F.lit("fetched"))
         .otherwise(F.lit("gave_up"))
     )
     return first.select(
         "item_id", outcome.alias("outcome"),
-        F.coalesce(F.col("first.attempt"), F.lit(max_attempts)).alias("attempts"),
+        F.coalesce(F.expr("first div 1000").cast("int"), F.lit(max_attempts)).alias("attempts"),
     )
 
 

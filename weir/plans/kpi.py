@@ -143,6 +143,15 @@ def kpi_file_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.files_per_partition(spark.read.parquet(out), "date")
 
 
+def kpi_layout_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI (an aggregated, small result) written as date folders
+    and again as one file; rows, revenue and files of both, side by side."""
+    folders = spark.read.parquet(_write_kpi(spark, sf_dir, one_file_per_date=True))
+    single = f"{scratch_path(spark, 'daily_kpi_one')}/table"
+    L.coalesce_one(folders).write.parquet(single)
+    return L.compare_layouts({"date_folders": folders, "one_file": spark.read.parquet(single)}, "revenue")
+
+
 def kpi_partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The date partitions of the written table."""
     out = _write_kpi(spark, sf_dir, one_file_per_date=False)

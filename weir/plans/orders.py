@@ -17,35 +17,44 @@ ORDER_CSV_SCHEMA = "order_id long, account_id long, company string, status strin
     "subtotal double, tax double, total double, created_at string"
 
 
-def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.order_totals(D.order_lines(spark, sf_dir), D.order_headers(spark, sf_dir))
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return O.with_amount(D.order_lines(spark, sf_dir))
 
 
 def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subtotal, tax, total per order in decimal."""
-    return _totals(spark, sf_dir)
+    return O.order_totals(_lines(spark, sf_dir), D.order_states(spark, sf_dir))
 
 
-def order_fields_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order documents as JSON -> strict read (malformed
-    document or missing field fails) -> the 9 CSV fields -> CSV in order_id
-    order (range-partitioned parts) -> loaded back."""
-    root = scratch_path(spark, "orders")
-    docs = D.order_headers(spark, sf_dir).join(_totals(spark, sf_dir).drop("currency"), "order_id")
+def _documents(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Order documents with their lines as JSON, read back strictly
+    (a malformed document or a missing field fails)."""
+    docs = O.with_nested_totals(O.order_documents(D.order_headers(spark, sf_dir), _lines(spark, sf_dir)))
     docs.select(
-        "order_id", "account_id", "company", "contact", "status", "currency",
+        "order_id", "account_id", "company", "contact", "status", "currency", "lines",
         *[F.col(c).cast("double").alias(c) for c in ("subtotal", "tax", "total")],
         "created_at", "source",
-    ).write.mode("overwrite").json(f"{root}/docs")
-    read = read_documents_strict(spark, f"{root}/docs", schemas.ORDER, schemas.ORDER_CSV_FIELDS)
+    ).write.mode("overwrite").json(folder)
+    return read_documents_strict(spark, folder, schemas.ORDER, (*schemas.ORDER_CSV_FIELDS, "lines"))
+
+
+def order_totals_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals computed anew from the documents' nested lines."""
+    return O.order_totals_nested(_documents(spark, sf_dir, f"{scratch_path(spark, 'orders')}/docs"))
+
+
+def order_fields_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order documents as JSON -> strict read -> the 9 CSV
+    fields -> CSV in order_id order (range-partitioned parts) -> loaded back."""
+    root = scratch_path(spark, "orders")
+    read = _documents(spark, sf_dir, f"{root}/docs")
     write_ordered_csv(read.select(*schemas.ORDER_CSV_FIELDS), f"{root}/csv", ["order_id"])
     return read_csv_declared(spark, f"{root}/csv", ORDER_CSV_SCHEMA)
 
 
 def order_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2: valid / rejected with the failed rule names."""
-    lines, headers = D.order_lines(spark, sf_dir), D.order_headers(spark, sf_dir)
-    return O.validate_orders(headers, O.order_totals(lines, headers), lines)
+    return O.validate_orders(D.order_states(spark, sf_dir), _lines(spark, sf_dir))
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:

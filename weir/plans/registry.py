@@ -28,6 +28,7 @@ QUERIES: dict[str, QueryFn] = {
     "kpi_first_partition": kpi.kpi_first_partition,
     "kpi_single_file_roundtrip": kpi.kpi_single_file_roundtrip,
     "kpi_file_layout": kpi.kpi_file_layout,
+    "kpi_layout_comparison": kpi.kpi_layout_comparison,
     "kpi_partition_list": kpi.kpi_partition_list,
     "outer_join_range_on": sql_reports.outer_join_range_on,
     "repeat_buyers": sql_reports.repeat_buyers,
@@ -53,6 +54,7 @@ QUERIES: dict[str, QueryFn] = {
     "stream_batches": streams.stream_batches,
     "file_stream_ingest": streams.file_stream_ingest,
     "order_totals": orders.order_totals,
+    "order_totals_nested": orders.order_totals_nested,
     "order_fields_csv": orders.order_fields_csv,
     "order_validation": orders.order_validation,
     "fetch_outcomes": orders.fetch_outcomes,
@@ -88,6 +90,7 @@ ORACLE: dict[str, str] = {
     "kpi_first_partition": oracle.KPI_FIRST_PARTITION,
     "kpi_single_file_roundtrip": oracle.DAILY_KPI,
     "kpi_file_layout": oracle.KPI_FILE_LAYOUT,
+    "kpi_layout_comparison": oracle.KPI_LAYOUT_COMPARISON,
     "kpi_partition_list": oracle.KPI_PARTITION_LIST,
     "outer_join_range_on": oracle.OUTER_JOIN_RANGE_ON,
     "repeat_buyers": oracle.REPEAT_BUYERS,
@@ -113,6 +116,7 @@ ORACLE: dict[str, str] = {
     "stream_batches": oracle.STREAM_BATCHES,
     "file_stream_ingest": oracle.FILE_STREAM_INGEST,
     "order_totals": oracle.ORDER_TOTALS,
+    "order_totals_nested": oracle.ORDER_TOTALS_NESTED,
     "order_fields_csv": oracle.ORDER_FIELDS_CSV,
     "order_validation": oracle.ORDER_VALIDATION,
     "fetch_outcomes": oracle.FETCH_OUTCOMES,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -79,11 +80,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from `spark.checkpoint.dir` (the cluster names it). Only when it is
-    unset (local tests) a scratch folder is chosen and recorded on the
-    session, so every later call sees the same place.
+    unset on a local master (tests) a scratch folder is chosen and recorded
+    on the session, so every later call sees the same place. On a cluster a
+    folder of one machine would lose rows, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master or 'a cluster'}")
         d = tempfile.mkdtemp(prefix="weir-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -95,14 +100,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    if "://" in root:
-        import uuid
-
-        return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(root, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=root)
+    """A fresh folder name below the shared checkpoint root. Spark makes the
+    folder when it writes, on whatever file system the root names."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def build_session(

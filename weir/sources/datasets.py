@@ -229,21 +229,39 @@ def order_currency(order_key: Column) -> Column:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines, one row each (the exploded `lines` array): order_id,
-    sku, name, qty, unit_price, amount, usage_month. qty is 0 on every
-    50th part (invalid rows for the domain checks)."""
+    """Order lines, one row each: order_id, sku, name, qty, unit_price (four
+    decimals), usage_month. qty is 0 on every 50th part (invalid rows for
+    the domain checks). The amount is the operators' to compute."""
     li = read_table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
         F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("name"),
         F.when(F.col("l_partkey") % 50 == 0, F.lit(0)).otherwise(F.col("l_quantity").cast("int")).alias("qty"),
-        F.col("l_discount").cast("decimal(18,4)").alias("unit_price"),
-        F.round(F.col("l_extendedprice").cast("decimal(18,2)"), 2).alias("amount"),
+        (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit("0.01").cast("decimal(3,2)"))
+        .cast("decimal(18,4)").alias("unit_price"),
         F.date_format("l_shipdate", "yyyy-MM-01").alias("usage_month"),
     )
 
 
+def _order_status() -> Column:
+    return (
+        F.when(F.col("o_orderkey") % 40 == 0, F.lit("unknown"))
+        .when(F.col("o_orderstatus") == "F", F.lit("paid"))
+        .when(F.col("o_orderstatus") == "P", F.lit("invoiced"))
+        .otherwise(F.lit("created"))
+    )
+
+
+def order_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header fields that totals and checks need (no customer join):
+    order_id, status, currency."""
+    return read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), _order_status().alias("status"),
+        order_currency(F.col("o_orderkey")).alias("currency"),
+    )
+
+
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order header fields: order_id, account_id, company, contact, status,
     currency, created_at, source."""
@@ -254,12 +272,6 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     )
     j = o.join(c, o["o_custkey"] == c["c_custkey"], "left")
-    status = (
-        F.when(F.col("o_orderkey") % 40 == 0, F.lit("unknown"))
-        .when(F.col("o_orderstatus") == "F", F.lit("paid"))
-        .when(F.col("o_orderstatus") == "P", F.lit("invoiced"))
-        .otherwise(F.lit("created"))
-    )
     return j.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("account_id"),
@@ -270,7 +282,7 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("+1-555-"), F.lpad(F.col("o_custkey").cast("string"), 7, "0")).alias("phone"),
             F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("country"),
         ).alias("contact"),
-        status.alias("status"),
+        _order_status().alias("status"),
         order_currency(F.col("o_orderkey")).alias("currency"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
         F.lit("mock").alias("source"),
