@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def give_back() -> None:
+    """Hands a Python worker's freed memory back to the system. Workers are
+    reused: what one stage freed but kept would stand beside the next one's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not glibc: nothing to trim
+        pass
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

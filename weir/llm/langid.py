@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from weir.llm.common import id_fold
+from weir.llm.common import give_back, id_fold
 
 ORDERS = (3, 4)
 SHARE = 1e-5  # so a language has at most 100,000 n-grams of any corpus
@@ -161,6 +161,7 @@ def learn(docs: DataFrame, learns: Column, share: float = SHARE) -> BitmaskFilte
             if sum(map(len, held.values())) > HELD:
                 yield flush()
         yield flush()
+        give_back()
 
     rows = docs.where(learns & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "text", F.col("lang").cast("string").alias("lang"))
@@ -187,6 +188,8 @@ def predict(docs: DataFrame, bitmask: BitmaskFilter, columns: list[Column]) -> D
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[1:], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
                 names=names)
+        del counting
+        give_back()
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields[1:])
     return frame.mapInArrow(run, f"{schema}, lang_pred string, score double")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
-from weir.llm.common import chunks, id_and_bytes, in_blocks, shuffle_partitions, sorted_block
+from weir.llm.common import chunks, give_back, id_and_bytes, in_blocks, shuffle_partitions, sorted_block
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 WIDTH, CORE = 100, 32
@@ -518,6 +518,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, core: int = CORE, text:
     spans = spans_by_block(blocks, cuts, parts, width, core)
 
     def apply(left, right):
+        give_back()
         ids, bodies, order = sorted_block(left)
         triples = [np.frombuffer(_unpack(x), "<i8").reshape(-1, 3) for x in right.column("data").to_pylist()]
         row, start, end = intervals(*np.concatenate(triples).T) if triples else (np.zeros(0, np.int64),) * 3
