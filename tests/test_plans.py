@@ -86,3 +86,29 @@ def test_hot_key_left_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_ingest_reads_stored_state_only(spark):
+    """The driver tables are read once, for the landing; the load itself
+    scans new landing folders and joins file names by broadcast."""
+    from weir.plans import ingest
+
+    p = plan(ingest.insert_if_absent(spark, SF_SMALL))
+    assert "lineitem" not in p and "part.parquet" not in p
+    assert "SortMergeJoin" not in p and "BroadcastHashJoin" in p
+
+
+def test_cluster_needs_a_shared_checkpoint_folder():
+    import pytest
+
+    from weir.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

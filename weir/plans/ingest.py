@@ -150,6 +150,7 @@ def service_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first counted per distinct list, so both figures come from one pass over
     it and few rows are exploded."""
     lists = _final_target(spark, sf_dir).groupBy("services").agg(F.count(F.lit(1)).alias("n"))
+    lists = lists.checkpoint()  # one row per distinct list; else each branch below scans the target anew
     per_service = lists.select(F.explode("services").alias("service"), "n").groupBy("service").agg(
         F.sum("n").alias("transactions")
     )
