@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from weir.llm.bpe import worker_encoder
-from weir.llm.common import id_and_bytes
+from weir.llm.common import give_back, id_and_bytes
 from weir.session import scratch_path
 
 Plan = list[tuple[tuple[int, ...], int]]  # (lengths in one sequence, how many such sequences)
@@ -187,6 +187,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: i
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     return id_and_bytes(docs).mapInArrow(
         cut, "doc_id long, piece int, start long, length long, ids_crc32 long")

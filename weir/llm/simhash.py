@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from weir.llm.common import id_and_bytes
+from weir.llm.common import give_back, id_and_bytes
 from weir.llm.graph import components
 from weir.session import scratch_path
 
@@ -83,6 +83,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             fp = np.array([fingerprint(x, shingle) for x in b.column(2).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(fp.view(np.int64))], names=["doc_id", "body_hash", "fp"])
+        give_back()
 
     rows = id_and_bytes(docs, id_col, text_col).select("doc_id", F.xxhash64("body").alias("body_hash"), "body")
     return rows.mapInArrow(run, "doc_id long, body_hash long, fp long")

@@ -39,11 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
-from weir.llm.common import chunks, give_back, id_and_bytes, in_blocks, shuffle_partitions, sorted_block
+from weir.llm.common import chunks, id_and_bytes, in_blocks, released, shuffle_partitions, sorted_block
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 WIDTH, CORE = 100, 32
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SCAN_BYTES = 1 << 20  # texts are scanned for anchors in pieces of this many bytes
 SPLITTER_DOCS = 2000  # documents sampled for splitters; they only decide which task merges what
 MAX_SPLITTERS = 1 << 16
@@ -380,6 +380,7 @@ def spans_by_block(blocks: DataFrame, cuts: list[bytes], parts: int, width: int,
         shared_here = [np.frombuffer(x, "<u8") for x in right.column("hashes").to_pylist()]
         keep = np.isin(own, np.concatenate([h[n > 1], *shared_here]))
         row, p, a, b = found[:, keep]
+        del found, own, h, n, shared_here, keep
         data, lo = _gather(bodies)
         keys = _as_strings(contexts(data, lo[row], p, a, b, width, core))
         at = np.lexsort((a, row, keys))  # equal contexts in text order
@@ -467,12 +468,17 @@ def spans_by_block(blocks: DataFrame, cuts: list[bytes], parts: int, width: int,
         return pa.table({"to_block": pa.array([o[0] for o in out], pa.int32()),
                          "data": pa.array([o[1] for o in out], pa.binary())})
 
-    hashed = blocks.groupBy("block").applyInArrow(hashes, "part int, at_block int, hashes binary")
-    common = hashed.groupBy("part").applyInArrow(shared, "to_block int, hashes binary")
+    hashed = blocks.groupBy("block").applyInArrow(
+        lambda key, table: released(hashes, key, table), "part int, at_block int, hashes binary")
+    common = hashed.groupBy("part").applyInArrow(
+        lambda key, table: released(shared, key, table), "to_block int, hashes binary")
     run_rows = blocks.groupBy("block").cogroup(common.groupBy("to_block")).applyInArrow(
-        runs, "range int, of_block int, prefixes binary, tails binary, places binary")
-    said = run_rows.groupBy("range").applyInArrow(merge, "to int, of_block int, windows boolean, data binary")
-    return said.groupBy("to").applyInArrow(settle, "to_block int, data binary")
+        lambda left, right: released(runs, left, right),
+        "range int, of_block int, prefixes binary, tails binary, places binary")
+    said = run_rows.groupBy("range").applyInArrow(
+        lambda key, table: released(merge, key, table), "to int, of_block int, windows boolean, data binary")
+    return said.groupBy("to").applyInArrow(
+        lambda key, table: released(settle, key, table), "to_block int, data binary")
 
 
 def _doubtful(rows, doubt, one, block, ids, row, p, parts, width):
@@ -518,7 +524,6 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, core: int = CORE, text:
     spans = spans_by_block(blocks, cuts, parts, width, core)
 
     def apply(left, right):
-        give_back()
         ids, bodies, order = sorted_block(left)
         triples = [np.frombuffer(_unpack(x), "<i8").reshape(-1, 3) for x in right.column("data").to_pylist()]
         row, start, end = intervals(*np.concatenate(triples).T) if triples else (np.zeros(0, np.int64),) * 3
@@ -547,8 +552,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, core: int = CORE, text:
     pair = blocks.groupBy("block").cogroup(spans.groupBy("to_block"))
     if not text:
         return pair.applyInArrow(
-            apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    out = pair.applyInArrow(apply, StructType([
+            lambda left, right: released(apply, left, right),
+            "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    out = pair.applyInArrow(lambda left, right: released(apply, left, right), StructType([
         blocks.schema["rest"], StructField("new_text", StringType()), StructField("removed", LongType())]))
     columns = []
     for i, name in enumerate(docs.columns):
