@@ -67,3 +67,14 @@ def test_replayed_batch_replaces_its_folder(spark, tmp):
     res = spark.read.parquet(out)
     assert res.count() == 15
     assert res.filter("batch_id = 0").count() == 10
+
+
+def test_odd_payloads():
+    ends = [("", "", 0.0, 2**63 - 1), ("a", "é" * 200, float("inf"), -2**63), ("x" * 9000, "", -1.5, 0)]
+    got = avro.decode_columns(avro.pa.array([avro.encode_record(*r) for r in ends], "large_binary"))
+    assert list(zip(got[0].to_pylist(), got[1].to_pylist(), got[2].tolist(), got[3].tolist())) == ends
+    assert len(avro.decode_columns(avro.pa.array([], "large_binary"))[0]) == 0
+    good = avro.encode_record("u", "v", 1.0, 5)
+    for bad in (b"", good + b"\x00", good[:-1] + b"\x80" * 11, b"\xff" * 9 + b"\x7f" + good, b"\x02\xff" + good[2:]):
+        with pytest.raises(ValueError):
+            avro.decode_record(bad)

@@ -6,7 +6,7 @@ Avro binary: long = zig-zag varint; string = long byte length + UTF-8;
 double = 8 bytes little-endian. No container header.
 
 One Arrow-batched pandas UDF decodes all four fields at once (a struct),
-not one Python UDF per field. Where the spark-avro package is on the class
+not one Python UDF per field, over the batch's buffers with numpy. Where the spark-avro package is on the class
 path, `decode_payload(..., builtin=True)` uses the JVM `from_avro` instead.
 """
 
@@ -16,7 +16,9 @@ import json
 import struct
 import sys
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,25 +56,50 @@ def _put_long(out: bytearray, n: int) -> None:
     out.append(z)
 
 
-def _get_long(buf: bytes, pos: int) -> tuple[int, int]:
-    shift = z = 0
-    while True:
-        if pos >= len(buf) or shift > 63:
-            raise CorruptPayload("truncated or overlong varint")
-        b = buf[pos]
-        pos += 1
-        z |= (b & 0x7F) << shift
-        if not b & 0x80:
+def _longs(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The varint at each position and where it ends; one pass per byte of the
+    longest, so at most ten."""
+    z, at, more = np.zeros(len(at), np.uint64), at.copy(), np.arange(len(at))
+    for shift in range(0, 70, 7):
+        if not len(more):
             break
-        shift += 7
-    return (z >> 1) ^ -(z & 1), pos
-
-
-def _get_string(buf: bytes, pos: int) -> tuple[str, int]:
-    n, pos = _get_long(buf, pos)
-    if n < 0 or pos + n > len(buf):
+        if (at[more] >= end[more]).any():
+            raise CorruptPayload("truncated varint")
+        b = data[at[more]].astype(np.uint64)
+        if shift == 63 and (b > 1).any():
+            raise CorruptPayload("overlong varint")
+        z[more] |= (b & np.uint64(0x7F)) << np.uint64(shift)
+        at[more] += 1
+        more = more[b > 0x7F]
+    return (z >> np.uint64(1)).view(np.int64) ^ -(z & np.uint64(1)).view(np.int64), at
+
+
+def _strings(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    n, at = _longs(data, at, end)
+    if ((n < 0) | (n > end - at)).any():
         raise CorruptPayload("string runs past the record")
-    return buf[pos:pos + n].decode("utf-8"), pos + n
+    to = np.concatenate(([0], np.cumsum(n)))
+    body = data[np.arange(to[-1]) + np.repeat(at - to[:-1], n)]
+    out = pa.Array.from_buffers(pa.large_string(), len(n), [None, pa.py_buffer(to.astype("<i8")), pa.py_buffer(body)])
+    out.validate(full=True)  # UTF-8
+    return out, at + n
+
+
+def decode_columns(payloads: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
+    """user, event, amount and ts of a large_binary array without nulls."""
+    _, offsets, body = payloads.buffers()
+    bounds = np.frombuffer(offsets, "<i8")[payloads.offset:payloads.offset + len(payloads) + 1]
+    data = np.frombuffer(body or b"", np.uint8)
+    at, end = bounds[:-1], bounds[1:]
+    user, at = _strings(data, at, end)
+    event, at = _strings(data, at, end)
+    if (end - at < 8).any():
+        raise CorruptPayload("double runs past the record")
+    amount = data[at[:, None] + np.arange(8)].view("<f8").ravel()
+    ts, at = _longs(data, at + 8, end)
+    if (at != end).any():
+        raise CorruptPayload("trailing bytes after the record")
+    return user, event, amount, ts
 
 
 def encode_record(user: str, event: str, amount: float, ts: int) -> bytes:
@@ -87,15 +114,8 @@ def encode_record(user: str, event: str, amount: float, ts: int) -> bytes:
 
 
 def decode_record(buf: bytes) -> tuple[str, str, float, int]:
-    user, pos = _get_string(buf, 0)
-    event, pos = _get_string(buf, pos)
-    if pos + 8 > len(buf):
-        raise CorruptPayload("double runs past the record")
-    (amount,) = struct.unpack_from("<d", buf, pos)
-    ts, pos = _get_long(buf, pos + 8)
-    if pos != len(buf):
-        raise CorruptPayload("trailing bytes after the record")
-    return user, event, amount, ts
+    user, event, amount, ts = decode_columns(pa.array([buf], pa.large_binary()))
+    return user[0].as_py(), event[0].as_py(), float(amount[0]), int(ts[0])
 
 
 @pandas_udf(T.BinaryType())
@@ -109,12 +129,10 @@ def _encode(user: pd.Series, event: pd.Series, amount: pd.Series, ts: pd.Series)
 
 @pandas_udf(PAYLOAD)
 def _decode(value: pd.Series) -> pd.DataFrame:
-    rows = [None if v is None else decode_record(bytes(v)) for v in value]
-    users = [r[0] if r else None for r in rows]
-    events = [r[1] if r else None for r in rows]
-    amounts = pd.array([r[2] if r else None for r in rows], dtype="Float64")
-    tss = pd.array([r[3] if r else None for r in rows], dtype="Int64")
-    return pd.DataFrame({"user": users, "event": events, "amount": amounts, "ts": tss})
+    # a null payload's struct is null (decode_payload); any record stands in for it here
+    payloads = pa.array(value, pa.large_binary()).fill_null(encode_record("", "", 0.0, 0))
+    user, event, amount, ts = decode_columns(payloads)
+    return pd.DataFrame({"user": user.to_pandas(), "event": event.to_pandas(), "amount": amount, "ts": ts})
 
 
 def encode_payload(user: Column, event: Column, amount: Column, ts: Column) -> Column:

@@ -7,7 +7,7 @@ result. Command line:
     python -m weir.plans.jobs kpi --users U --items I --events E --out O
     python -m weir.plans.jobs presence --data DIR
     python -m weir.plans.jobs ingest --landing L --target T --manifest M --checkpoint C [--archive A]
-    python -m weir.plans.jobs stream --topic T --out O --checkpoint C [--brokers B]
+    python -m weir.plans.jobs stream --topic T --out O --checkpoint C [--brokers B] [--max-records N] [--builtin-avro]
     python -m weir.plans.jobs orders --docs D --out O
     python -m weir.plans.jobs logs --logs L --users U
 """
@@ -132,6 +132,8 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument(a, required=True)
     s.add_argument("--topic", default=STREAM_TOPIC)
     s.add_argument("--brokers")
+    s.add_argument("--max-records", type=int, default=S.MAX_RECORDS_PER_TRIGGER)
+    s.add_argument("--builtin-avro", action="store_true", help="from_avro; needs the spark-avro package")
     o = sub.add_parser("orders")
     for a in ("--docs", "--out"):
         o.add_argument(a, required=True)
@@ -148,7 +150,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "ingest":
         ingest_job(spark, args.landing, args.target, args.manifest, args.checkpoint, args.archive)
     elif args.job == "stream":
-        stream_job(spark, args.out, args.checkpoint, args.topic, args.brokers)
+        stream_job(spark, args.out, args.checkpoint, args.topic, args.brokers, args.builtin_avro, args.max_records)
     elif args.job == "orders":
         orders_job(spark, args.docs, args.out)
     elif args.job == "logs":
