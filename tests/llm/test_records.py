@@ -84,3 +84,16 @@ def test_scan_is_native(spark):
     rows, _ = _texts()
     plan = secret_scan.redact(spark.createDataFrame(rows, "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_each_place_is_judged_by_its_own_context(spark):
+    rows, _ = _texts()
+    h = hashlib.sha1(b"again").hexdigest()
+    text = f"commit {h} x{h} in the list, \U0001f511 é " + "word " * 20 + f'token = "{h}" and {h} end'
+    df = spark.createDataFrame([*rows, (300, text)], "doc_id long, text string")
+    places = sorted((r.start, r.times, r.is_secret) for r in secret_scan.scan(df).where(f"doc_id = 300 and candidate = '{h}'").collect())
+    assert [p[0] for p in places] == [7, text.index('token = "') + 9, text.rindex(h)]
+    assert {p[1] for p in places} == {3} and places[1][2]
+    assert h not in secret_scan.redact(df).where("doc_id = 300").first().text
+    found = {r.start: r for r in secret_scan.findings(df.where("doc_id = 300")).collect()}
+    assert all(r.before == text[max(0, i - 32):i] and r.after == text[i + len(r.candidate):][:32] for i, r in found.items())

@@ -10,8 +10,8 @@ the corpus' own candidates, labelled by formats that leave little doubt
 candidate, most of which no format decides.
 
 Texts are scanned once; candidates and features are written narrow, and training
-and scoring read them there. A string found several times in one text is one
-finding, with its first place and its count.
+and scoring read them there. Every place of a string is a finding of its own,
+judged by its own context; a string is redacted if any of its places is a secret.
 
 Defined cases: a null or empty text has no finding; a null doc_id is kept and
 its rows' findings are returned; repeated rows give repeated findings; an empty
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from weir.session import scratch_path
 
@@ -35,8 +35,11 @@ TREES, DEPTH = 20, 8
 THRESHOLD = 0.5
 REDACTED = "[SECRET]"
 # at least 12 token characters with a digit, at the start of a run of them
-CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{12,}={0,2}"
+RUN = r"(?=[A-Za-z_+/-]*[0-9])(?=[A-Za-z0-9_+/-]{12})%s[A-Za-z0-9_+/-]+={0,2}"
+CANDIDATE = r"(?<![A-Za-z0-9_+/-])" + RUN
 AROUND = 32  # characters of context on either side
+BEFORE = rf"(?<=(^.{{0,{AROUND - 1}}}|.{{{AROUND}}}))"  # goes where a pattern has its %s: group 1
+AFTER = rf"(?=(.{{0,{AROUND}}}))"  # ends a pattern: group 2
 KEYWORDS = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|credential|bearer)\w*\W{0,4}$"
 FEATURES = ["length", "transitions", "digits", "capitals", "distinct", "hex", "covered", "in_path",
             "keyword", "assigned", "quoted", "digits_only", "grouped"]
@@ -53,17 +56,23 @@ def dictionary(docs: DataFrame) -> Column:
 
 
 def findings(docs: DataFrame) -> DataFrame:
-    """doc_id, candidate, start (characters before it), times, before, after."""
+    """doc_id, candidate, start (characters before it), times (its places in the
+    text), before, after: one row per place of a candidate."""
     text = F.col("text").cast("string")
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"),
-                        F.array_distinct(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))).alias("found"))
-    at = lambda c: F.instr(F.col("t"), c)
-    each = F.transform("found", lambda c: F.struct(
-        c.alias("candidate"), (at(c) - 1).cast("long").alias("start"),
-        ((F.length("t") - F.length(F.replace(F.col("t"), c))) / F.length(c)).cast("long").alias("times"),
-        F.substring(F.col("t"), F.greatest(at(c) - AROUND, F.lit(1)), F.least(at(c) - 1, F.lit(AROUND))).alias("before"),
-        F.substring(F.col("t"), at(c) + F.length(c), F.lit(AROUND)).alias("after")))
-    return found.where(F.size("found") > 0).select("doc_id", F.explode(each).alias("f")).select("doc_id", "f.*")
+    pattern = "(?s)" + CANDIDATE % BEFORE + AFTER
+    take = lambda k: F.regexp_extract_all("t", F.lit(pattern), F.lit(k))
+    # what stands between the matches says where each one starts
+    gaps = F.transform(F.split("t", pattern, -1), lambda g: F.length(g).cast("long"))
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t")).where(F.col("t").rlike(pattern))
+    # ids come before the places are exploded, so that a text's places share one
+    zipped = F.arrays_zip(take(0).alias("candidate"), take(1).alias("before"), take(2).alias("after"), gaps.alias("gap"))
+    rows = found.select("doc_id", F.monotonically_increasing_id().alias("row"), zipped.alias("places"))
+    each = rows.select("doc_id", "row", F.posexplode("places").alias("pos", "f")).select("doc_id", "row", "pos", "f.*").where("candidate is not null").repartition("row")
+    n = F.length("candidate").cast("long")
+    upto = Window.partitionBy("row").orderBy("pos")
+    return each.select(
+        "doc_id", "candidate", (F.sum(F.col("gap") + n).over(upto) - n).alias("start"),
+        F.count("*").over(Window.partitionBy("row", "candidate")).alias("times"), "before", "after")
 
 
 def with_features(found: DataFrame, words: Column) -> DataFrame:
