@@ -97,3 +97,21 @@ def test_each_place_is_judged_by_its_own_context(spark):
     assert h not in secret_scan.redact(df).where("doc_id = 300").first().text
     found = {r.start: r for r in secret_scan.findings(df.where("doc_id = 300")).collect()}
     assert all(r.before == text[max(0, i - 32):i] and r.after == text[i + len(r.candidate):][:32] for i, r in found.items())
+
+
+def test_dictionary_holds_words_of_a_small_language(spark):
+    docs = spark.range(8_000).selectExpr(
+        "id as doc_id", """if(id % 400 = 7, 'straßenbahn läuft жёлтый трамвай wiederkehrende', 'these common english words again')
+        as text""")
+    assert {r.w for r in secret_scan.dictionary(docs).collect()} == {
+        "straßenbahn", "läuft", "жёлтый", "трамвай", "wiederkehrende", "these", "common", "english", "words", "again"}
+    found = spark.createDataFrame([(1, "wiederkehrende-2024"), (2, "0123456789012"), (3, "abcdefghij12")], "id long, candidate string")
+    covered = secret_scan.with_covered(found, secret_scan.dictionary(docs)).collect()
+    assert {r.candidate: round(r.covered, 2) for r in covered} == {"wiederkehrende-2024": 0.74, "0123456789012": 0.0, "abcdefghij12": 0.0}
+
+
+def test_dictionary_is_of_all_documents_at_any_size(spark):
+    rows = [(i, "these common words") for i in range(40_000)]
+    for i in range(0, 40_000, 5_000):  # eight documents of a small source
+        rows[i] = (i, "kleinesprache")
+    assert "kleinesprache" in {r.w for r in secret_scan.dictionary(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

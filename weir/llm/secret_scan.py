@@ -9,8 +9,9 @@ the corpus' own candidates, labelled by formats that leave little doubt
 (`certain_label`), unless the caller brings labels. It then judges every
 candidate, most of which no format decides.
 
-Texts are scanned once; candidates and features are written narrow, and training
-and scoring read them there. Every place of a string is a finding of its own,
+Dictionary words are those of all documents, counted once per document. Texts are
+scanned for candidates once; candidates and features are written narrow, and
+training and scoring read them there. Every place of a string is a finding of its own,
 judged by its own context; a string is redacted if any of its places is a secret.
 
 Defined cases: a null or empty text has no finding; a null doc_id is kept and
@@ -21,6 +22,8 @@ labelling formats decide alone.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -29,8 +32,7 @@ from pyspark.sql import functions as F
 from weir.session import scratch_path
 
 TRAIN_ROWS = 20_000  # labelled findings the forest is fitted on, at most
-DICTIONARY_DOCS = 2_000  # documents the dictionary's words are taken from
-DICTIONARY_WORDS = 2_000
+WORD_SHARE = 1e-4  # a dictionary word is in more than one document and in at least this share of them
 TREES, DEPTH = 20, 8
 THRESHOLD = 0.5
 REDACTED = "[SECRET]"
@@ -40,19 +42,28 @@ CANDIDATE = r"(?<![A-Za-z0-9_+/-])" + RUN
 AROUND = 32  # characters of context on either side
 BEFORE = rf"(?<=(^.{{0,{AROUND - 1}}}|.{{{AROUND}}}))"  # goes where a pattern has its %s: group 1
 AFTER = rf"(?=(.{{0,{AROUND}}}))"  # ends a pattern: group 2
+WORD = r"(?<![\p{L}\p{N}_])\p{L}{4,}+(?![\p{L}\p{N}_])"  # in lower-cased text, of any script
+PART = r"\p{L}{4,}"
 KEYWORDS = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|credential|bearer)\w*\W{0,4}$"
 FEATURES = ["length", "transitions", "digits", "capitals", "distinct", "hex", "covered", "in_path",
             "keyword", "assigned", "quoted", "digits_only", "grouped"]
 
 
-def dictionary(docs: DataFrame) -> Column:
-    """An array literal of the words most documents of a bounded sample have."""
-    n = docs.count()
-    keep = max(1, n // DICTIONARY_DOCS)
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(keep)) == 0)
-    words = sample.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\b([a-z]{4,16})\b")))).alias("w"))
-    common = words.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "w").limit(DICTIONARY_WORDS)
-    return F.split(F.lit(" ".join(r.w for r in common.select("w").collect())), " ")
+def dictionary(docs: DataFrame) -> DataFrame:
+    """`w`: the words of all documents that are in enough of them (`WORD_SHARE`)."""
+    texts = docs.select(F.lower(F.col("text").cast("string")).alias("t"))
+    least = max(2, math.ceil(WORD_SHARE * texts.count()))
+    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(WORD), F.lit(0)))).alias("w"))
+    return words.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("w")
+
+
+def with_covered(found: DataFrame, words: DataFrame) -> DataFrame:
+    """Adds `covered`: the share of a candidate's characters that are dictionary
+    words. `found` has one `id` a row; rows without letters are not joined."""
+    parts = found.select("id", F.explode(F.regexp_extract_all(F.lower("candidate"), F.lit(PART), F.lit(0))).alias("w"))
+    letters = parts.join(words, "w").groupBy(F.col("id").alias("of")).agg(F.sum(F.length("w")).alias("letters"))
+    return found.join(letters, F.col("id") == F.col("of"), "left").drop("of").withColumn(
+        "covered", F.coalesce(F.col("letters"), F.lit(0)) / F.length("candidate")).drop("letters", "id")
 
 
 def findings(docs: DataFrame) -> DataFrame:
@@ -75,14 +86,12 @@ def findings(docs: DataFrame) -> DataFrame:
         F.count("*").over(Window.partitionBy("row", "candidate")).alias("times"), "before", "after")
 
 
-def with_features(found: DataFrame, words: Column) -> DataFrame:
-    """Adds one double column per feature, from the finding alone."""
+def with_features(found: DataFrame) -> DataFrame:
+    """Adds one double column per feature but `covered`, from the finding alone."""
     c, before, after = F.col("candidate"), F.col("before"), F.col("after")
     n = F.length(c).cast("double")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "9")
     changes = F.length(F.regexp_replace(kinds, r"(.)\1+", "$1")) - 1
-    parts = F.regexp_extract_all(F.lower(c), F.lit(r"([a-z]{4,})"))
-    covered = F.aggregate(F.filter(parts, lambda p: F.array_contains(words, p)), F.lit(0), lambda a, p: a + F.length(p))
     flag = lambda x: x.cast("double")
     return found.withColumns({
         "length": n,
@@ -91,7 +100,6 @@ def with_features(found: DataFrame, words: Column) -> DataFrame:
         "capitals": F.length(F.regexp_replace(c, "[^A-Z]", "")) / n,
         "distinct": F.size(F.array_distinct(F.split(c, ""))) / n,
         "hex": flag(c.rlike("^[0-9a-f]+$")),
-        "covered": covered / n,
         "in_path": flag(before.rlike(r"([./@:\\]|://\S*)$") | after.rlike(r"^[./@\\]\w") | c.contains("/")),
         "keyword": flag(before.rlike(KEYWORDS)),
         "assigned": flag(before.rlike(r"[=:]\s?[\"']?$")),
@@ -118,8 +126,12 @@ def scan(docs: DataFrame, label: Column | None = None) -> DataFrame:
     per finding. `label`: a column over findings and features, 1.0, 0.0 or null."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    path = scratch_path(spark, "findings")
-    with_features(findings(docs), dictionary(docs)).write.mode("overwrite").parquet(path)
+    places, lexicon, path = (scratch_path(spark, x) for x in ("places", "dictionary", "findings"))
+    # written first: ids stand still, and a small dictionary is known to be small
+    findings(docs).withColumn("id", F.monotonically_increasing_id()).write.mode("overwrite").parquet(places)
+    dictionary(docs).write.mode("overwrite").parquet(lexicon)
+    covered = with_covered(spark.read.parquet(places), spark.read.parquet(lexicon))
+    with_features(covered).write.mode("overwrite").parquet(path)
     found = spark.read.parquet(path)
     label = certain_label() if label is None else label
     # distinct findings in the order of a hash: a sample that does not depend on partitions
