@@ -5,9 +5,9 @@ its length, how often its characters change class, its shares of digits,
 capitals and distinct characters, how much of it dictionary words cover, whether
 it stands in a path, host or address, and what the words and signs around it say.
 The forest is trained on labelled findings: a bounded sample (`TRAIN_ROWS`) of
-the corpus' own candidates, labelled by formats that leave little doubt
-(`certain_label`), unless the caller brings labels. It then judges every
-candidate, most of which no format decides.
+the corpus' own candidates, as many of each label, labelled by formats that leave
+little doubt (`certain_label`), unless the caller brings labels. It then judges
+the candidates that no format decides; a label stands.
 
 Dictionary words are those of all documents, counted once per document. Texts are
 scanned for candidates once; candidates and features are written narrow, and
@@ -16,8 +16,8 @@ judged by its own context; a string is redacted if any of its places is a secret
 
 Defined cases: a null or empty text has no finding; a null doc_id is kept and
 its rows' findings are returned; repeated rows give repeated findings; an empty
-table gives an empty result; where the sample lacks one of the two labels, the
-labelling formats decide alone.
+table gives an empty result; where the corpus has no finding of one of the two
+labels, the labelling formats decide alone.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from weir.session import scratch_path
 
-TRAIN_ROWS = 20_000  # labelled findings the forest is fitted on, at most
+TRAIN_ROWS = 20_000  # labelled findings the forest is fitted on, at most: half of them of each label
 WORD_SHARE = 1e-4  # a dictionary word is in more than one document and in at least this share of them
 TREES, DEPTH = 20, 8
 THRESHOLD = 0.5
@@ -134,23 +134,30 @@ def scan(docs: DataFrame, label: Column | None = None) -> DataFrame:
     with_features(covered).write.mode("overwrite").parquet(path)
     found = spark.read.parquet(path)
     label = certain_label() if label is None else label
-    # distinct findings in the order of a hash: a sample that does not depend on partitions
+    # of each label, distinct findings in the order of a hash: a sample that does not depend on partitions,
+    # nor on how rare one label is
     labelled = found.select(*FEATURES, "candidate", label.alias("label")).where("label is not null")
-    sample = labelled.dropDuplicates(["candidate", "label"]).withColumn("draw", F.xxhash64("candidate")).orderBy(
-        "draw", "candidate", "label").limit(TRAIN_ROWS)
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="vector")
+    order = [F.xxhash64("candidate", *FEATURES), "candidate", *FEATURES]
+    one, other = (labelled.where(F.col("label") == x).distinct().orderBy(*order).limit(TRAIN_ROWS // 2) for x in (0.0, 1.0))
     drawn_path = scratch_path(spark, "labelled")
-    sample.drop("draw").coalesce(1).write.mode("overwrite").parquet(drawn_path)
+    one.unionByName(other).coalesce(1).write.mode("overwrite").parquet(drawn_path)
     drawn = spark.read.parquet(drawn_path)
-    labels = {r.label for r in drawn.select("label").distinct().collect()}
-    if labels == {0.0, 1.0}:
+    counts = {r.label: r.n for r in drawn.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    judged = found.withColumn("certain", label)
+    if set(counts) == {0.0, 1.0}:
+        assembler = VectorAssembler(inputCols=FEATURES, outputCol="vector")
+        # both labels weigh alike
+        weight = F.when(F.col("label") == 1.0, F.lit(sum(counts.values()) / 2 / counts[1.0])).otherwise(
+            F.lit(sum(counts.values()) / 2 / counts[0.0]))
         forest = RandomForestClassifier(
-            featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=7,
+            featuresCol="vector", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=7,
             rawPredictionCol="raw", probabilityCol="p", predictionCol="predicted")
-        model = forest.fit(assembler.transform(drawn).select("vector", "label"))
-        judged = model.transform(assembler.transform(found)).withColumn("probability", vector_to_array("p")[1])
+        model = forest.fit(assembler.transform(drawn).select("vector", "label", weight.alias("weight")))
+        # a format that leaves no doubt stands, whatever the forest makes of its context
+        judged = model.transform(assembler.transform(judged)).withColumn(
+            "probability", F.coalesce("certain", vector_to_array("p")[1]))
     else:
-        judged = found.withColumn("probability", F.coalesce(label, F.lit(0.0)))
+        judged = judged.withColumn("probability", F.coalesce("certain", F.lit(0.0)))
     return judged.select(
         "doc_id", "candidate", "start", F.col("length").cast("long").alias("length"), "times", "probability",
         (F.col("probability") >= THRESHOLD).alias("is_secret"))
