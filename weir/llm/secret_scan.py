@@ -1,6 +1,7 @@
 """Secret scan: candidate strings, filtered by a random forest. SQL only.
 
-A candidate is a run of token characters with a digit in it. Its features are
+A candidate is a run of at least 12 token characters with a digit or a known
+key's prefix, or whatever is quoted or assigned after a secret's name. Its features are
 its length, how often its characters change class, its shares of digits,
 capitals and distinct characters, how much of it dictionary words cover, whether
 it stands in a path, host or address, and what the words and signs around it say.
@@ -36,15 +37,24 @@ WORD_SHARE = 1e-4  # a dictionary word is in more than one document and in at le
 TREES, DEPTH = 20, 8
 THRESHOLD = 0.5
 REDACTED = "[SECRET]"
-# at least 12 token characters with a digit, at the start of a run of them
-RUN = r"(?=[A-Za-z_+/-]*[0-9])(?=[A-Za-z0-9_+/-]{12})%s[A-Za-z0-9_+/-]+={0,2}"
+# at least 12 token characters with a digit or a known key's prefix, at the start of a run of them
+PREFIX = r"AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|[sr]k_live_|xox[abprs]-|AIza"
+RUN = rf"(?:(?=[A-Za-z_+/-]*[0-9])|(?={PREFIX}))(?=[A-Za-z0-9_+/-]{{12}})%s[A-Za-z0-9_+/-]+={{0,2}}"
 CANDIDATE = r"(?<![A-Za-z0-9_+/-])" + RUN
+NAMES = r"(?i:token(?!i[sz])|secret(?!ar)|passw|pwd|api.?key|access.?key|private.?key|auth(?!ors?\b)|credential|bearer)"
+AFTER_NAME = rf"(?<={NAMES}\w{{0,16}}\W{{1,4}})"
+# what stands after a secret's name, of any signs: up to its closing quote, or
+# assigned, up to white space or a quote, less closing signs; or after a scheme
+VALUE = (
+    rf"(?:(?<=[=:>\"'`]\s{{0,2}}){AFTER_NAME}|(?<=(?i:authorization\W{{1,4}}(?:bearer|basic) )))(?!(?i:bearer|basic)\s)%s(?:"
+    + "|".join(rf"(?<=\W{q})[^{q}\\\r\n]++(?:\\.[^{q}\\\r\n]*+){{0,50}}+(?={q})" for q in "\"'`")
+    + r"|(?<=[=:]>?\s{0,2}[\"'`]?|[bB]earer |[bB]asic )(?![=:>])[^\s\"'`]*[^\s\"'`,;.)\]}])")
 AROUND = 32  # characters of context on either side
 BEFORE = rf"(?<=(^.{{0,{AROUND - 1}}}|.{{{AROUND}}}))"  # goes where a pattern has its %s: group 1
 AFTER = rf"(?=(.{{0,{AROUND}}}))"  # ends a pattern: group 2
-WORD = r"(?<![\p{L}\p{N}_])\p{L}{4,}+(?![\p{L}\p{N}_])"  # in lower-cased text, of any script
-PART = r"\p{L}{4,}"
-KEYWORDS = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|credential|bearer)\w*\W{0,4}$"
+WORD = r"(?<![\p{L}\p{N}_])\p{L}++(?![\p{L}\p{N}_])"  # in lower-cased text, of any script
+PART = WORD + r"|\p{L}{4,}"
+KEYWORDS = NAMES + r"\w*\W{0,4}(?:(?i:basic) )?$"
 FEATURES = ["length", "transitions", "digits", "capitals", "distinct", "hex", "covered", "in_path",
             "keyword", "assigned", "quoted", "digits_only", "grouped"]
 
@@ -70,20 +80,30 @@ def findings(docs: DataFrame) -> DataFrame:
     """doc_id, candidate, start (characters before it), times (its places in the
     text), before, after: one row per place of a candidate."""
     text = F.col("text").cast("string")
-    pattern = "(?s)" + CANDIDATE % BEFORE + AFTER
-    take = lambda k: F.regexp_extract_all("t", F.lit(pattern), F.lit(k))
-    # what stands between the matches says where each one starts
-    gaps = F.transform(F.split("t", pattern, -1), lambda g: F.length(g).cast("long"))
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t")).where(F.col("t").rlike(pattern))
+
+    def places(kind: int, pattern: str) -> Column:
+        """Every match of a pattern, with what stands between it and the one before."""
+        take = [F.regexp_extract_all("t", F.lit(pattern), F.lit(k)) for k in range(3)]
+        gaps = F.transform(F.split("t", pattern, -1), lambda g: F.length(g).cast("long"))
+        zipped = F.arrays_zip(*[x.alias(n) for x, n in zip([*take, gaps], ("candidate", "before", "after", "gap"))])
+        return F.transform(zipped, lambda f, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("pos"), f["candidate"].alias("candidate"), f["before"].alias("before"),
+            f["after"].alias("after"), f["gap"].alias("gap")))
+
+    patterns = ["(?s)" + x % BEFORE + AFTER for x in (CANDIDATE, VALUE)]
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t")).where(
+        F.col("t").rlike(patterns[0]) | F.col("t").rlike(patterns[1]))
     # ids come before the places are exploded, so that a text's places share one
-    zipped = F.arrays_zip(take(0).alias("candidate"), take(1).alias("before"), take(2).alias("after"), gaps.alias("gap"))
-    rows = found.select("doc_id", F.monotonically_increasing_id().alias("row"), zipped.alias("places"))
-    each = rows.select("doc_id", "row", F.posexplode("places").alias("pos", "f")).select("doc_id", "row", "pos", "f.*").where("candidate is not null").repartition("row")
+    rows = found.select("doc_id", F.monotonically_increasing_id().alias("row"),
+                        F.concat(*[places(k, x) for k, x in enumerate(patterns)]).alias("places"))
+    each = rows.select("doc_id", "row", F.explode("places").alias("f")).select("doc_id", "row", "f.*").where(
+        "candidate is not null").repartition("row")
     n = F.length("candidate").cast("long")
-    upto = Window.partitionBy("row").orderBy("pos")
-    return each.select(
-        "doc_id", "candidate", (F.sum(F.col("gap") + n).over(upto) - n).alias("start"),
-        F.count("*").over(Window.partitionBy("row", "candidate")).alias("times"), "before", "after")
+    upto = Window.partitionBy("row", "kind").orderBy("pos")
+    placed = each.withColumn("start", F.sum(F.col("gap") + n).over(upto) - n)
+    # a value that is a run is among the runs already
+    return placed.where((F.col("kind") == 0) | ~F.col("candidate").rlike(f"^(?:{RUN % ''})$")).select(
+        "doc_id", "candidate", "start", F.count("*").over(Window.partitionBy("row", "candidate")).alias("times"), "before", "after")
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -102,8 +122,8 @@ def with_features(found: DataFrame) -> DataFrame:
         "hex": flag(c.rlike("^[0-9a-f]+$")),
         "in_path": flag(before.rlike(r"([./@:\\]|://\S*)$") | after.rlike(r"^[./@\\]\w") | c.contains("/")),
         "keyword": flag(before.rlike(KEYWORDS)),
-        "assigned": flag(before.rlike(r"[=:]\s?[\"']?$")),
-        "quoted": flag(before.rlike(r"[\"']$") & after.rlike(r"^[\"']")),
+        "assigned": flag(before.rlike(r"[=:]>?\s{0,2}(?:(?i:bearer|basic) )?[\"'`]?$")),
+        "quoted": flag(before.rlike(r"[\"'`]$") & after.rlike(r"^[\"'`]")),
         "digits_only": flag(c.rlike("^[0-9]+$")),
         "grouped": flag(before.rlike(r"[0-9] ?$") | after.rlike(r"^ ?[0-9]")),
     })
@@ -112,12 +132,15 @@ def with_features(found: DataFrame) -> DataFrame:
 def certain_label() -> Column:
     """1.0 or 0.0 where a finding's format leaves little doubt, else null: key
     formats and long mixed strings assigned to a secret's name are secrets;
-    plain numbers and strings that dictionary words mostly cover are not."""
+    plain numbers, strings that dictionary words mostly cover, addresses and one
+    sign repeated are not, where no secret's name claims them as its value."""
     c = F.col("candidate")
-    mixed = c.rlike("[0-9]") & c.rlike("[A-Za-z]")
+    run = c.rlike("^[A-Za-z0-9_+/-]+={0,2}$") & c.rlike("[0-9]") & c.rlike("[A-Za-z]")
+    named = (F.col("keyword") == 1) & (F.col("assigned") == 1)
     secret = c.rlike("^(AKIA|ASIA)[A-Z2-7]{16}$") | c.rlike("^(gh[pousr]_|sk_live_|xox[abpr]-)[A-Za-z0-9-]{16,}$") | (
-        mixed & (F.col("keyword") == 1) & (F.col("assigned") == 1) & (F.col("length") >= 16))
-    plain = (F.col("digits_only") == 1) | (F.col("covered") > 0.6) | ((F.col("in_path") == 1) & (F.col("keyword") == 0))
+        run & named & (F.col("length") >= 16))
+    plain = ((F.col("digits_only") == 1) & ~named) | ((F.col("covered") > 0.6) & ~(named & (F.col("quoted") == 1))) | (
+        (F.col("in_path") == 1) & (F.col("keyword") == 0)) | c.rlike(r"^(?i)[a-z][a-z0-9+.-]*://[^@]*$") | c.rlike(r"^(.)\1*$")
     return F.when(secret, F.lit(1.0)).when(plain, F.lit(0.0))
 
 
@@ -163,6 +186,16 @@ def scan(docs: DataFrame, label: Column | None = None) -> DataFrame:
         (F.col("probability") >= THRESHOLD).alias("is_secret"))
 
 
+def _without(text: Column, secret: Column) -> Column:
+    """`text` with the string replaced: a long one wherever it is, one that may
+    be part of a word only as a whole word, one of under 4 characters only after
+    a secret's name."""
+    whole = F.concat(F.lit(r"\Q"), F.replace(secret, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![\p{L}\p{N}])"))
+    place = F.when(F.length(secret) < 4, F.lit(AFTER_NAME)).otherwise(F.lit(r"(?<![\p{L}\p{N}])"))
+    return F.when(F.length(secret) >= 12, F.replace(text, secret, F.lit(REDACTED))).otherwise(
+        F.regexp_replace(text, F.concat(place, whole), F.lit(REDACTED)))
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """`docs` with every secret's string replaced in its texts; `n_chars`, where
     there is one, follows the text. No document is dropped."""
@@ -177,7 +210,7 @@ def redact(docs: DataFrame) -> DataFrame:
     names = {c: i for i, c in enumerate(docs.columns)}
     text = F.col(f"c{names['text']}")
     clean = F.when(F.col("strings").isNull(), text).otherwise(
-        F.aggregate("strings", text, lambda t, x: F.replace(t, x, F.lit(REDACTED))))
+        F.aggregate("strings", text, _without))
     out = []
     for name, i in names.items():
         column = F.col(f"c{i}")
