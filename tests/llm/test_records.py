@@ -144,3 +144,12 @@ def test_keys_without_digits_and_passwords_of_any_signs(spark):
     assert clean[402] == "the password: [SECRET], then" and clean[403] == '"passwd": "[SECRET]" end'
     assert clean[404] == "pwd='[SECRET]' and [SECRET] but s3cr3t!x"
     assert {(203, "plain words only, nothing to find")} <= {(r.doc_id, r.text) for r in secret_scan.redact(df).collect()}
+
+
+def test_redaction_is_by_id_and_text(spark):
+    rows, _ = _texts()
+    h = hashlib.sha1(b"shared").hexdigest()
+    plain = f"see https://host.example/{h}/index for it"
+    rows += [(None, f'token = "{h}" end'), (None, plain), (500, f'token = "{h}" end'), (500, plain)]
+    got = [r.text for r in secret_scan.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == len(rows) and got.count(plain) == 2 and got.count('token = "[SECRET]" end') == 2

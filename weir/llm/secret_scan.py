@@ -77,8 +77,8 @@ def with_covered(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def findings(docs: DataFrame) -> DataFrame:
-    """doc_id, candidate, start (characters before it), times (its places in the
-    text), before, after: one row per place of a candidate."""
+    """doc_id, text_hash, candidate, start (characters before it), times (its
+    places in the text), before, after: one row per place of a candidate."""
     text = F.col("text").cast("string")
 
     def places(kind: int, pattern: str) -> Column:
@@ -94,16 +94,16 @@ def findings(docs: DataFrame) -> DataFrame:
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t")).where(
         F.col("t").rlike(patterns[0]) | F.col("t").rlike(patterns[1]))
     # ids come before the places are exploded, so that a text's places share one
-    rows = found.select("doc_id", F.monotonically_increasing_id().alias("row"),
+    rows = found.select("doc_id", F.xxhash64("t").alias("text_hash"), F.monotonically_increasing_id().alias("row"),
                         F.concat(*[places(k, x) for k, x in enumerate(patterns)]).alias("places"))
-    each = rows.select("doc_id", "row", F.explode("places").alias("f")).select("doc_id", "row", "f.*").where(
+    each = rows.select("doc_id", "text_hash", "row", F.explode("places").alias("f")).select("doc_id", "text_hash", "row", "f.*").where(
         "candidate is not null").repartition("row")
     n = F.length("candidate").cast("long")
     upto = Window.partitionBy("row", "kind").orderBy("pos")
     placed = each.withColumn("start", F.sum(F.col("gap") + n).over(upto) - n)
     # a value that is a run is among the runs already
     return placed.where((F.col("kind") == 0) | ~F.col("candidate").rlike(f"^(?:{RUN % ''})$")).select(
-        "doc_id", "candidate", "start", F.count("*").over(Window.partitionBy("row", "candidate")).alias("times"), "before", "after")
+        "doc_id", "text_hash", "candidate", "start", F.count("*").over(Window.partitionBy("row", "candidate")).alias("times"), "before", "after")
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -147,6 +147,11 @@ def certain_label() -> Column:
 def scan(docs: DataFrame, label: Column | None = None) -> DataFrame:
     """doc_id, candidate, start, length, times, probability, is_secret: one row
     per finding. `label`: a column over findings and features, 1.0, 0.0 or null."""
+    return _judged(docs, label).drop("text_hash")
+
+
+def _judged(docs: DataFrame, label: Column | None = None) -> DataFrame:
+    """`scan` with the hash of each finding's text."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     places, lexicon, path = (scratch_path(spark, x) for x in ("places", "dictionary", "findings"))
@@ -182,7 +187,7 @@ def scan(docs: DataFrame, label: Column | None = None) -> DataFrame:
     else:
         judged = judged.withColumn("probability", F.coalesce("certain", F.lit(0.0)))
     return judged.select(
-        "doc_id", "candidate", "start", F.col("length").cast("long").alias("length"), "times", "probability",
+        "doc_id", "text_hash", "candidate", "start", F.col("length").cast("long").alias("length"), "times", "probability",
         (F.col("probability") >= THRESHOLD).alias("is_secret"))
 
 
@@ -200,13 +205,17 @@ def redact(docs: DataFrame) -> DataFrame:
     """`docs` with every secret's string replaced in its texts; `n_chars`, where
     there is one, follows the text. No document is dropped."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    secrets = scan(docs).where("is_secret").groupBy(key.alias("of_doc")).agg(F.collect_set("candidate").alias("strings"))
+    # by id and text: rows of a null or repeated id have their own secrets, and no group is larger than a text
+    secrets = _judged(docs).where("is_secret").groupBy(key.alias("of_doc"), F.col("text_hash").alias("of_text")).agg(
+        F.collect_set("candidate").alias("strings"))
     # longest first, so that a secret within another does not break it
-    ordered = secrets.select("of_doc", F.array_sort(
+    ordered = secrets.select("of_doc", "of_text", F.array_sort(
         "strings", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1)
         .otherwise(0)).alias("strings"))
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], key.alias("row_doc"))
-    joined = rows.join(ordered, F.col("row_doc") == F.col("of_doc"), "left")
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], key.alias("row_doc"),
+                       F.xxhash64(F.col("text").cast("string")).alias("row_text"))
+    own = (F.col("row_doc") == F.col("of_doc")) & (F.col("row_text") == F.col("of_text"))
+    joined = rows.join(ordered, own, "left")
     names = {c: i for i, c in enumerate(docs.columns)}
     text = F.col(f"c{names['text']}")
     clean = F.when(F.col("strings").isNull(), text).otherwise(
