@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from weir.llm import ann, bpe, ctw, langid, packing, secret_scan, simhash, suffix, topk, warc
+from weir.llm import ann, bpe, ctw, dialogue, langid, packing, secret_scan, simhash, suffix, topk, warc
 from weir.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,10 +54,15 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op13_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.audits(dialogue.damaged(read_table(spark, sf_dir, "conversations")), present=F.col("present"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_nra_topk, op2_learned_partitions, op3_simhash_trie, op4_suffix_dedup, op5_secret_scan, op6_warc_archive,
-        op7_lp_packing, op8_bitmask_language, op9_context_tree, op10_transducer_bpe)
+        op7_lp_packing, op8_bitmask_language, op9_context_tree, op10_transducer_bpe,
+        op13_audit_repair)
 }
 
 ORACLE = {
