@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from weir.llm import ann, bpe, ctw, dialogue, langid, packing, secret_scan, simhash, suffix, topk, warc
+from weir.llm import ann, bpe, covertree, ctw, dialogue, langid, packing, secret_scan, simhash, suffix, topk, warc
 from weir.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,6 +54,11 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return covertree.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 def op13_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue.audits(dialogue.damaged(read_table(spark, sf_dir, "conversations")), present=F.col("present"))
 
@@ -62,7 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_nra_topk, op2_learned_partitions, op3_simhash_trie, op4_suffix_dedup, op5_secret_scan, op6_warc_archive,
         op7_lp_packing, op8_bitmask_language, op9_context_tree, op10_transducer_bpe,
-        op13_audit_repair)
+        op12_hard_negatives, op13_audit_repair)
 }
 
 ORACLE = {
@@ -78,6 +83,26 @@ WITH v AS (
 )
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY rank <= 10""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.x, c.x)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.x) = len(c.x)
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3""",
     "op6_warc_archive": """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def finite_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """`vec_id` and `v` (array of double) of the rows whose id and vector are
-    known and whose components are all known and finite."""
+def finite_vectors(df: DataFrame, id_col: str, vector_col: str, *kept: str) -> DataFrame:
+    """`vec_id`, `v` (array of double) and `kept` columns of the rows whose id and
+    vector are known and whose components are all known and finite."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
-    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
+    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), *kept)
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & good)
 
