@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from weir.llm import ann, bpe, covertree, ctw, dialogue, langid, packing, secret_scan, simhash, suffix, topk, warc
+from weir.llm import ann, bpe, covertree, ctw, dialogue, itq, langid, packing, secret_scan, simhash, suffix, topk, warc
 from weir.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,6 +54,10 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(read_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return covertree.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
@@ -67,7 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_nra_topk, op2_learned_partitions, op3_simhash_trie, op4_suffix_dedup, op5_secret_scan, op6_warc_archive,
         op7_lp_packing, op8_bitmask_language, op9_context_tree, op10_transducer_bpe,
-        op12_hard_negatives, op13_audit_repair)
+        op11_itq_dedup, op12_hard_negatives, op13_audit_repair)
 }
 
 ORACLE = {
