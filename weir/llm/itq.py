@@ -265,7 +265,7 @@ def _linked(cosine: float):
     def linked(key, rows):
         _, table, _, i, j, leading = (k.as_py() for k in key)
         one = rows.slice(0, 1).to_pylist()[0]
-        node, block, probe = (rows.column(c).to_numpy() for c in ("node", "block", "probe"))
+        node, vec_id, block, probe = (rows.column(c).to_numpy() for c in ("node", "vec_id", "block", "probe"))
         rows_here = Bin(matrix(rows.column("v"), float), rows.column("code").to_numpy().view(np.uint64),
                         rows.column("copies").to_numpy(), table, one["tables"], one["radius"], cosine)
         low = rows_here.width - leading  # bits below those that name the bin
@@ -276,13 +276,14 @@ def _linked(cosine: float):
         else:
             rows_here.compare(np.nonzero(block == i)[0], np.nonzero(block == j)[0], range(low))
         at = np.nonzero(rows_here.links)[0]
-        return pa.table({"node": node[at], "links": rows_here.links[at], "root": node[rows_here.label[at]]})
+        tied = rows_here.label[at]
+        return pa.table({"vec_id": vec_id[at], "node": node[at], "links": rows_here.links[at], "root_id": vec_id[tied], "root": node[tied]})
     return linked
 
 
 def link_counts(coded: DataFrame, cosine: float) -> DataFrame:
-    """node, links, root of every task: how many rows a node links to among the
-    pairs that meet there, and a node of the task it is tied to."""
+    """vec_id, node, links, root_id, root of every task: how many rows a node links
+    to among the pairs that meet there, and a node of the task it is tied to."""
     sizes = coded.groupBy("d").agg(F.ceil(F.log2(F.count("*") / F.lit(BIN_ROWS))).cast("int").alias("needed"))
     placed = coded.join(sizes, "d").withColumn("t", F.explode(F.sequence(F.lit(0), F.col("tables") - 1)))
     placed = placed.withColumn("width", F.expr(
@@ -310,9 +311,9 @@ def link_counts(coded: DataFrame, cosine: float) -> DataFrame:
     probe_tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(
         i.alias("i"), (-1 - F.col("block")).alias("j")))
     tasks = dealt.withColumn("task", F.explode(F.when(F.col("probe") == 1, probe_tasks).otherwise(own_tasks)))
-    return tasks.select("node", "copies", "d", "v", "code", "tables", "radius", "t", "bin", "leading", "block", "probe",
+    return tasks.select("vec_id", "node", "copies", "d", "v", "code", "tables", "radius", "t", "bin", "leading", "block", "probe",
                         "task.i", "task.j").groupBy("d", "t", "bin", "i", "j", "leading").applyInArrow(
-        _linked(cosine), "node long, links long, root long")
+        _linked(cosine), "vec_id long, node long, links long, root_id long, root long")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.97,
@@ -347,10 +348,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.
 
     found = written(link_counts(coded, cosine), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-    least = roots.join(coded.select("node", "vec_id"), "node").groupBy("root").agg(F.min("vec_id").alias("least"))
+    # nodes ordered by (vec_id, node): a component's root then carries its smallest id
+    roots = components(found.where("node <> root").select(
+        F.struct("vec_id", "node").alias("a"), F.struct(F.col("root_id").alias("vec_id"), F.col("root").alias("node")).alias("b")))
+    roots = roots.select(F.col("node.node").alias("node"), F.col("root.vec_id").alias("least"))
     nodes = coded.select("node", F.col("vec_id").alias("first_id"), "copies", "v").join(links, "node", "left").join(
-        roots, "node", "left").join(least, "root", "left").select(
+        roots, "node", "left").select(
         "first_id", "copies", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("least", "first_id").alias("component_id"))
     single = nodes.where("copies = 1").select(F.col("first_id").alias("vec_id"), "n_links", "component_id")
