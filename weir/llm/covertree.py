@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from weir.llm.vectors import finite_vectors, matrix
+from weir.session import scratch_path
 
 BLOCK_ROWS = 8_192
 LABEL_BUCKETS = 64
@@ -226,9 +227,12 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column, positiv
         "vec_id", "a_hash", "label", "d", "x", F.array(F.lit(-LONG - 1)).alias("low"), F.array(F.lit(LONG)).alias("high"),
         "bucket", everywhere)
     near = _merged(searched(own, positives, True), ["anchor_id", "a_hash"], positives)
-    # `positives` entries at most per anchor
+    # `positives` entries at most per anchor; stored, as the windows and the result both need them
     windows = near.groupBy("anchor_id", "a_hash").agg(
         F.sort_array(F.collect_list(F.struct("rank", "found_id", "score"))).alias("near"))
+    path = scratch_path(vectors.sparkSession, "positives")
+    windows.write.mode("overwrite").parquet(path)
+    windows = vectors.sparkSession.read.parquet(path)
     percent = F.lit(100).cast("decimal(20,0)")
 
     def bound(share: int, rounding) -> Column:
