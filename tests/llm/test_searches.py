@@ -79,3 +79,21 @@ def test_balanced_parts_stay_balanced():
     x = np.random.default_rng(3).normal(size=(512, 8))
     part = ann.balanced_parts(x, ann.neighbour_graph(x), 8)
     assert np.bincount(part, minlength=8).max() <= math.ceil(1.1 * 512 / 8)
+
+
+def test_sorted_lists_stop_early_and_stay_exact():
+    rng = np.random.default_rng(5)
+    x = np.floor(1024 * rng.normal(size=(4000, 24))).astype(np.int64)
+    x[rng.integers(4000, size=300)] = x[3]  # ties
+    lists = topk.SortedLists(rng.permutation(4000).astype(np.int64), x)
+    share = []
+    for i in range(40):
+        q = x[i] if i % 2 else np.floor(1024 * rng.normal(size=24)).astype(np.int64)
+        want = sorted((-int(s), int(j)) for s, j in zip(lists.x @ q, lists.ids) if j != i)
+        floor = -want[19][0]  # as known from other candidates
+        for f in (None, floor, -want[2][0], -want[0][0] + 1):
+            ids, score, read = lists.top(i, q, 10, f)
+            best = [w for w in want if f is None or -w[0] >= f][:10]
+            assert [(-int(s), int(j)) for s, j in zip(score, ids)] == best
+            share.append(read / x.size)
+    assert min(share) < 0.6 and np.mean(share) < 0.9
