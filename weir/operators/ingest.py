@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from weir.functions.columns import empty_if_null, false_if_null
 from weir.operators.joins import broadcast_if_bounded
-from weir.operators.sinks import manifest_append, rows_to_insert
+from weir.operators.sinks import KeyBounds, key_measures, manifest_append, rows_to_insert
 from weir.schemas import FUEL_TARGET_KEY
 from weir.session import checkpoint_root
 
@@ -69,50 +69,71 @@ def new_file_names(files: DataFrame, manifest: DataFrame, name_col: str = "filen
     )
 
 
-def new_names(files: DataFrame, manifest: DataFrame, name_col: str = "filename") -> list[str]:
-    """The new file names themselves, to prune the scan by partition value
-    before it starts. The driver holds no more than the file listing that
-    any scan of the landing keeps there anyway."""
-    return sorted(r[0] for r in new_file_names(files, manifest, name_col).collect())
+def only_new_files(rows: DataFrame, files: DataFrame, manifest: DataFrame, file_col: str = "source_file") -> DataFrame:
+    """S12 + J5: the rows of the listed files that are not in the manifest.
+
+    Listing and manifest are joined as data, and the rows are semi-joined with
+    the names that remain. Where the rows lie in folders by file, Spark prunes
+    the scan by those names at run time (dynamic partition pruning); none come
+    to the driver. Files without bytes hold no rows."""
+    names = new_file_names(files.filter(F.col("length") > 0), manifest).select(F.col("filename").alias(file_col))
+    side, _ = broadcast_if_bounded(names)
+    return rows.join(side, file_col, "left_semi")
 
 
 def file_counts(rows: DataFrame, file_col: str = "source_file") -> DataFrame:
-    """Per file: its rows and those that break NOT NULL (a file with any is
-    rejected whole, as a per-file transaction would roll back)."""
+    """Per file, in one pass over three columns: its rows, those that break NOT
+    NULL (a file with any is rejected whole, as a per-file transaction would
+    roll back), and the bounds of its keys."""
     bad = F.lit(False)
     for c in NOT_NULL:
         bad = bad | F.col(c).isNull()
-    return rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows_loaded"), F.count_if(bad).alias("bad_rows"))
+    keys = [m.alias(f"key_{n}") for m, n in zip(key_measures(FUEL_TARGET_KEY), ("rows", "bytes", "low", "high"))]
+    return rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows_loaded"), F.count_if(bad).alias("bad_rows"), *keys)
 
 
 @dataclass
-class IngestStep:
-    inserts: DataFrame        # rows to append to the target
+class FileStep:
+    fresh: DataFrame          # rows of files that the manifest lacks
+    files: DataFrame          # one stored row per such file: its counts and key bounds
     manifest_new: DataFrame   # manifest rows to append
     rejected: DataFrame       # files rejected whole (source_file, bad_rows)
     attempted: DataFrame      # rows attempted per file (A13)
 
 
-def ingest_step(incoming: DataFrame, target: DataFrame, manifest: DataFrame) -> IngestStep:
-    """One load run over export rows (`source_file` set per row).
-
-    The per-file counts are taken once and checkpointed (one row per file);
-    rejects, manifest entries and the attempted rows all come from them."""
+def file_step(incoming: DataFrame, manifest: DataFrame) -> FileStep:
+    """What a load run decides per file; the counts are taken once and stored."""
     checkpoint_root(incoming.sparkSession)
     fresh = unprocessed(incoming, manifest)
     files = file_counts(fresh).checkpoint()
-    rejected = files.filter("bad_rows > 0").select("source_file", "bad_rows")
     loaded = files.filter("bad_rows = 0")
-    refused, _ = broadcast_if_bounded(rejected.select("source_file"))
-    good = fresh.join(refused, "source_file", "left_anti")
-    flat = flatten_fuel(good, with_load_time=False)
-    inserts = rows_to_insert(flat, target, FUEL_TARGET_KEY, FIRST_WINS_ORDER, keys_superset=incoming)
-    inserts = inserts.withColumn("loaded_at", F.current_timestamp())
     entries = loaded.select(F.col("source_file").alias("filename"), F.current_timestamp().alias("processed_at"),
                             "rows_loaded")
-    return IngestStep(
-        inserts=inserts,
-        manifest_new=manifest_append(manifest, entries),
-        rejected=rejected,
-        attempted=loaded.select("source_file", "rows_loaded"),
-    )
+    return FileStep(fresh, files, manifest_append(manifest, entries),
+                    files.filter("bad_rows > 0").select("source_file", "bad_rows"),
+                    loaded.select("source_file", "rows_loaded"))
+
+
+@dataclass
+class IngestStep:
+    inserts: DataFrame        # rows to append to the target
+    manifest_new: DataFrame   # manifest rows to append
+    rejected: DataFrame       # files rejected whole (source_file, bad_rows)
+    attempted: DataFrame      # rows attempted per file (A13)
+
+
+def ingest_step(incoming: DataFrame, target: DataFrame, manifest: DataFrame) -> IngestStep:
+    """One load run over export rows (`source_file` set per row): the files'
+    step, then the rows of the files it accepts, minus keys the target has. The
+    size and bounds of the keys come from the files' stored counts."""
+    step = file_step(incoming, manifest)
+    total = step.files.agg(
+        F.count_if(F.col("bad_rows") > 0).alias("refused"), F.sum("key_rows").alias("rows"),
+        F.sum("key_bytes").alias("bytes"), F.min("key_low").alias("low"), F.max("key_high").alias("high")).first()
+    good = step.fresh
+    if total["refused"]:
+        refused, _ = broadcast_if_bounded(step.rejected.select("source_file"))
+        good = good.join(refused, "source_file", "left_anti")
+    bounds = KeyBounds(total["rows"] or 0, total["bytes"] or 0, total["low"], total["high"])
+    inserts = rows_to_insert(flatten_fuel(good, with_load_time=False), target, FUEL_TARGET_KEY, FIRST_WINS_ORDER, bounds)
+    return IngestStep(inserts.withColumn("loaded_at", F.current_timestamp()), step.manifest_new, step.rejected, step.attempted)

@@ -10,6 +10,7 @@ already present in the target are never replaced.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import AnalysisException
@@ -84,39 +85,61 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     return picked.select(*out).select(*df.columns)
 
 
-def rows_to_insert(incoming: DataFrame, target_keys: DataFrame, key: str,
-                   order_by: Sequence[str], keys_superset: DataFrame | None = None,
-                   broadcast_max_bytes: int | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class KeyBounds:
+    """What one pass over a load's keys tells: how many there are, their bytes, the smallest and the largest."""
+    rows: int
+    bytes: int
+    low: object
+    high: object
+
+
+def key_measures(key: str) -> list[Column]:
+    """The aggregates behind `KeyBounds`, to be taken along in a pass that is made anyway."""
+    size = F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) + 16
+    return [F.count(key).alias("rows"), F.sum(F.when(F.col(key).isNotNull(), size)).alias("bytes"),
+            F.min(key).alias("low"), F.max(key).alias("high")]
+
+
+def key_bounds(df: DataFrame, key: str) -> KeyBounds:
+    row = df.select(key).agg(*key_measures(key)).first()
+    return KeyBounds(row["rows"], row["bytes"] or 0, row["low"], row["high"])
+
+
+def rows_to_insert(incoming: DataFrame, target: DataFrame, key: str, order_by: Sequence[str],
+                   bounds: KeyBounds | None = None, broadcast_max_bytes: int | None = None,
+                   buckets: int | None = None) -> DataFrame:
     """Rows an INSERT ... ON CONFLICT (key) DO NOTHING would add: first row
     per key in `order_by` order, minus keys already in the target.
 
-    The target only grows, while a load is small. When the incoming keys
-    have a measured size bound they are broadcast and the target is
-    semi-joined against them: the target's keys stream through without a
-    shuffle and only the keys already present come back. Without a bound,
-    it is a plain anti join against the distinct target keys.
-    `keys_superset` (e.g. the raw rows of the load, before filtering) is a
-    cheaper frame to measure: its bound covers the incoming keys too.
+    The target only grows, while a load is small. One pass over the incoming
+    keys bounds them (`bounds`, if the caller has it); the target's scan
+    carries these bounds, so row groups of other key ranges are not read. A
+    few keys are pushed as a list, for which Parquet asks its bloom filters.
+    Within the broadcast bound the keys are broadcast and the target's keys
+    stream through without a shuffle, only those present coming back. Beyond
+    it the first rows are dealt to the target's `buckets`, where the bucketed
+    target meets them without an exchange of its own; a target without
+    buckets is a plain anti join.
     """
-    from weir.operators.joins import DEFAULT_MAX_BYTES, measure_bounded
+    from weir.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS
 
+    bounds = bounds or key_bounds(incoming, key)
     firsts = first_per_key(incoming, key, order_by)
-    keys = incoming.select(key).filter(F.col(key).isNotNull())
-    probe = keys if keys_superset is None else keys_superset.select(key).filter(F.col(key).isNotNull())
-    size = measure_bounded(probe)
+    known = target.select(key).filter(F.col(key).between(F.lit(bounds.low), F.lit(bounds.high)))
+    keys = incoming.select(key).filter(F.col(key).isNotNull()).distinct()
+    few = int(target.sparkSession.conf.get("spark.sql.parquet.pushdown.inFilterThreshold", "10"))
     limit = DEFAULT_MAX_BYTES if broadcast_max_bytes is None else broadcast_max_bytes
-    if size is not None and size.bytes <= limit:
+    if bounds.rows <= few and limit:
+        known = known.filter(F.col(key).isin([r[0] for r in keys.collect()]))  # `few` rows at most
+    if bounds.rows <= DEFAULT_MAX_ROWS and bounds.bytes <= limit:
         # both sides below are bounded by the measured incoming keys
-        present = target_keys.select(key).join(F.broadcast(keys.distinct()), key, "left_semi")
+        present = known.join(F.broadcast(keys), key, "left_semi")
         return firsts.join(F.broadcast(present.distinct()), on=key, how="left_anti")
-    return firsts.join(target_keys.select(key).distinct(), on=key, how="left_anti")
-
-
-def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
-                     order_by: Sequence[str]) -> DataFrame:
-    """The target after the load (existing rows kept, new keys appended)."""
-    new_rows = rows_to_insert(incoming, target, key, order_by)
-    return target.unionByName(new_rows.select(*target.columns))
+    if buckets:
+        # the load alone moves: its first rows go to the target's buckets
+        return firsts.repartition(buckets, key).join(known.hint("merge"), on=key, how="left_anti")
+    return firsts.join(known, on=key, how="left_anti")
 
 
 # K6 ------------------------------------------------------------------------
@@ -127,13 +150,6 @@ MANIFEST_SCHEMA = T.StructType([
 ])
 
 
-def manifest_entries(loaded: DataFrame, file_col: str = "source_file") -> DataFrame:
-    """Rows attempted per file (conflicts included), stamped now."""
-    return loaded.groupBy(F.col(file_col).alias("filename")).agg(
-        F.count(F.lit(1)).alias("rows_loaded")
-    ).select("filename", F.current_timestamp().alias("processed_at"), "rows_loaded")
-
-
 def manifest_append(manifest: DataFrame, entries: DataFrame) -> DataFrame:
     """Entries whose filename is not yet in the manifest (ON CONFLICT
     (filename) DO NOTHING)."""

@@ -26,12 +26,13 @@ EARLIER_RUN_AT = "2000-01-01 00:00:00"
 
 @dataclass(frozen=True)
 class Stored:
-    """What an ingestion run finds: landing folders, target and manifest, each written once."""
+    """What an ingestion run finds: landing folders, target and manifest, each
+    written once; the target only where a query asks for it."""
     landing: str
     target_path: str
     manifest_path: str
     rows: DataFrame       # the landing read back, one partition value per export
-    target: DataFrame
+    target: DataFrame | None
     manifest: DataFrame
 
 
@@ -43,7 +44,7 @@ def write_landing(rows: DataFrame, landing: str) -> None:
     write_partitioned(rows, landing, "source_file", few_values=True)
 
 
-def stored_state(spark: SparkSession, sf_dir: str) -> Stored:
+def stored_state(spark: SparkSession, sf_dir: str, with_target: bool = True) -> Stored:
     """The driver tables are read once, for the landing. The earlier run's
     target and manifest are loaded from its landing folders alone."""
     root = scratch_path(spark, "ingest-state")
@@ -51,26 +52,32 @@ def stored_state(spark: SparkSession, sf_dir: str) -> Stored:
     write_landing(D.fuel_rows(spark, sf_dir), landing)
     rows = read_parquet_with_lineage(spark, landing, ("visited_at",))
     before = rows.filter(F.col("source_file").isin(*D.FUEL_LOADED_BEFORE))
-    first = first_per_key(I.flatten_fuel(before, with_load_time=False), FUEL_TARGET_KEY, I.FIRST_WINS_ORDER)
-    first.withColumn("loaded_at", F.lit(EARLIER_RUN_AT).cast("timestamp")) \
-        .select(*FUEL_TARGET.fieldNames()).write.parquet(target)
+    if with_target:
+        first = first_per_key(I.flatten_fuel(before, with_load_time=False), FUEL_TARGET_KEY, I.FIRST_WINS_ORDER)
+        first.withColumn("loaded_at", F.lit(EARLIER_RUN_AT).cast("timestamp")) \
+            .select(*FUEL_TARGET.fieldNames()).write.parquet(target)
     before.groupBy(F.col("source_file").alias("filename")).agg(
         F.lit(EARLIER_RUN_AT).cast("timestamp").alias("processed_at"), F.count(F.lit(1)).alias("rows_loaded"),
     ).write.parquet(manifest)
     return Stored(landing, target, manifest, rows,
-                  spark.read.schema(FUEL_TARGET).parquet(target),
+                  spark.read.schema(FUEL_TARGET).parquet(target) if with_target else None,
                   spark.read.schema(MANIFEST_SCHEMA).parquet(manifest))
 
 
 def _listed(spark: SparkSession, s: Stored) -> DataFrame:
     """Exports in the landing, by folder name (no contents are read)."""
     listed = list_files(spark, s.landing, recursive=True)
-    return listed.select(F.regexp_extract("folder", r"^source_file=(.+)$", 1).alias("filename"))
+    return listed.select(F.regexp_extract("folder", r"^source_file=(.+)$", 1).alias("filename"), "length")
 
 
 def _new_rows(spark: SparkSession, s: Stored) -> DataFrame:
-    """S12 then S6: list first, then read the new folders only."""
-    return s.rows.filter(F.col("source_file").isin(I.new_names(_listed(spark, s), s.manifest)))
+    """S12 then S6: the new folders' rows, the others pruned."""
+    return I.only_new_files(s.rows, _listed(spark, s), s.manifest)
+
+
+def _file_step(spark: SparkSession, sf_dir: str) -> tuple[Stored, I.FileStep]:
+    s = stored_state(spark, sf_dir, with_target=False)
+    return s, I.file_step(_new_rows(spark, s), s.manifest)
 
 
 def _run(spark: SparkSession, sf_dir: str) -> tuple[Stored, I.IngestStep]:
@@ -86,7 +93,7 @@ def _final_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flatten_nested_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The export files read back with their lineage,
     new files only, flattened (load time left out: it is the clock)."""
-    s = stored_state(spark, sf_dir)
+    s = stored_state(spark, sf_dir, with_target=False)
     return I.flatten_fuel(_new_rows(spark, s), with_load_time=False)
 
 
@@ -98,19 +105,19 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files listed in the landing folder (by export name)
     that are not in the manifest."""
-    s = stored_state(spark, sf_dir)
+    s = stored_state(spark, sf_dir, with_target=False)
     return I.new_file_names(_listed(spark, s), s.manifest)
 
 
 def manifest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: the manifest after the run (filename, rows_loaded)."""
-    s, step = _run(spark, sf_dir)
+    s, step = _file_step(spark, sf_dir)
     return s.manifest.unionByName(step.manifest_new).select("filename", "rows_loaded")
 
 
 def rows_loaded_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows attempted per loaded file (conflicts included)."""
-    return _run(spark, sf_dir)[1].attempted
+    return _file_step(spark, sf_dir)[1].attempted
 
 
 def top10_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +139,7 @@ def revenue_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest, newest first."""
-    s, step = _run(spark, sf_dir)
+    s, step = _file_step(spark, sf_dir)
     m = s.manifest.unionByName(step.manifest_new)
     return m.orderBy(F.col("processed_at").desc_nulls_first()).select("filename", "rows_loaded")
 
