@@ -112,3 +112,11 @@ def test_cluster_needs_a_shared_checkpoint_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_new_files_prune_the_landing_by_a_join(spark):
+    from weir.plans import ingest
+
+    p = plan(ingest.flatten_nested_load(spark, SF_SMALL))
+    pruned = [line for line in p.splitlines() if line.startswith("PartitionFilters:") and "source_file" in line]
+    assert any("dynamicpruning" in line for line in pruned), p

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,8 +137,10 @@ def rows_to_insert(incoming: DataFrame, target: DataFrame, key: str, order_by: S
         present = known.join(F.broadcast(keys), key, "left_semi")
         return firsts.join(F.broadcast(present.distinct()), on=key, how="left_anti")
     if buckets:
-        # the load alone moves: its first rows go to the target's buckets
-        return firsts.repartition(buckets, key).join(known.hint("merge"), on=key, how="left_anti")
+        # the load alone moves, reduced to its first rows; observing them keeps the optimizer from
+        # moving the join below the grouping, where every row of a hot key would go to one bucket
+        dealt = firsts.repartition(buckets, key).observe(Observation(), F.count(F.lit(1)).alias("first_rows"))
+        return dealt.join(known.hint("merge"), on=key, how="left_anti")
     return firsts.join(known, on=key, how="left_anti")
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +86,15 @@ def insert(df: DataFrame, table: str, spec: TableSpec) -> None:
     df.sparkSession.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {{rows}}", rows=rows)
 
 
+def observed(seen: Observation) -> dict[str, int]:
+    """An observation's counts. A plan that is known to be empty runs no tasks
+    and observes nothing: its counts are none."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        return {}
+
+
 @dataclass(frozen=True)
 class LoadCounts:
     rows: int
@@ -99,7 +109,8 @@ def insert_checked(df: DataFrame, table: str, spec: TableSpec, quarantine: str)
     seen = Observation()
     counted = checked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.size("broken_rules") > 0).alias("refused"))
     insert(counted.filter(F.size("broken_rules") == 0).drop("broken_rules"), table, spec)
-    counts = LoadCounts(seen.get["rows"], seen.get["refused"])
+    found = observed(seen)
+    counts = LoadCounts(found.get("rows", 0), found.get("refused", 0))
     if counts.refused:
         checked.filter(F.size("broken_rules") > 0).withColumn("refused_at", F.current_timestamp()) \
             .write.mode("append").parquet(quarantine)
@@ -114,4 +125,4 @@ def load_absent(incoming: DataFrame, table: str, spec: TableSpec, order_by: Sequ
     new = rows_to_insert(incoming, target, spec.key, order_by, broadcast_max_bytes=broadcast_max_bytes, buckets=spec.buckets)
     seen = Observation()
     insert(new.observe(seen, F.count(F.lit(1)).alias("inserted")), table, spec)
-    return seen.get["inserted"]
+    return observed(seen).get("inserted", 0)

@@ -80,6 +80,13 @@ def _file_step(spark: SparkSession, sf_dir: str) -> tuple[Stored, I.FileStep]:
     return s, I.file_step(_new_rows(spark, s), s.manifest)
 
 
+def accepted_rows(spark: SparkSession, s: Stored) -> DataFrame:
+    """The new files' flattened rows, without files that are rejected whole."""
+    step = I.file_step(_new_rows(spark, s), s.manifest)
+    good = step.fresh.join(step.attempted.select("source_file"), "source_file", "left_semi")
+    return I.flatten_fuel(good, with_load_time=False)
+
+
 def _run(spark: SparkSession, sf_dir: str) -> tuple[Stored, I.IngestStep]:
     s = stored_state(spark, sf_dir)
     return s, I.ingest_step(_new_rows(spark, s), s.target, s.manifest)

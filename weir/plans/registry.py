@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.plans import formats, ingest, kpi, logs, oracle, orders, sql_reports, streams
+from weir.plans import formats, ingest, kpi, logs, oracle, orders, sql_reports, streams, tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,9 @@ QUERIES: dict[str, QueryFn] = {
     "revenue_by_group": ingest.revenue_by_group,
     "manifest_recent": ingest.manifest_recent,
     "constraint_report": ingest.constraint_report,
+    "declared_table_load": tables.declared_table_load,
+    "bucketed_table_load": tables.bucketed_table_load,
+    "quarantine_load": tables.quarantine_load,
     "decode_payload": streams.decode_payload,
     "stream_batches": streams.stream_batches,
     "file_stream_ingest": streams.file_stream_ingest,
@@ -112,6 +115,9 @@ ORACLE: dict[str, str] = {
     "revenue_by_group": oracle.REVENUE_BY_GROUP,
     "manifest_recent": oracle.MANIFEST_RECENT,
     "constraint_report": oracle.CONSTRAINT_REPORT,
+    "declared_table_load": oracle.DECLARED_TABLE_LOAD,
+    "bucketed_table_load": oracle.INSERT_IF_ABSENT,
+    "quarantine_load": oracle.QUARANTINE_LOAD,
     "decode_payload": oracle.DECODE_PAYLOAD,
     "stream_batches": oracle.STREAM_BATCHES,
     "file_stream_ingest": oracle.FILE_STREAM_INGEST,
