@@ -130,11 +130,32 @@ def test_file_stream_ingest_loads_each_file_once(spark, tmp):
     assert m == {"fuel_export_1.parquet": 2, "fuel_export_2.parquet": 2}
     t = spark.read.parquet(target).first()
     assert t.visited_at == dt.datetime(2024, 1, 1) and t.loaded_at is not None
+    assert sorted(f for f in os.listdir(archive) if f.endswith(".parquet")) == ["fuel_export_1.parquet", "fuel_export_2.parquet"]
+    assert not [f for f in os.listdir(landing) if f.endswith(".parquet")]
     # a second run finds nothing new
     run_file_ingest(spark, landing, target, manifest, ckpt, archive_dir=archive)
     assert spark.read.parquet(target).count() == 3
 
 
+def test_archive_moves_what_was_loaded_and_logs_what_it_cannot(spark, tmp, caplog):
+    landing, archive = f"{tmp}/landing", f"{tmp}/archive"
+    os.makedirs(landing)
+    os.makedirs(archive)
+    for name, row in (("good", _row("a")), ("blocked", _row("b")), ("bad", _row("c", station=None)), ("seen", _row("d"))):
+        _write_export(f"{landing}/{name}.parquet", [row[:-1]])
+    with open(f"{archive}/blocked.parquet", "w") as f:
+        f.write("an earlier file of that name")
+    target, manifest, ckpt = f"{tmp}/target", f"{tmp}/manifest", f"{tmp}/ckpt"
+    spark.createDataFrame([("seen.parquet", None, 1)], MANIFEST_SCHEMA).write.parquet(manifest)
+    run_file_ingest(spark, landing, target, manifest, ckpt, archive_dir=archive)
+    assert sorted(r.transaction_id for r in spark.read.parquet(target).collect()) == ["a", "b"]
+    left = sorted(f for f in os.listdir(landing) if f.endswith(".parquet"))
+    assert left == ["bad.parquet", "blocked.parquet", "seen.parquet"]  # not loaded, not movable, loaded before
+    assert os.path.exists(f"{archive}/good.parquet")
+    assert open(f"{archive}/blocked.parquet").read().startswith("an earlier")
+    assert "blocked.parquet stays" in caplog.text and "good" not in caplog.text
+
+
 def test_rows_to_insert_null_key_never_matches(spark):
     t = _empty_target(spark)
     inc = I.flatten_fuel(_df(spark, [_row(None)]), with_load_time=False)

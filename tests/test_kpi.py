@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from weir import schemas
@@ -98,3 +99,86 @@ def test_unparsable_ts_gives_null_date_not_failure(spark):
     assert sorted((r.date is None) for r in rows) == [False, True]
     with pytest.raises(Exception):
         K.with_time_columns(ev, strict=True).collect()
+
+
+def _daily(spark):
+    """Groups with date gaps, null keys, null revenue and one dominant group."""
+    import datetime as dt
+    import random
+
+    rng, start = random.Random(3), dt.date(2023, 12, 20)
+    rows = []
+    for country, category, days, share in (("N1", "a", 400, 1.0), ("N1", None, 90, 0.4), (None, "b", 60, 0.2), ("N2", "c", 40, 0.1),
+                                           ("N3", "d", 1, 1.0)):
+        for d in range(days):
+            if rng.random() < share:
+                revenue = None if rng.random() < 0.05 else Decimal(rng.randint(0, 9999)) / 100
+                rows.append((start + dt.timedelta(days=d), country, category, revenue))
+    return spark.createDataFrame(rows, "date date, country string, category string, revenue decimal(22,2)"), rows
+
+
+def _rolled(rows, reach):
+    out = set()
+    for date, country, category, _ in rows:
+        group = sorted((r for r in rows if r[1:3] == (country, category) and r[0] <= date), key=lambda r: r[0])
+        near = group[-7:] if reach is None else [r for r in group if (date - r[0]).days < reach]
+        sums = [r[3] for r in near if r[3] is not None]
+        out.add((date, country, category, sum(sums) if sums else None))
+    return out
+
+
+@pytest.mark.parametrize("days", [None, 7])
+@pytest.mark.parametrize("segment", [None, 7, 10, 45, 5000])
+def test_rolling_frames_and_segments(spark, days, segment):
+    df, rows = _daily(spark)
+    got = K.with_rolling_revenue(df, days=days, segment_days=segment)
+    assert got.columns == [*df.columns, "revenue_7d"]
+    found = [(r.date, r.country, r.category, r.revenue_7d) for r in got.collect()]
+    assert len(found) == len(rows) and set(found) == _rolled(rows, days)
+
+
+def test_short_segments_carry_rows_over_several(spark):
+    df, rows = _daily(spark)
+    got = K.with_rolling_revenue(df, segment_days=2).collect()
+    assert {(r.date, r.country, r.category, r.revenue_7d) for r in got} == _rolled(rows, None) and len(got) == len(rows)
+    with pytest.raises(ValueError):
+        K.with_rolling_revenue(df, days=7, segment_days=2)
+
+
+def test_segments_split_a_dominant_group(spark):
+    df, _ = _daily(spark)
+    p = K.with_rolling_revenue(df, segment_days=10)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(country" in p and "_segment" in p[p.index("hashpartitioning(country"):]
+
+
+def test_bitmap_distinct_is_exact_and_merges(spark, tmp):
+    ids = [None, 0, 1, -1, 5, 5, 32767, 32768, 32769, -32768, 65536, 2**40, -(2**40)]
+    rows = [("d1", "x", i) for i in ids] + [("d2", "x", i) for i in ids[:6]] + [("d2", "y", None), ("d3", None, 7)]
+    df = spark.createDataFrame(rows, "date string, country string, user_id long").repartition(5)
+    maps = K.user_bitmaps(df, "date", "country")
+    for keys in (("date", "country"), ("country",), ("date",), ()):
+        want = {tuple(r[:-1]): r[-1] for r in df.groupBy(*keys).agg(F.countDistinct("user_id")).collect()}
+        got = {tuple(r[:-1]): r[-1] for r in K.distinct_from_bitmaps(maps, *keys).collect()}
+        assert got == want, keys
+    shuffled = maps._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" in shuffled  # combined before the exchange
+
+
+@pytest.mark.parametrize("users", [[(1, "N1"), (2, "N2")], [(1, "N1"), (1, "N2"), (2, "N3"), (None, "N4")]])
+def test_large_users_paths_agree(spark, users):
+    from tests.conftest import SF_SMALL
+    from weir.sources import datasets as D
+
+    ev, items = D.kpi_events(spark, SF_SMALL), D.kpi_items(spark, SF_SMALL)
+    u = spark.createDataFrame(users, "id long, country string")
+    small = K.daily_kpi(ev, items, u).collect()
+    large = K.daily_kpi(ev, items, u, users_broadcast_bytes=0)
+    assert sorted(map(str, small)) == sorted(map(str, large.collect()))
+    assert K.ids_are_unique(u) == (len(users) == 2)
+
+
+def test_write_kept_observes_its_counts(spark, tmp):
+    df = spark.createDataFrame([(Decimal("1.00"),), (Decimal("-1.00"),), (None,)], "revenue decimal(12,2)")
+    assert K.write_kept(df, f"{tmp}/k") == {"rows_before": 3, "rows_after": 1, "rows_removed": 2}
+    assert spark.read.parquet(f"{tmp}/k").count() == 1
+    assert K.write_kept(df.limit(0), f"{tmp}/e")["rows_before"] == 0

@@ -3,7 +3,10 @@ import glob
 from pyspark.sql import functions as F
 
 from weir.operators.joins import broadcast_if_bounded, measure_bounded
-from weir.operators.layout import files_per_partition, hash_partition, partition_record_counts
+from weir.operators.layout import (
+    files_per_partition, first_partition_value, hash_partition, join_stored, list_partitions, partition_record_counts,
+    store_for_joins, timed_layouts,
+)
 from weir.operators.sinks import write_ordered_csv, write_partitioned
 from weir.sources.files import list_files, read_partition
 from weir.sources.tables import spread
@@ -75,3 +78,41 @@ def test_measure_sees_a_file_rewritten_in_place(spark, tmp):
 
 def test_measure_gives_up_on_large_files_without_a_scan(spark):
     assert measure_bounded(spark.range(1000), hopeless_bytes=10) is None
+
+
+def test_partition_values_come_from_the_listing(spark, tmp):
+    df = spark.createDataFrame([("2024-01-02", 1), ("2024-01-01", 2), (None, 3), ("a b/c%", 4)], "d string, v int")
+    df.write.partitionBy("d").parquet(f"{tmp}/t")
+    assert {r.d for r in list_partitions(spark, f"{tmp}/t", "d").collect()} == {"2024-01-02", "2024-01-01", None, "a b/c%"}
+    assert first_partition_value(spark, f"{tmp}/t", "d") == "2024-01-01"
+    plan = list_partitions(spark, f"{tmp}/t", "d")._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in plan.replace("FileScan binaryfile", "binaryFile") and "parquet[" not in plan.lower()
+
+
+def test_timed_layouts(spark, tmp):
+    df = spark.range(100).select("id", F.col("id").cast("decimal(12,2)").alias("amount"))
+    df.repartition(3).write.parquet(f"{tmp}/a")
+    df.coalesce(1).write.parquet(f"{tmp}/b")
+    got = {r.layout: r for r in timed_layouts({n: spark.read.parquet(f"{tmp}/{n}") for n in "ab"}, "amount").collect()}
+    assert {n: (r.rows, float(r.amount), r.files) for n, r in got.items()} == {"a": (100, 4950.0, 3), "b": (100, 4950.0, 1)}
+    assert all(r.seconds > 0 for r in got.values())
+
+
+def test_stored_join_moves_nothing_and_splits_a_hot_user(spark, tmp):
+    facts = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 == 1, None).otherwise(
+        F.col("id") % 50).alias("u"), F.col("id").alias("v"))
+    dims = spark.range(40).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    dims = dims.unionAll(spark.createDataFrame([(3, "again")], "k long, name string"))  # an id on two rows
+    store_for_joins(facts, dims, "u", "k", "weir_f", "weir_d", tmp, buckets=8, salts=4)
+    try:
+        joined = join_stored(spark, "weir_f", "weir_d", "u", "k")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        want = facts.join(dims, F.col("u") == F.col("k"), "left")
+        assert sorted(map(str, joined.collect())) == sorted(map(str, want.collect()))
+        per_task = joined.groupBy(F.spark_partition_id().alias("p")).count()
+        places = spark.table("weir_f").filter("u = 7").select("_salt").distinct().count()
+        assert places == 4  # the hot user's facts stand at several places
+        assert per_task.agg(F.max("count")).first()[0] < 1000
+    finally:
+        spark.sql("DROP TABLE weir_f")
+        spark.sql("DROP TABLE weir_d")

@@ -46,17 +46,41 @@ def _envelopes(spark, n, start=0):
 def test_stream_writes_one_folder_per_batch(spark, tmp):
     landing, out, ckpt = f"{tmp}/landing", f"{tmp}/out", f"{tmp}/ckpt"
     _envelopes(spark, 30).repartition(3).write.parquet(landing)
-    q = S.start_stream(S.decode_envelopes(S.envelope_file_source(spark, landing)), out, ckpt, available_now=True)
+    q = S.start_stream(S.decode_envelopes(S.envelope_file_source(spark, landing, max_files_per_trigger=1)), out, ckpt, available_now=True)
     q.awaitTermination()
     res = spark.read.parquet(out)
     assert res.count() == 30
     assert res.select("batch_id").distinct().count() == 3   # maxFilesPerTrigger = 1
     # restart from the checkpoint: nothing is read twice
-    q = S.start_stream(S.decode_envelopes(S.envelope_file_source(spark, landing)), out, ckpt, available_now=True)
+    q = S.start_stream(S.decode_envelopes(S.envelope_file_source(spark, landing, max_files_per_trigger=1)), out, ckpt, available_now=True)
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 30
 
 
+def test_batches_are_bounded_by_bytes_whatever_the_file_sizes(spark, tmp):
+    import glob
+    import os
+
+    landing, out, ckpt = f"{tmp}/landing", f"{tmp}/out", f"{tmp}/ckpt"
+    for i, n in enumerate((2000, 10, 10, 4000, 10, 500, 10, 10)):  # one file each
+        _envelopes(spark, n, start=10_000 * i).coalesce(1).write.mode("append").parquet(landing)
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{landing}/*.parquet")]
+    bound = max(sizes) + 2 * min(sizes)
+    src = S.envelope_file_source(spark, landing, bound)
+    S.start_stream(S.decode_envelopes(src), out, ckpt, available_now=True).awaitTermination()
+    rows = spark.read.parquet(out)
+    assert rows.count() == 6550
+    batches = rows.select("batch_id").distinct().count()
+    assert sum(sizes) / bound <= batches < len(sizes)
+    # no batch holds more than the bound: the two large files are in different ones
+    large = {r.batch_id for r in rows.filter("user in ('u_0', 'u_30000')").collect()}
+    assert len(large) == 2
+    # a bound below every file still takes one file a batch
+    S.start_stream(S.decode_envelopes(S.envelope_file_source(spark, landing, 1)), f"{tmp}/out1", f"{tmp}/ckpt1",
+                   available_now=True).awaitTermination()
+    assert spark.read.parquet(f"{tmp}/out1").select("batch_id").distinct().count() == len(sizes)
+
+
 def test_replayed_batch_replaces_its_folder(spark, tmp):
     out = f"{tmp}/out"
     write = S.batch_writer(out)

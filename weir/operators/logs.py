@@ -55,37 +55,38 @@ def error_counts(parsed: DataFrame) -> DataFrame:
 
 def flatten_users(docs: DataFrame) -> DataFrame:
     """One row per user of each document, nested fields flattened."""
-    u = docs.select(F.explode("users").alias("u"))
-    return u.select(
-        F.col("u.id").alias("id"),
-        F.col("u.profile.name").alias("name"),
-        F.col("u.profile.username").alias("username"),
-        F.col("u.profile.ip").alias("ip"),
-        F.col("u.profile.tz").alias("tz"),
-        F.col("u.contact.email").alias("email"),
-        F.col("u.preferences.lang").alias("lang"),
-        F.col("u.preferences.marketing_opt_in").alias("marketing_opt_in"),
-        F.col("u.preferences.theme").alias("theme"),
-        F.size("u.devices").alias("devices"),
-        F.array_join("u.tags", ",").alias("tags"),
+    return flatten_user_elements(docs.select(F.explode("users").alias("element")))
+
+
+def flatten_user_elements(elements: DataFrame) -> DataFrame:
+    """One row per user (column `element`), nested fields flattened."""
+    u = F.col("element")
+    return elements.select(
+        u["id"].alias("id"),
+        u["profile"]["name"].alias("name"),
+        u["profile"]["username"].alias("username"),
+        u["profile"]["ip"].alias("ip"),
+        u["profile"]["tz"].alias("tz"),
+        u["contact"]["email"].alias("email"),
+        u["preferences"]["lang"].alias("lang"),
+        u["preferences"]["marketing_opt_in"].alias("marketing_opt_in"),
+        u["preferences"]["theme"].alias("theme"),
+        F.size(u["devices"]).alias("devices"),
+        F.array_join(u["tags"], ",").alias("tags"),
     )
 
 
 def pack_user_documents(users: DataFrame, generated_at: str, source: str = "generator") -> DataFrame:
-    """One JSON users document per Spark partition (column `value`), so a
-    folder of documents is written and read back by many tasks. Each row is
-    rendered by `to_json` in the JVM; Python only joins one partition's
-    strings."""
+    """JSON users documents (column `value`), one per Arrow batch of users, so
+    that a document is bounded whatever a partition holds. Each row is rendered
+    by `to_json` in the JVM; Python only joins one batch's strings."""
     head = F"{{\"generated_at\": \"{generated_at}\", \"meta\": {{\"source\": \"{source}\", \"version\": 1}}, \"users\": ["
     rows = users.select(F.to_json(F.struct(*users.columns)).alias("j"))
 
     def pack(batches):
-        parts = [b["j"] for b in batches]
-        if not parts:
-            return
-        body = ",".join(pd.concat(parts, ignore_index=True).tolist())
-        if body:
-            yield pd.DataFrame({"value": [head + body + "]}"]})
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"value": [head + ",".join(batch["j"]) + "]}"]})
 
     return rows.mapInPandas(pack, T.StructType([T.StructField("value", T.StringType())]))
 

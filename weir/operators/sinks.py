@@ -12,12 +12,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# A12 / A13 ------------------------------------------------------------------
+def observed(seen: Observation) -> dict[str, int]:
+    """An observation's counts. A plan that is known to be empty runs no tasks
+    and observes nothing: its counts are none."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        return {}
+
+
 # K1 / K2 -------------------------------------------------------------------
 def write_partitioned(
     df: DataFrame,

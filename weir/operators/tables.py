@@ -17,11 +17,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from weir.operators.sinks import rows_to_insert
+from weir.operators.sinks import observed, rows_to_insert
 
 
 @dataclass(frozen=True)
@@ -86,15 +85,6 @@ def insert(df: DataFrame, table: str, spec: TableSpec) -> None:
     df.sparkSession.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {{rows}}", rows=rows)
 
 
-def observed(seen: Observation) -> dict[str, int]:
-    """An observation's counts. A plan that is known to be empty runs no tasks
-    and observes nothing: its counts are none."""
-    try:
-        return dict(seen.get)
-    except Py4JJavaError:
-        return {}
-
-
 @dataclass(frozen=True)
 class LoadCounts:
     rows: int

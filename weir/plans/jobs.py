@@ -28,10 +28,10 @@ from weir.session import apply_result_conf
 from weir.sources.files import (
     read_csv_declared,
     read_documents_strict,
-    read_json_documents,
     read_jsonl,
     read_text_lines,
 )
+from weir.sources.json_array import read_array_elements
 from weir.streaming import events as S
 from weir.streaming.file_ingest import run_file_ingest
 
@@ -110,7 +110,7 @@ def logs_job(spark: SparkSession, logs: str, users_doc: str, spread_to: int | No
     """gz access logs + users document -> (error counts, requests per user)."""
     apply_result_conf(spark)
     parsed = G.parse_access_log(read_text_lines(spark, logs, repartition=spread_to))
-    users = G.flatten_users(read_json_documents(spark, users_doc, schemas.USERS_DOCUMENT))
+    users = G.flatten_user_elements(read_array_elements(spark, users_doc, "users", schemas.USER_DOC))
     return G.error_counts(parsed), G.requests_per_user(parsed, users)
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.operators import kpi as K
 from weir.operators import layout as L
+from weir.operators.joins import broadcast_if_bounded
 from weir.operators.sinks import write_partitioned
 from weir.session import scratch_path
 from weir.sources.datasets import kpi_events, kpi_items, kpi_users
@@ -46,6 +49,15 @@ def removed_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.removed_by_filter(K.with_revenue(kpi_events(spark, sf_dir)))
 
 
+def kept_rows_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept rows written, their counts observed by that job and set
+    beside the rows read back."""
+    out = scratch_path(spark, "kept_rows")
+    counts = K.write_kept(K.with_revenue(kpi_events(spark, sf_dir)), out)
+    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("rows_read_back")).select(
+        *[F.lit(n).cast("long").alias(c) for c, n in counts.items()], "rows_read_back")
+
+
 def _enriched_columns(df: DataFrame) -> DataFrame:
     return df.select(
         "ts", "event", "user_id", "item_id", F.col("context.country").alias("country"),
@@ -90,11 +102,38 @@ def conditional_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4: exact distinct users per (date, country)."""
-    ev = K.prepared_events(kpi_events(spark, sf_dir))
-    return ev.groupBy("date", F.col("context.country").alias("country")).agg(
-        F.countDistinct("user_id").alias("unique_users")
-    )
+    """A4: exact distinct users per (date, country), as bitmaps."""
+    ev = K.prepared_events(kpi_events(spark, sf_dir)).withColumn("country", F.col("context.country"))
+    return K.distinct_from_bitmaps(K.user_bitmaps(ev, "date", "country"), "date", "country")
+
+
+def distinct_users_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: exact distinct users per country over all days, merged from stored
+    daily bitmaps without looking at an event again."""
+    ev = K.prepared_events(kpi_events(spark, sf_dir)).withColumn("country", F.col("context.country"))
+    out = scratch_path(spark, "user_bitmaps")
+    K.user_bitmaps(ev, "date", "country").write.parquet(out)
+    return K.distinct_from_bitmaps(spark.read.parquet(out), "country")
+
+
+def daily_kpi_large_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship as it runs where users exceed the broadcast bound."""
+    return K.daily_kpi(*_inputs(spark, sf_dir), users_broadcast_bytes=0)
+
+
+def bucketed_user_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and users stored in buckets by user, then joined without
+    an exchange on either side."""
+    ev, items, users = _inputs(spark, sf_dir)
+    tag = uuid.uuid4().hex
+    names = f"events_{tag}", f"users_{tag}"
+    L.store_for_joins(K.prepared_events(ev), users.drop("country"), "user_id", "id", *names,
+                      scratch_path(spark, "bucketed"), buckets=8)
+    joined = L.join_stored(spark, *names, "user_id", "id")
+    for name in names:  # the folders stay: the tables are external
+        spark.sql(f"DROP TABLE {name}")
+    items_side, _ = broadcast_if_bounded(items)
+    return _enriched_columns(joined.join(items_side, "item_id", "left"))
 
 
 def rolling_sum_7_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +141,18 @@ def rolling_sum_7_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_kpi(spark, sf_dir).select("country", "category", "date", "revenue", "revenue_7d")
 
 
+def rolling_sum_7_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 with a calendar frame: revenue of the current and six preceding days."""
+    kpi = K.with_rolling_revenue(K.daily_kpi(*_inputs(spark, sf_dir), with_window=False), days=7)
+    return kpi.select("country", "category", "date", "revenue", "revenue_7d")
+
+
+def rolling_sum_segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 in segments of ten days, each with the six rows before it."""
+    kpi = K.with_rolling_revenue(K.daily_kpi(*_inputs(spark, sf_dir), with_window=False), segment_days=10)
+    return kpi.select("country", "category", "date", "revenue", "revenue_7d")
+
+
 def kpi_sorted_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First 20 rows by (date, country, category); Spark's null
     order for ascending keys (nulls first) is written out."""
@@ -128,7 +179,7 @@ def kpi_first_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List the date partitions, read the first one back with
     its partition column kept."""
     out = _write_kpi(spark, sf_dir, one_file_per_date=False)
-    return read_partition(spark, out, "date", L.first_partition_value(spark, out, "date"))
+    return read_partition(spark, out, "date", L.first_partition_value(spark, out, "date", "date"))
 
 
 def kpi_single_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,17 +196,18 @@ def kpi_file_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kpi_layout_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The KPI (an aggregated, small result) written as date folders
-    and again as one file; rows, revenue and files of both, side by side."""
+    and again as one file; rows, revenue, files and
+    seconds of both, side by side (the clock is left out here)."""
     folders = spark.read.parquet(_write_kpi(spark, sf_dir, one_file_per_date=True))
     single = f"{scratch_path(spark, 'daily_kpi_one')}/table"
     L.coalesce_one(folders).write.parquet(single)
-    return L.compare_layouts({"date_folders": folders, "one_file": spark.read.parquet(single)}, "revenue")
+    return L.timed_layouts({"date_folders": folders, "one_file": spark.read.parquet(single)}, "revenue").drop("seconds")
 
 
 def kpi_partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The date partitions of the written table."""
     out = _write_kpi(spark, sf_dir, one_file_per_date=False)
-    return L.list_partitions(spark.read.parquet(out), "date")
+    return L.list_partitions(spark, out, "date", "date")
 
 
 def dataset_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

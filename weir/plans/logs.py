@@ -8,7 +8,8 @@ from weir import schemas
 from weir.operators import logs as G
 from weir.session import scratch_path
 from weir.sources import datasets as D
-from weir.sources.files import read_json_documents, read_text_lines
+from weir.sources.files import read_text_lines
+from weir.sources.json_array import read_array_elements
 
 # Fixed value: the generated_at stamp of the users documents.
 USERS_GENERATED_AT = "2024-01-01T00:00:00Z"
@@ -26,7 +27,7 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "users_docs")
     G.pack_user_documents(D.user_documents_rows(spark, sf_dir), USERS_GENERATED_AT) \
         .write.mode("overwrite").text(out)
-    return G.flatten_users(read_json_documents(spark, out, schemas.USERS_DOCUMENT))
+    return G.flatten_user_elements(read_array_elements(spark, out, "users", schemas.USER_DOC))
 
 
 def parse_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ QUERIES: dict[str, QueryFn] = {
     "conditional_revenue": kpi.conditional_revenue,
     "filter_non_negative": kpi.filter_non_negative,
     "removed_row_count": kpi.removed_row_count,
+    "kept_rows_write": kpi.kept_rows_write,
     "broadcast_left_enrich": kpi.broadcast_left_enrich,
     "repartition_user_join": kpi.repartition_user_join,
     "kpi_grouped": kpi.kpi_grouped,
@@ -23,6 +24,11 @@ QUERIES: dict[str, QueryFn] = {
     "conditional_count": kpi.conditional_count,
     "distinct_users": kpi.distinct_users,
     "rolling_sum_7_rows": kpi.rolling_sum_7_rows,
+    "rolling_sum_7_days": kpi.rolling_sum_7_days,
+    "rolling_sum_segmented": kpi.rolling_sum_segmented,
+    "distinct_users_merged": kpi.distinct_users_merged,
+    "daily_kpi_large_users": kpi.daily_kpi_large_users,
+    "bucketed_user_join": kpi.bucketed_user_join,
     "kpi_sorted_preview": kpi.kpi_sorted_preview,
     "kpi_partitioned_roundtrip": kpi.kpi_partitioned_roundtrip,
     "kpi_first_partition": kpi.kpi_first_partition,
@@ -80,6 +86,7 @@ ORACLE: dict[str, str] = {
     "conditional_revenue": oracle.CONDITIONAL_REVENUE,
     "filter_non_negative": oracle.FILTER_NON_NEGATIVE,
     "removed_row_count": oracle.REMOVED_ROW_COUNT,
+    "kept_rows_write": oracle.KEPT_ROWS_WRITE,
     "partition_report": oracle.PARTITION_REPORT,
     "broadcast_left_enrich": oracle.BROADCAST_LEFT_ENRICH,
     "repartition_user_join": oracle.BROADCAST_LEFT_ENRICH,
@@ -88,6 +95,11 @@ ORACLE: dict[str, str] = {
     "conditional_count": oracle.CONDITIONAL_COUNT,
     "distinct_users": oracle.DISTINCT_USERS,
     "rolling_sum_7_rows": oracle.ROLLING_SUM_7_ROWS,
+    "rolling_sum_7_days": oracle.ROLLING_SUM_7_DAYS,
+    "rolling_sum_segmented": oracle.ROLLING_SUM_7_ROWS,
+    "distinct_users_merged": oracle.DISTINCT_USERS_MERGED,
+    "daily_kpi_large_users": oracle.DAILY_KPI,
+    "bucketed_user_join": oracle.BROADCAST_LEFT_ENRICH,
     "kpi_sorted_preview": oracle.KPI_SORTED_PREVIEW,
     "kpi_partitioned_roundtrip": oracle.DAILY_KPI,
     "kpi_first_partition": oracle.KPI_FIRST_PARTITION,

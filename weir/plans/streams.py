@@ -15,9 +15,8 @@ from weir.sources import datasets as D
 from weir.streaming import events as S
 from weir.streaming.file_ingest import run_file_ingest
 
-# Rate bound of the fixture stream: envelope files per trigger (the files
-# are the data's own partitions, so their number grows with the input).
-ENVELOPE_FILES_PER_TRIGGER = 2
+# Rate bound of the stream: bytes of envelope files per trigger.
+ENVELOPE_BYTES_PER_TRIGGER = 64 << 20
 
 
 def decode_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +30,7 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream")
     landing, out, ckpt = f"{root}/landing", f"{root}/out", f"{root}/checkpoint"
     D.stream_envelopes(spark, sf_dir).write.parquet(landing)
-    src = S.envelope_file_source(spark, landing, max_files_per_trigger=ENVELOPE_FILES_PER_TRIGGER)
+    src = S.envelope_file_source(spark, landing, ENVELOPE_BYTES_PER_TRIGGER)
     q = S.start_stream(S.decode_envelopes(src), out, ckpt, available_now=True)
     q.awaitTermination()
     return S.with_event_time(spark.read.parquet(out).drop("batch_id", "ingest_ts"))

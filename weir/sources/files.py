@@ -102,7 +102,8 @@ def read_text_lines(spark: SparkSession, path: str, repartition: int | None = No
 # S11 -----------------------------------------------------------------------
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Whole-file JSON documents (multiLine). One task per file: a folder
-    of many documents spreads, a single huge document does not."""
+    of many documents spreads, a single huge document does not; for that see
+    `weir.sources.json_array`."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 

@@ -11,9 +11,10 @@ With the folder-per-export layout (`partitioned_by_file`), the manifest
 records exports, not part files: keep `max_files_per_trigger` unset (all new
 files in one trigger) so that an export is never split across batches.
 
-With `archive_dir`, processed files are moved there by the source
-(`cleanSource=archive`); the move lags one batch, so the manifest, not the
-folder, is the record of what was loaded.
+With `archive_dir`, the files a batch has loaded are moved there once target
+and manifest hold them; a file that is skipped (its name was in the manifest) or
+rejected stays, and a move that fails is logged and changes nothing else. The
+manifest, not the folder, is the record of what was loaded.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ from weir.operators.ingest import ingest_step
 from weir.operators.sinks import MANIFEST_SCHEMA, create_table_if_absent
 from weir.schemas import FUEL_EXPORT, FUEL_TARGET
 from weir.session import apply_result_conf
+from weir.streaming.archive import move_files
 
 
 def export_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None,
-                  archive_dir: str | None = None, partitioned_by_file: bool = False,
-                  visited_at_ns: bool = True) -> DataFrame:
+                  partitioned_by_file: bool = False, visited_at_ns: bool = True) -> DataFrame:
     """Export rows with `source_file`: the file's basename, or - when the
     landing is laid out as `source_file=<name>/` folders - that name.
 
@@ -49,8 +50,6 @@ def export_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    if archive_dir:
-        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = r.parquet(landing)
     if visited_at_ns:
         df = df.withColumn("visited_at", F.expr("timestamp_micros(visited_at div 1000)"))
@@ -59,7 +58,8 @@ def export_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
     return df
 
 
-def load_batch(spark: SparkSession, target_path: str, manifest_path: str):
+def load_batch(spark: SparkSession, target_path: str, manifest_path: str, landing: str | None = None,
+               archive_dir: str | None = None, partitioned_by_file: bool = False):
     def run(batch: DataFrame, batch_id: int) -> None:
         # the batch is a scan of stored files: each pass reads only its columns, so nothing is cached
         target = spark.read.schema(FUEL_TARGET).parquet(target_path)
@@ -67,6 +67,10 @@ def load_batch(spark: SparkSession, target_path: str, manifest_path: str):
         step = ingest_step(batch, target, manifest)
         step.inserts.select(*FUEL_TARGET.fieldNames()).write.mode("append").parquet(target_path)
         step.manifest_new.write.mode("append").parquet(manifest_path)
+        if archive_dir:
+            folder = "source_file=" if partitioned_by_file else ""
+            loaded = (folder + r["source_file"] for r in step.attempted.toLocalIterator())
+            move_files(spark, loaded, landing, archive_dir)
 
     return run
 
@@ -78,11 +82,9 @@ def run_file_ingest(spark: SparkSession, landing: str, target_path: str, manifes
     """Start (and, with `available_now`, finish) the ingest stream."""
     create_table_if_absent(spark, target_path, FUEL_TARGET)
     create_table_if_absent(spark, manifest_path, MANIFEST_SCHEMA)
-    src = export_stream(spark, landing, max_files_per_trigger, archive_dir, partitioned_by_file,
-                        visited_at_ns)
-    w = src.writeStream.foreachBatch(load_batch(spark, target_path, manifest_path)).option(
-        "checkpointLocation", checkpoint
-    )
+    src = export_stream(spark, landing, max_files_per_trigger, partitioned_by_file, visited_at_ns)
+    load = load_batch(spark, target_path, manifest_path, landing, archive_dir, partitioned_by_file)
+    w = src.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     q = w.start()
