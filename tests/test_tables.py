@@ -105,3 +105,13 @@ def test_key_bounds_and_bloom_filters_skip_what_cannot_match(spark, tmp, table):
     assert (bounds.rows, bounds.low, bounds.high) == (2, "k3010", "k3390")
     assert 0 < _rows_read(whole.filter(F.col("k").between(bounds.low, bounds.high))) <= 200  # one load's files of five
     assert _rows_read(whole.filter(F.col("k").isin(["k3011", "k3013"]))) < 200  # within the range, in few buckets or none
+
+
+def test_observing_leaves_the_session_fit_for_learners(spark, table):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    T.insert_checked(_df(spark, [("a", 1), ("b", 2)]), table, SPEC, "unused")
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.range(40).selectExpr("cast(id as double) x", "cast(id % 2 as double) label"))
+    RandomForestClassifier(numTrees=2, seed=1).fit(rows)

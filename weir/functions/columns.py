@@ -53,10 +53,6 @@ def name_hash(name) -> Column:
 
 
 # C9 -----------------------------------------------------------------------
-def millis_to_timestamp(ms) -> Column:
-    return F.timestamp_millis(col_of(ms))
-
-
 def ntz_to_epoch_millis(ts) -> Column:
     """TIMESTAMP_NTZ (UTC wall time; the session zone is pinned to UTC by
     `apply_result_conf`) -> epoch millis."""

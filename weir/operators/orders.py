@@ -66,11 +66,15 @@ def order_totals_nested(docs: DataFrame) -> DataFrame:
 
 
 def order_documents(headers: DataFrame, lines: DataFrame) -> DataFrame:
-    """Headers with their `lines` array (D12), in a fixed order. A document
-    is one record by its format, so all lines of an order meet in one row."""
+    """Headers with their `lines` array (D12), in a fixed order, and the totals
+    of the same lines. A document is one record by its format, so all lines of an
+    order meet in one row."""
     fields = ("sku", "name", "qty", "unit_price", "amount", "usage_month")
-    nested = lines.groupBy("order_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("lines"))
-    return headers.join(nested, "order_id", "left").withColumn("lines", F.coalesce("lines", F.array()))
+    nested = lines.groupBy("order_id").agg(
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("lines"), F.sum("amount").cast(MONEY).alias("subtotal"))
+    docs = headers.join(nested, "order_id", "left").withColumns({
+        "lines": F.coalesce("lines", F.array()), "subtotal": F.coalesce("subtotal", F.lit(0).cast(MONEY))})
+    return with_tax_and_total(docs)
 
 
 def validate_orders(headers: DataFrame, lines: DataFrame) -> DataFrame:

@@ -9,24 +9,43 @@ already present in the target are never replaced.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 # A12 / A13 ------------------------------------------------------------------
-def observed(seen: Observation) -> dict[str, int]:
-    """An observation's counts. A plan that is known to be empty runs no tasks
-    and observes nothing: its counts are none."""
-    try:
-        return dict(seen.get)
-    except Py4JJavaError:
+def observed(inserted: DataFrame, name: str) -> dict[str, int]:
+    """What an `INSERT` statement has observed (`DataFrame.observe` by name),
+    given the statement's result; a plan known to be empty observes nothing.
+
+    The counts are read from the statement's executed plan. An `Observation`
+    object would put its manager into the session, and tasks that carry the
+    session (those of Spark's tree learners do) cannot be sent from then on."""
+    spark = inserted.sparkSession
+    plan = inserted._jdf.queryExecution().commandExecuted().commandPhysicalPlan()
+    metrics = getattr(spark._jvm.org.apache.spark.sql.execution, "CollectMetricsExec$")
+    found = getattr(metrics, "MODULE$").collect(plan).get(name)
+    if found.isEmpty():
         return {}
+    row = found.get()
+    return {column: row.get(i) for i, column in enumerate(row.schema().fieldNames())}
+
+
+def write_observed(df: DataFrame, path: str, name: str) -> dict[str, int]:
+    """Appends to a Parquet folder; returns what the job observed under `name`."""
+    spark, table = df.sparkSession, f"written_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
+    try:
+        return observed(spark.sql(f"INSERT INTO {table} SELECT * FROM {{df}}", df=df), name)
+    finally:
+        spark.sql(f"DROP TABLE {table}")  # the folder stays: the table is external
 
 
 # K1 / K2 -------------------------------------------------------------------
@@ -150,7 +169,7 @@ def rows_to_insert(incoming: DataFrame, target: DataFrame, key: str, order_by: S
     if buckets:
         # the load alone moves, reduced to its first rows; observing them keeps the optimizer from
         # moving the join below the grouping, where every row of a hot key would go to one bucket
-        dealt = firsts.repartition(buckets, key).observe(Observation(), F.count(F.lit(1)).alias("first_rows"))
+        dealt = firsts.repartition(buckets, key).observe("first_rows", F.count(F.lit(1)).alias("rows"))
         return dealt.join(known.hint("merge"), on=key, how="left_anti")
     return firsts.join(known, on=key, how="left_anti")
 

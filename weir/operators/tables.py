@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.operators.sinks import observed, rows_to_insert
@@ -73,8 +73,9 @@ def broken_rules(df: DataFrame, spec: TableSpec) -> Column:
     return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
 
 
-def insert(df: DataFrame, table: str, spec: TableSpec) -> None:
-    """Appends rows; columns that `df` lacks take the table's defaults. A row that
+def insert(df: DataFrame, table: str, spec: TableSpec) -> DataFrame:
+    """Appends rows and returns the statement's result, which holds what `df`
+    observed; columns that `df` lacks take the table's defaults. A row that
     breaks NOT NULL or a length fails the load before anything of it is seen."""
     given = spec.given(df)
     absent = [F.col(c.name).isNull() for c in spec.columns if c.required and c.name in given]
@@ -82,7 +83,7 @@ def insert(df: DataFrame, table: str, spec: TableSpec) -> None:
         df = df.filter(F.when(missing, F.raise_error(F.lit(f"{table}: null in a NOT NULL column"))).isNull())
     rows = df.select(*given).repartition(spec.buckets, spec.key)
     names = ", ".join(f"`{c}`" for c in given)
-    df.sparkSession.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {{rows}}", rows=rows)
+    return df.sparkSession.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {{rows}}", rows=rows)
 
 
 @dataclass(frozen=True)
@@ -96,10 +97,8 @@ def insert_checked(df: DataFrame, table: str, spec: TableSpec, quarantine: str)
     names of their rules, the others into the table. Both counts are observed by
     the inserting job itself; without a refused row there is no second job."""
     checked = df.withColumn("broken_rules", broken_rules(df, spec))
-    seen = Observation()
-    counted = checked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.size("broken_rules") > 0).alias("refused"))
-    insert(counted.filter(F.size("broken_rules") == 0).drop("broken_rules"), table, spec)
-    found = observed(seen)
+    counted = checked.observe("load", F.count(F.lit(1)).alias("rows"), F.count_if(F.size("broken_rules") > 0).alias("refused"))
+    found = observed(insert(counted.filter(F.size("broken_rules") == 0).drop("broken_rules"), table, spec), "load")
     counts = LoadCounts(found.get("rows", 0), found.get("refused", 0))
     if counts.refused:
         checked.filter(F.size("broken_rules") > 0).withColumn("refused_at", F.current_timestamp()) \
@@ -113,6 +112,5 @@ def load_absent(incoming: DataFrame, table: str, spec: TableSpec, order_by: Sequ
     `order_by`; the number of rows inserted is observed by the insert."""
     target = incoming.sparkSession.table(table)
     new = rows_to_insert(incoming, target, spec.key, order_by, broadcast_max_bytes=broadcast_max_bytes, buckets=spec.buckets)
-    seen = Observation()
-    insert(new.observe(seen, F.count(F.lit(1)).alias("inserted")), table, spec)
-    return observed(seen).get("inserted", 0)
+    done = insert(new.observe("load", F.count(F.lit(1)).alias("inserted")), table, spec)
+    return observed(done, "load").get("inserted", 0)

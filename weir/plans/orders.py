@@ -26,28 +26,32 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.order_totals(_lines(spark, sf_dir), D.order_states(spark, sf_dir))
 
 
-def _documents(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """Order documents with their lines as JSON, read back strictly
-    (a malformed document or a missing field fails)."""
-    docs = O.with_nested_totals(O.order_documents(D.order_headers(spark, sf_dir), _lines(spark, sf_dir)))
+def _documents(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Order documents with their lines, as JSON."""
+    docs = O.order_documents(D.order_headers(spark, sf_dir), _lines(spark, sf_dir))
     docs.select(
         "order_id", "account_id", "company", "contact", "status", "currency", "lines",
         *[F.col(c).cast("double").alias(c) for c in ("subtotal", "tax", "total")],
         "created_at", "source",
     ).write.mode("overwrite").json(folder)
-    return read_documents_strict(spark, folder, schemas.ORDER, (*schemas.ORDER_CSV_FIELDS, "lines"))
 
 
 def order_totals_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The totals computed anew from the documents' nested lines."""
-    return O.order_totals_nested(_documents(spark, sf_dir, f"{scratch_path(spark, 'orders')}/docs"))
+    """Documents read back strictly (a malformed one or a missing
+    field fails); the totals computed anew from their nested lines."""
+    folder = f"{scratch_path(spark, 'orders')}/docs"
+    _documents(spark, sf_dir, folder)
+    read = read_documents_strict(spark, folder, schemas.ORDER, (*schemas.ORDER_CSV_FIELDS, "lines"))
+    return O.order_totals_nested(read)
 
 
 def order_fields_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order documents as JSON -> strict read -> the 9 CSV
-    fields -> CSV in order_id order (range-partitioned parts) -> loaded back."""
+    """Order documents as JSON -> strict read of the 9 CSV fields
+    (of the lines only that they are there) -> CSV in order_id order
+    (range-partitioned parts) -> loaded back."""
     root = scratch_path(spark, "orders")
-    read = _documents(spark, sf_dir, f"{root}/docs")
+    _documents(spark, sf_dir, f"{root}/docs")
+    read = read_documents_strict(spark, f"{root}/docs", schemas.ORDER_HEAD, (*schemas.ORDER_CSV_FIELDS, "lines"))
     write_ordered_csv(read.select(*schemas.ORDER_CSV_FIELDS), f"{root}/csv", ["order_id"])
     return read_csv_declared(spark, f"{root}/csv", ORDER_CSV_SCHEMA)
 

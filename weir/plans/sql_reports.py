@@ -8,6 +8,8 @@ from 1997-01-01 on plays the coffee.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,12 +134,14 @@ def global_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_group_avg_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A temp view queried by SQL, grouped, ordered by alias."""
-    D.sample_people(spark, sf_dir).createOrReplaceTempView("people")
+    """A temp view queried by SQL, grouped, ordered by alias. The
+    view has a name of its own, so it replaces none of the caller's."""
+    view = f"people_{uuid.uuid4().hex}"
+    D.sample_people(spark, sf_dir).createTempView(view)
     return spark.sql(
-        """
+        f"""
         SELECT city, COUNT(*) AS count, AVG(age) AS avg_age
-        FROM people
+        FROM {view}
         GROUP BY city
         ORDER BY avg_age DESC
         """

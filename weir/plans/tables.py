@@ -64,7 +64,7 @@ def quarantine_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     the observed counts of the load beside them."""
     table, root = f"purchases_{uuid.uuid4().hex}", scratch_path(spark, "purchases-table")
     T.declare(spark, table, PURCHASES_TABLE, f"{root}/rows")
-    incoming = D.lab_purchases(spark, sf_dir).drop("qty").withColumn("purchase_id", F.col("purchase_id").cast("long"))
+    incoming = D.lab_purchases(spark, sf_dir).drop("qty")
     counts = T.insert_checked(incoming, table, PURCHASES_TABLE, f"{root}/quarantine")
     spark.sql(f"DROP TABLE {table}")
     loaded = spark.read.parquet(f"{root}/rows")

@@ -17,22 +17,22 @@ def _s(*fields) -> T.StructType:
 
 
 # KPI inputs
-USERS = _s(("id", I), ("signup_date", S), ("plan", S), ("country", S), ("marketing_opt_in", B))
-ITEMS = _s(("item_id", I), ("category", S), ("tags", T.ArrayType(S)))
+USERS = _s(("id", L), ("signup_date", S), ("plan", S), ("country", S), ("marketing_opt_in", B))
+ITEMS = _s(("item_id", L), ("category", S), ("tags", T.ArrayType(S)))
 EVENT_CONTEXT = _s(("country", S), ("device", S), ("locale", S), ("session_id", S))
 EVENT_PROPS = _s(("price", D), ("payment_method", S), ("dwell_ms", I))
 EVENT_EXP = _s(("ab_group", S))
 EVENTS = _s(
-    ("ts", S), ("event", S), ("user_id", I), ("item_id", I),
+    ("ts", S), ("event", S), ("user_id", L), ("item_id", L),
     ("context", EVENT_CONTEXT), ("props", EVENT_PROPS), ("exp", EVENT_EXP),
 )
 
 # Lab tables (TIMESTAMP without zone)
 SESSIONS = _s(("session_code", S), ("session_name", S))
-PEOPLE = _s(("person_id", I), ("full_name", S), ("team", S), ("badge_uid", S))
+PEOPLE = _s(("person_id", L), ("full_name", S), ("team", S), ("badge_uid", S))
 SWIPES = _s(("badge_uid", S), ("session_code", S), ("ts", T.TimestampNTZType()))
 PURCHASES = _s(
-    ("purchase_id", I), ("badge_uid", S), ("location", S), ("product", S), ("qty", I),
+    ("purchase_id", L), ("badge_uid", S), ("location", S), ("product", S), ("qty", I),
     ("ts", T.TimestampNTZType()),
 )
 
@@ -87,8 +87,11 @@ ORDER_CSV_FIELDS = (
     "created_at",
 )
 
+# the CSV fields of a document, its lines as the text they are (not parsed)
+ORDER_HEAD = T.StructType([*[ORDER[c] for c in ORDER_CSV_FIELDS], T.StructField("lines", S)])
+
 # Sample people CSV (inferred in the reference)
-SAMPLE_PEOPLE = _s(("id", I), ("name", S), ("age", I), ("city", S))
+SAMPLE_PEOPLE = _s(("id", L), ("name", S), ("age", I), ("city", S))
 
 # Users document
 USER_PROFILE = _s(("name", S), ("username", S), ("ip", S), ("tz", S), ("locale", S))

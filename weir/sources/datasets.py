@@ -44,8 +44,8 @@ def kpi_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         _iso_ts(F.col("ts")).alias("ts"),
         F.col("event_type").alias("event"),
-        F.col("user_id").cast("int").alias("user_id"),
-        event_item(F.col("event_id"), F.get_json_object("props", "$.k").cast("int")).alias("item_id"),
+        F.col("user_id").cast("long").alias("user_id"),
+        event_item(F.col("event_id"), F.get_json_object("props", "$.k").cast("long")).alias("item_id"),
         F.struct(
             F.concat(F.lit("N"), (F.col("user_id") % COUNTRY_BUCKETS).cast("string")).alias("country"),
             F.element_at(F.array(F.lit("web"), F.lit("ios"), F.lit("android")),
@@ -67,7 +67,7 @@ def kpi_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items: item_id int, category string, tags array<string>."""
     p = read_table(spark, sf_dir, "part")
     return p.select(
-        F.col("p_partkey").cast("int").alias("item_id"),
+        F.col("p_partkey").cast("long").alias("item_id"),
         F.col("p_type").alias("category"),
         F.array(F.col("p_brand")).alias("tags"),
     )
@@ -77,7 +77,7 @@ def kpi_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users: id int, signup_date, plan, country, marketing_opt_in."""
     c = read_table(spark, sf_dir, "customer")
     return c.select(
-        F.col("c_custkey").cast("int").alias("id"),
+        F.col("c_custkey").cast("long").alias("id"),
         F.lit(None).cast("string").alias("signup_date"),
         F.col("c_mktsegment").alias("plan"),
         F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("country"),
@@ -95,7 +95,7 @@ def lab_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """people: person_id, full_name, team, badge_uid (from customer)."""
     c = read_table(spark, sf_dir, "customer")
     return c.select(
-        F.col("c_custkey").cast("int").alias("person_id"),
+        F.col("c_custkey").cast("long").alias("person_id"),
         F.col("c_name").alias("full_name"),
         F.col("c_mktsegment").alias("team"),
         _badge(F.col("c_custkey")).alias("badge_uid"),
@@ -123,7 +123,7 @@ def lab_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """purchases: purchase_id, badge_uid, location, product, qty, ts."""
     o = read_table(spark, sf_dir, "orders")
     return o.select(
-        F.col("o_orderkey").cast("int").alias("purchase_id"),
+        F.col("o_orderkey").cast("long").alias("purchase_id"),
         _badge(F.col("o_custkey")).alias("badge_uid"),
         F.lit("cafeteria").alias("location"),
         F.col("o_orderpriority").alias("product"),
@@ -138,7 +138,7 @@ def sample_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, name, age, city (from customer: age = 20 + nation key)."""
     c = read_table(spark, sf_dir, "customer")
     return c.select(
-        F.col("c_custkey").cast("int").alias("id"),
+        F.col("c_custkey").cast("long").alias("id"),
         F.col("c_name").alias("name"),
         (F.col("c_nationkey") + 20).cast("int").alias("age"),
         F.col("c_mktsegment").alias("city"),
@@ -279,13 +279,13 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(
             F.col("c_name").alias("name"),
             F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
-            F.concat(F.lit("+1-555-"), F.lpad(F.col("o_custkey").cast("string"), 7, "0")).alias("phone"),
+            F.concat(F.lit("+1-555-"), F.format_string("%07d", F.col("o_custkey"))).alias("phone"),
             F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("country"),
         ).alias("contact"),
         _order_status().alias("status"),
         order_currency(F.col("o_orderkey")).alias("currency"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
-        F.lit("mock").alias("source"),
+        F.lit("orders").alias("source"),
     )
 
 
@@ -338,7 +338,7 @@ def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         method, F.lit(" /api/v1/items/"), F.get_json_object("props", "$.k"), query, F.lit(" HTTP/1.1\" "),
         status.cast("string"), F.lit(" "), F.floor(F.col("value") * 100).cast("string"),
         F.lit(" \"-\" \"agent-"), (F.col("user_id") % 7).cast("string"), F.lit("\" level="), level,
-        F.lit(" request_id="), F.lpad(F.lower(F.hex(F.col("event_id"))), 12, "0"),
+        F.lit(" request_id="), F.format_string("%012x", F.col("event_id")),
         F.coalesce(F.concat(F.lit(" error_type=ERROR:"), err_type), F.lit("")),
     )
     return e.select(line.alias("value"))
@@ -361,7 +361,7 @@ def user_documents_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("profile"),
         F.struct(
             F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
-            F.concat(F.lit("+1-555-"), F.lpad(k.cast("string"), 7, "0")).alias("phone"),
+            F.concat(F.lit("+1-555-"), F.format_string("%07d", k)).alias("phone"),
         ).alias("contact"),
         F.struct(
             F.element_at(langs, (F.col("c_nationkey") % len(USER_LANGUAGES) + 1).cast("int")).alias("lang"),
