@@ -116,3 +116,15 @@ def test_stored_join_moves_nothing_and_splits_a_hot_user(spark, tmp):
     finally:
         spark.sql("DROP TABLE weir_f")
         spark.sql("DROP TABLE weir_d")
+
+
+def test_splittable_partitions_split_a_hot_key(spark):
+    hot = spark.range(200_000).select(F.when(F.col("id") % 10 < 9, 1).otherwise(F.col("id")).alias("u"), F.sha2(
+        F.col("id").cast("string"), 256).alias("body"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        tasks = hash_partition(hot, "u", splittable=True).filter("u = 1").groupBy(
+            F.spark_partition_id().alias("p")).agg(F.max("body")).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert tasks > 1

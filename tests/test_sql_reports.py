@@ -58,7 +58,7 @@ def test_golden_thief_dataframe_form(spark):
     from pyspark.sql import functions as F
 
     nt = lambda v: F.lit(v).cast("timestamp_ntz")
-    s = P.suspects_without_alibi(people, swipes, "S3", nt(LAB["start"]), nt(LAB["end"]), nt(LAB["late"]))
+    s = P.absent_or_late(people, swipes, "S3", nt(LAB["start"]), nt(LAB["end"]), nt(LAB["late"]))
     got = {(r.badge_uid, r.arrival_time) for r in s.collect()}
     # absent people keep a null arrival (conditions are in ON, not WHERE)
     assert got == {("B-2", _ts("2025-09-01 13:13:32")), ("B-3", None), ("B-4", None)}

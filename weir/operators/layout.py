@@ -16,10 +16,14 @@ def _n_partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def hash_partition(df: DataFrame, *cols: str | Column, n: int | None = None) -> DataFrame:
+def hash_partition(df: DataFrame, *cols: str | Column, n: int | None = None, splittable: bool = False) -> DataFrame:
     """Hash repartition by keys (nested fields allowed). A later
     join or aggregate on a superset of these keys reuses the partitioning
-    and adds no exchange of its own."""
+    and adds no exchange of its own. `splittable` asks for even partitions
+    instead: AQE then splits the rows of a hot key over several tasks, and what
+    follows must not rely on a key being in one place."""
+    if splittable:
+        return df.hint("rebalance", *cols)
     return df.repartition(_n_partitions(df, n), *cols)
 
 

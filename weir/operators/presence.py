@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from weir.functions.columns import name_hash
 
 
-def suspects_without_alibi(people: DataFrame, swipes: DataFrame, session: str,
+def absent_or_late(people: DataFrame, swipes: DataFrame, session: str,
                            start, end, late_after) -> DataFrame:
     in_window = swipes.filter(
         (F.col("session_code") == session) & F.col("ts").between(start, end)

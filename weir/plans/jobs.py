@@ -89,13 +89,13 @@ def ingest_job(spark: SparkSession, landing: str, target: str, manifest: str, ch
 
 def stream_job(spark: SparkSession, out: str, checkpoint: str, topic: str = STREAM_TOPIC,
                brokers: str | None = None, builtin_avro: bool = False,
-               max_records: int = S.MAX_RECORDS_PER_TRIGGER):
+               max_records: int = S.MAX_RECORDS_PER_TRIGGER, raw: DataFrame | None = None) -> None:
     """Kafka topic of Avro events -> Parquet per micro-batch; runs until
-    stopped."""
+    stopped (T9). `raw` takes envelopes from another stream than the topic."""
     apply_result_conf(spark)
-    raw = S.kafka_source(spark, topic, brokers, records=max_records)
-    q = S.start_stream(S.decode_envelopes(raw, builtin_avro), out, checkpoint)
-    q.awaitTermination()
+    if raw is None:
+        raw = S.kafka_source(spark, topic, brokers, records=max_records)
+    S.start_stream(S.decode_envelopes(raw, builtin_avro), out, checkpoint).awaitTermination()
 
 
 def orders_job(spark: SparkSession, docs: str, out: str) -> DataFrame:

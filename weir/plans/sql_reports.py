@@ -32,7 +32,7 @@ def _ntz(v: str):
 
 def outer_join_range_on(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suspects without an alibi."""
-    return P.suspects_without_alibi(
+    return P.absent_or_late(
         D.lab_people(spark, sf_dir), D.lab_swipes(spark, sf_dir), SESSION,
         _ntz(WINDOW_START), _ntz(WINDOW_END), _ntz(LATE_AFTER),
     )
