@@ -93,6 +93,60 @@ def test_plan_covers_the_histogram(counts):
     assert sum(n for _, n in plan) <= sum(n for _, n in packing.best_fit(dict(counts), 10))
 
 
+def _fewest(pieces, capacity):
+    """The least number of sequences, by search over all packings."""
+    best = [len(pieces)]
+
+    def place(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(pieces):
+            best[0] = len(bins)
+            return
+        for space in sorted(set(bins)):
+            if space >= pieces[i]:
+                rest = list(bins)
+                rest.remove(space)
+                place(i + 1, [*rest, space - pieces[i]])
+        place(i + 1, [*bins, capacity - pieces[i]])
+    place(0, [])
+    return best[0]
+
+
+def test_plan_against_the_optimum_of_small_histograms():
+    rng = np.random.default_rng(11)
+    beyond = 0
+    for _ in range(120):
+        capacity = int(rng.integers(8, 25))
+        pieces = sorted(rng.integers(1, capacity, size=rng.integers(1, 11)).tolist(), reverse=True)
+        counts, fewest = dict(Counter(pieces)), _fewest(pieces, capacity)
+        found = packing.sequences(packing.pack_plan(dict(counts), capacity))
+        _, bound = packing.solve(counts, capacity, len(pieces))
+        assert bound <= fewest + 1e-9 and fewest <= found <= fewest + 1
+        beyond += found > fewest
+    assert beyond <= 6
+
+
+def test_the_program_places_most_pieces_and_nears_its_bound():
+    rng = np.random.default_rng(12)
+    many = Counter(np.clip(rng.lognormal(6.2, 0.7, 20_000), 20, 2047).astype(int).tolist())
+    alone = packing.sequences(packing.best_fit(dict(many), 2048))
+    plan, left, bound = packing.by_program(dict(many), 2048, 0.1, alone)
+    assert sum(left.values()) <= 0.1 * sum(many.values())
+    whole = packing.sequences(packing.pack_plan(dict(many), 2048))
+    assert bound <= whole <= 1.005 * bound + 1 and whole <= alone
+    tight = Counter(rng.integers(500, 1100, 20_000).tolist())  # best fit wastes space here
+    assert packing.sequences(packing.pack_plan(dict(tight), 2048)) < 0.98 * packing.sequences(packing.best_fit(dict(tight), 2048))
+
+
+def test_long_texts_are_cut_at_the_production_capacity(spark):
+    text = "the house by the river stands under every bright morning " * 2000
+    got = packing.pack(spark.createDataFrame([(1, text), (2, "a"), (3, None)], "doc_id long, text string"), PATH).collect()
+    n = len(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids) + 1
+    mine = sorted((r.piece, r.start, r.length) for r in got if r.doc_id == 1)
+    assert mine == [(i, 2048 * i, min(2048, n - 2048 * i)) for i in range(math.ceil(n / 2048))] and n > 3 * 2048
+
+
 def test_language_held_out_accuracy(spark):
     df = spark.read.parquet(SF_SMALL.replace("0.001", "0.01") + "/documents.parquet")
     out = langid.identify(df).join(df.select("doc_id", "lang"), "doc_id").collect()

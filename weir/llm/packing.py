@@ -2,16 +2,22 @@
 
 Pieces are counted by length (a histogram of at most `capacity` rows, the only
 thing that reaches the driver). The program "as few configurations as cover
-every length's count" is solved by multiplicative weights: a length's price
-grows while it is under-covered, and each round's configuration is the best one
-at the current prices, found by a knapsack dynamic program over the capacity.
-Whole parts of the fractional solution are taken, the program is solved again
-for what is left, and the last few pieces are placed best fit. Pieces then find
-their sequence by their rank within their length, counted in two steps so that a
-length that holds a third of all pieces is not ranked by one task.
+every length's count" is solved by multiplicative weights: every length has a
+price; a round fills sequences with configurations whose price is near the
+greatest, found by one knapsack dynamic program over the capacity for all lengths
+at once, and then multiplies each length's price by how far the round covered it:
+down if covered twice, up if not. Prices over the greatest configuration price are
+feasible for the dual program, so every round also bounds the optimum from below.
+The fractional solution is rounded to whole configurations, fullest first, the
+program is solved again for what is left, and the last few pieces are placed best
+fit. Pieces then find their sequence by their rank within their length, counted in
+two steps so that a length that holds a third of all pieces is not ranked by one
+task.
 
 Defined cases: a null text is empty and packs as the end id alone; a null doc_id
-is kept; repeated rows are packed each; an empty table gives an empty result.
+is kept; repeated rows are packed each; a text of any length is cut into pieces;
+further columns of any name stay out of the plan; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -31,8 +37,9 @@ from weir.session import scratch_path
 Plan = list[tuple[tuple[int, ...], int]]  # (lengths in one sequence, how many such sequences)
 
 
-def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration (size -> copies) of the greatest total value."""
+def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The greatest total value that fits each space, and the last piece taken
+    for it (-1: none, the space is one less)."""
     best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
     fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
@@ -43,44 +50,58 @@ def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[int, int
             i = int(gain.argmax())
             if gain[i] > best[c]:
                 best[c], pick[c] = gain[i], i
-    out: dict[int, int] = {}
-    c = capacity
+    return best, pick
+
+
+def configuration(first: int, pick: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[int, int]:
+    """The best configuration that holds length `first`: indices of lengths -> copies."""
+    out, c = {first: 1}, capacity - int(sizes[first])
     while c > 0:
-        if pick[c] < 0:
+        i = int(pick[c])
+        if i < 0:
             c -= 1
             continue
-        size = int(sizes[pick[c]])
-        out[size] = out.get(size, 0) + 1
-        c -= size
+        out[i] = out.get(i, 0) + 1
+        c -= int(sizes[i])
     return out
 
 
-def solve(counts: dict[int, int], capacity: int, rounds: int = 300) -> list[tuple[tuple, float]]:
-    """A fractional packing towards the covering program's optimum, by
-    multiplicative weights: configurations and how often each is used. A length
-    is never used beyond its count, so whole parts can be taken as they are."""
+def solve(counts: dict[int, int], capacity: int, budget: int, rounds: int = 60, rate: float = 0.3, near: float = 0.1,
+          width: float = 2.0) -> tuple[dict[tuple, float], float]:
+    """Configurations of the fractional solution with how often each is used (the
+    rounds' sum, scaled to cover the least covered length once; their mean, where
+    one is not covered at all), and a lower bound of the program's optimum. A round uses
+    at most `budget` sequences, configurations within `near` of the greatest price,
+    and covers no length more than `width` times."""
     sizes = np.array(sorted(counts), np.int64)
     need = np.array([counts[int(s)] for s in sizes], float)
-    index = {int(s): i for i, s in enumerate(sizes)}
-    left, price_of = need.copy(), sizes / capacity
+    weight = sizes / capacity
     used: dict[tuple, float] = {}
-    for _ in range(rounds):
-        open_ = left >= 0.5
-        if not open_.any():
-            break
-        config = price(price_of[open_], sizes[open_], capacity)
-        config = {s: min(a, max(1, int(left[index[s]]))) for s, a in config.items()}
-        at = np.array([index[s] for s in config])
-        copies = np.array([config[s] for s in config], float)
-        step = float((left[at] / copies).min())
-        step = max(0.5, step / 2) if step > 1 else step  # half of what its scarcest length has left
-        key = tuple(sorted(config.items(), reverse=True))
-        used[key] = used.get(key, 0.0) + step
-        left[at] -= copies * step
-        # lengths that fall behind the average coverage grow dearer, against their plain size
-        done = 1 - left / need
-        price_of = sizes / capacity * np.exp(0.15 * np.clip(done.mean() - done, -1, 1))
-    return list(used.items())
+    bound, cover = 0.0, np.zeros(len(sizes))
+    for t in range(1, rounds + 1):
+        best, pick = knapsack(weight, sizes, capacity)
+        bound = max(bound, float(need @ weight) / best[capacity])
+        value = weight + best[capacity - sizes]
+        covered, spent = np.zeros(len(sizes)), 0.0
+        for i in np.argsort(-value, kind="stable").tolist():
+            if spent >= budget or value[i] < (1 - near) * best[capacity]:
+                break
+            if covered[i] >= 1:
+                continue
+            config = configuration(i, pick, sizes, capacity)
+            at, copies = np.fromiter(config, int), np.fromiter(config.values(), float)
+            room = (width - covered[at]).clip(0) * need[at] / copies
+            step = min(room.min(), (1 - covered[i]) * need[i] / config[i], budget - spent)
+            if step > 0:
+                key = tuple(sorted(((int(sizes[j]), a) for j, a in config.items()), reverse=True))
+                used[key] = used.get(key, 0.0) + step
+                covered[at] += copies * step / need[at]
+                spent += step
+        cover += covered
+        weight = weight * np.exp(rate / math.sqrt(t) * (1 - covered))
+        weight /= weight.max()
+    scale = float(cover.min()) or float(rounds)
+    return {key: x / scale for key, x in used.items()}, bound
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Plan:
@@ -126,29 +147,55 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     return [(tuple(content), n) for found in groups.values() for content, n in found]
 
 
-def pack_plan(counts: dict[int, int], capacity: int) -> Plan:
-    """Sequences for all pieces of a histogram (length -> pieces): the whole
-    parts of the fractional solution, then best fit for what is left. Rounding
-    down can leave configurations that waste space to lengths best fit would
-    place better, so the solution is rounded twice, with all configurations and
-    with the full ones alone, and the plan of fewer sequences stays."""
+def rounded(solution: dict[tuple, float], left: dict[int, int]) -> Plan:
+    """Whole configurations, fullest and most used first, each at most the
+    solution's use rounded up and only of pieces that are left; `left` is updated."""
+    plan = []
+    for config, x in sorted(solution.items(), key=lambda c: (-sum(s * a for s, a in c[0]), -c[1], c[0])):
+        n = min([math.ceil(x), *(left[s] // a for s, a in config)])
+        if n:
+            plan.append((tuple(s for s, a in config for _ in range(a)), n))
+            for s, a in config:
+                left[s] -= a * n
+    return plan
+
+
+def sequences(plan: Plan) -> int:
+    return sum(n for _, n in plan)
+
+
+def by_program(counts: dict[int, int], capacity: int, near: float, budget: int) -> tuple[Plan, dict[int, int], float]:
+    """The program's whole configurations, the pieces it leaves, and the lower bound."""
+    left, plan, bound = dict(counts), [], 0.0
+    for rounds in (60, *(25,) * 6):  # the whole histogram, then what is left
+        solution, low = solve(left, capacity, budget, rounds, near=near)
+        bound = bound or low
+        before = sum(left.values())
+        plan += rounded(solution, left)
+        left = {s: n for s, n in left.items() if n}
+        if sum(left.values()) > 0.9 * before or len(left) < 2:
+            break
+        budget = sequences(best_fit(left, capacity))
+    return plan, left, bound
+
+
+def pack_plan(counts: dict[int, int], capacity: int, gap: float = 0.005) -> Plan:
+    """Sequences for all pieces of a histogram (length -> pieces): the program's
+    configurations, then best fit for what it leaves. Where that is further than
+    `gap` above the program's lower bound, the program is solved once more with
+    every length's best configuration, however low its price, and the plan of
+    fewer sequences stays, as does best fit alone if it has fewer still."""
     counts = {s: n for s, n in counts.items() if n}
     alone: Plan = [((capacity,), counts.pop(capacity))] if capacity in counts else []
-    solution = sorted(solve(counts, capacity), key=lambda c: -c[1]) if counts else []
-
-    def rounded(full_only: bool) -> Plan:
-        left, plan = dict(counts), []
-        for config, x in solution:
-            if full_only and sum(s * a for s, a in config) < capacity:
-                continue
-            n = min([math.floor(x), *(left[s] // a for s, a in config)])
-            if n:
-                plan.append((tuple(s for s, a in config for _ in range(a)), n))
-                for s, a in config:
-                    left[s] -= a * n
-        return plan + best_fit({s: n for s, n in left.items() if n}, capacity)
-
-    return alone + min(rounded(True), rounded(False), key=lambda plan: sum(n for _, n in plan))
+    if not counts:
+        return alone
+    plans = [best_fit(counts, capacity)]
+    for near in (0.1, 1.0):
+        plan, left, bound = by_program(counts, capacity, near, sequences(plans[0]))
+        plans.insert(0, plan + best_fit(left, capacity))
+        if sequences(plans[0]) <= math.ceil(bound * (1 + gap)):
+            break
+    return alone + min(plans, key=sequences)
 
 
 def slot_table(plan: Plan) -> np.ndarray:
