@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -57,6 +58,42 @@ def test_bpe_is_the_library_and_decodes(spark, texts):
     assert bpe.encoded_digests(df.limit(0), PATH).collect() == []
 
 
+SCRIPTS = ["Привет, МИР! Ёжик й й", "Καλημέρα ΣΟΦΟΣ ὈΔΥΣΣΕΎΣ άλφα", "日本語の文章と漢字、カタカナ。", "“curly” ‘quotes’—and… it’s l’été",
+           "한국어 문장", "عربى نص ١٢٣", "हिन्दी १२", "İstanbul ŞIŞLI ẞ ﬁ Å Å ½ Ⅷ", "emoji 😀👩‍👩‍👧 🇫🇮", "zero\u200bwidth \u2028line\u3000wide",
+           "mixed Ω<|endoftext|>ж <|startoftext|>", "\ua7aaꭰᏸ 𐐀𐐨 𞤀 \u0378\U000e0001", "x" * 30_000 + "Ж" * 3000]
+
+
+def test_own_merges_and_any_script_equal_the_library(spark, texts):
+    import json
+
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(PATH)
+    library = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
+    with open(PATH, encoding="utf-8") as f:
+        conf = f.read()
+    empty = bpe.Encoder(conf, bpe.Lexicon(bpe.compile_lexicon({})))
+    rng = random.Random(4)
+    noise = ["".join(chr(rng.choice([rng.randint(33, 126), rng.randint(0xA1, 0x2FF), rng.randint(0x370, 0x1FFF), rng.randint(0x3000, 0xD7FF),
+                                     rng.randint(0x1F300, 0x1FAFF)])) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    for text in [*SCRIPTS, *noise, *[t for t in texts[:50] if t]]:
+        assert np.frombuffer(empty.encode(text), "<u4").tolist() == library(text), text
+    assert empty.to_library < 0.2 * len(noise)
+    merges = bpe.Merges(json.loads(conf)["model"])
+    for text in texts[:20]:
+        for w in empty.words((text or "").lower())[:300]:
+            symbols = [empty.alphabet[b] for b in w.encode()]
+            assert merges.ids(symbols) == [t.id for t in empty.model.tokenize("".join(symbols))]
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(SCRIPTS * 3)], "doc_id long, text string")
+    tokens = spark.sparkContext.broadcast(conf)
+    words = bpe.frequent_words(df.coalesce(1), tokens)
+    for word in ("привет", "日本語の文章と漢字", "καλημέρα", "“", "한국어"):
+        assert words[word.encode()] == library(word)
+    got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in bpe.encode(df, PATH).collect()}
+    assert got == {i: library(t) for i, t in enumerate(SCRIPTS * 3)}
+
+
 def test_packing_places_every_piece(spark, texts):
     df, rows = _documents(spark, texts)
     tokenizer, want = Tokenizer.from_file(PATH), []

@@ -6,24 +6,29 @@ number of words that sort before it, so the sum along a path is the word's
 number and indexes its ids: the automaton is a transducer from words to ids. It
 is one flat file, sent to the executors once and memory-mapped by each worker;
 only distinct words reach it, since a worker keeps the ids of the runs it has
-seen. A word the lexicon lacks is merged exactly, by the tokenizer's own merges.
+seen. A word the lexicon lacks is merged here, pair by pair in the order of the
+tokenizer's merge table.
 
 Texts are cut at white space. No token of this kind of model spans white space,
-so the ids of a text are those of its runs in order. Runs with letters beyond
-U+024F go to the tokenizers library whole, since its own Unicode tables decide
-there.
+so the ids of a text are those of its runs in order. A run with characters beyond
+U+024F is normalised by the library, whose Unicode tables decide there, and then
+cut into words like any other, so words of every script are in the lexicon. Only
+runs with a special token's string, or a character that the library classes
+otherwise than the word pattern here (asked once per character), go to the library
+whole. A word enters the lexicon if the library gives it the same ids.
 
 Defined cases: a null text is an empty one and has no ids; special tokens' strings
-in a text get their ids, as in the library; repeated rows and ids are encoded
-each; an empty table gives an empty result and an empty lexicon.
+in a text get their ids, as in the library; a text or word may have any length;
+repeated rows and ids are encoded each; further columns of any name stay out of the
+plan; an empty table gives an empty result and an empty lexicon.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import mmap
 import os
-import tempfile
 import uuid
 from collections import Counter
 from hashlib import sha256
@@ -34,6 +39,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from weir.llm.common import id_and_bytes
+from weir.session import scratch_path
 
 FREQUENT = 2e-6  # share of a task's runs from which a run is frequent: at most 500,000 of a task
 HELD_RUNS = 300_000  # runs, and words, a worker keeps the ids of before it starts anew
@@ -154,6 +160,46 @@ class Lexicon:
         return self.ids[self.starts[number]:self.starts[number + 1]]
 
 
+# ---- merging -----------------------------------------------------------------
+
+class Merges:
+    """A model's merge table: pairs of token ids -> (rank, id of the pair)."""
+
+    def __init__(self, model: dict):
+        vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.table = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.vocab, self.suffix = vocab, suffix
+
+    def ids(self, symbols: list[str]) -> list[int]:
+        """The ids of a word given as symbols: of all neighbours the pair of the
+        lowest rank is merged, the leftmost first, until none is in the table."""
+        last = len(symbols) - 1
+        known = [self.vocab.get(c + self.suffix if i == last else c) for i, c in enumerate(symbols)]
+        ids = [i for i in known if i is not None]  # as the library without an unknown token does
+        following = list(range(1, len(ids) + 1))
+        preceding = list(range(-1, len(ids) - 1))
+        table = self.table
+        heap = [(*table[pair], at) for at, pair in enumerate(zip(ids, ids[1:])) if pair in table]
+        heapq.heapify(heap)
+        while heap:
+            rank, merged, at = heapq.heappop(heap)
+            right = following[at]
+            # an entry is void once one of its two symbols has been merged away or changed
+            if ids[at] < 0 or right >= len(ids) or table.get((ids[at], ids[right])) != (rank, merged):
+                continue
+            ids[at], ids[right] = merged, -1
+            following[at] = after = following[right]
+            if after < len(ids):
+                preceding[after] = at
+                if pair := table.get((merged, ids[after])):
+                    heapq.heappush(heap, (*pair, at))
+            before = preceding[at]
+            if before >= 0 and (pair := table.get((ids[before], merged))):
+                heapq.heappush(heap, (*pair, before))
+        return [i for i in ids if i >= 0]
+
+
 # ---- encoding ---------------------------------------------------------------
 
 # fixed values: the tokenizer's pre-token pattern and the byte alphabet's printable bytes
@@ -168,12 +214,20 @@ class Encoder:
     def __init__(self, tokenizer_json: str, lexicon: Lexicon | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Regex, Tokenizer
+        from tokenizers.pre_tokenizers import Split
 
         conf = json.loads(tokenizer_json)
         conf["truncation"] = conf["padding"] = None
         self.tokenizer = Tokenizer.from_str(json.dumps(conf))
         self.model, self.lexicon = self.tokenizer.model, lexicon
+        self.merges = Merges(conf["model"]) if lexicon is not None else None
+        self.normalise = self.tokenizer.normalizer.normalize_str
+        # characters by class, as the library and as the pattern here see them
+        self.classes = [(Split(Regex(c), "removed").pre_tokenize_str, regex.compile(c).fullmatch)
+                        for c in (r"\p{L}", r"\p{N}", r"\s")]
+        self.alike: dict[str, bool] = {}
+        self.to_library = 0  # runs that went to the library whole
         self.words, self.odd_space = regex.compile(WORDS).findall, regex.compile(ODD_SPACE)
         special = [t["content"] for t in conf["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
@@ -192,8 +246,35 @@ class Encoder:
         return text.split()
 
     def merge(self, word: str) -> list[int]:
-        """A lower-cased word's ids by the model's merges."""
-        return [t.id for t in self.model.tokenize("".join([self.alphabet[b] for b in word.encode()]))]
+        """A normalised word's ids by the merge table (by the library, for an
+        encoder without a lexicon)."""
+        symbols = [self.alphabet[b] for b in word.encode()]
+        return self.merges.ids(symbols) if self.merges else [t.id for t in self.model.tokenize("".join(symbols))]
+
+    def checked(self, word: str) -> list[int] | None:
+        """A word's ids if the library gives it the same, as a word of its own."""
+        ids = self.merge(word)
+        return ids if ids == self.tokenizer.encode(word, add_special_tokens=False).ids else None
+
+    def classed_alike(self, text: str) -> bool:
+        """Whether every character is of the same class for the library and here."""
+        for c in set(text):
+            known = self.alike.get(c)
+            if known is None:
+                # the library removes what matches: nothing is left of a character of the class
+                known = self.alike[c] = all((not library(c)) == bool(here(c)) for library, here in self.classes)
+            if not known:
+                return False
+        return True
+
+    def run_words(self, run: str) -> list[str] | None:
+        """The run's normalised words, or None if the library has to decide."""
+        if self.special and "<" in run and self.special.search(run):
+            return None
+        if not self.beyond(run):
+            return self.words(run.lower())
+        normal = self.normalise(run)
+        return self.words(normal) if self.classed_alike(normal) else None
 
     def word(self, word: str) -> bytes:
         held = self.pieces.get(word)
@@ -206,9 +287,11 @@ class Encoder:
         return held
 
     def run(self, run: str) -> bytes:
-        if self.beyond(run) or self.special and "<" in run and self.special.search(run):
+        words = self.run_words(run)
+        if words is None:
+            self.to_library += 1
             return np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join([self.word(w) for w in self.words(run.lower())])
+        return b"".join([self.word(w) for w in words])
 
     def encode(self, text: str) -> bytes:
         """Ids of the whole text as little-endian unsigned 32-bit integers."""
@@ -261,28 +344,33 @@ def frequent_words(docs: DataFrame, tokenizer, share: float = FREQUENT) -> dict[
         top = [(w, c) for w, c in held.items() if c >= max(2, share * n)]
         encoder, words = worker_encoder(tokenizer), Counter()
         for run, c in top:
-            if not encoder.beyond(run):
-                for w in encoder.words(run.lower()):
-                    words[w] += c
+            for w in encoder.run_words(run) or ():
+                words[w] += c
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64()),
              pa.array([n] * len(words), pa.int64())], names=["word", "c", "n"])
 
     counted = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, "word string, c long, n long")
     summed = counted.groupBy("word").agg(F.sum("c").alias("c"), F.max("n").alias("n"))
-    encoder = Encoder(tokenizer.value)
+    encoder = Encoder(tokenizer.value, Lexicon(compile_lexicon({})))
     # at most 1/share words of any task are this frequent; a run in hand bounds the sum
     kept = summed.where(F.col("c") >= share * F.col("n")).orderBy(F.desc("c"), "word").limit(int(1 / share))
-    return {r.word.encode(): encoder.merge(r.word) for r in kept.select("word").collect()}
+    found = ((r.word.encode(), encoder.checked(r.word)) for r in kept.select("word").collect())
+    return {word: ids for word, ids in found if ids is not None}
 
 
 def send_lexicon(spark: SparkSession, buffer: bytes) -> str:
-    """Adds the compiled lexicon to the application's files; its name there."""
+    """Writes the compiled lexicon to the shared folder and adds it to the
+    application's files, so that every executor maps a copy; its name there."""
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = os.path.join(tempfile.mkdtemp(prefix="weir-lexicon-"), name)
-    with open(path, "wb") as f:
-        f.write(buffer)
-    spark.sparkContext.addFile(path)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'lexicon')}/{name}")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = store.create(path)
+    try:
+        out.write(bytearray(buffer))
+    finally:
+        out.close()
+    spark.sparkContext.addFile(store.makeQualified(path).toString())
     return name
 
 
