@@ -162,41 +162,65 @@ class Lexicon:
 
 # ---- merging -----------------------------------------------------------------
 
+SHORT = 32  # symbols up to which all pairs of a word are looked at for each merge
+NEVER = 1 << 62  # rank of a pair that is not in the table
+
+
 class Merges:
-    """A model's merge table: pairs of token ids -> (rank, id of the pair)."""
+    """A model's merge table: pairs of token ids -> rank, and the pair's id by rank."""
 
     def __init__(self, model: dict):
         vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.table = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
-        self.vocab, self.suffix = vocab, suffix
+        self.rank = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = [vocab[a + b] for a, b in pairs]
+        self.inner = {c: i for c, i in vocab.items() if len(c) == 1}
+        self.last = {c[:1]: i for c, i in vocab.items() if c[1:] == suffix}
 
     def ids(self, symbols: list[str]) -> list[int]:
         """The ids of a word given as symbols: of all neighbours the pair of the
-        lowest rank is merged, the leftmost first, until none is in the table."""
-        last = len(symbols) - 1
-        known = [self.vocab.get(c + self.suffix if i == last else c) for i, c in enumerate(symbols)]
-        ids = [i for i in known if i is not None]  # as the library without an unknown token does
-        following = list(range(1, len(ids) + 1))
-        preceding = list(range(-1, len(ids) - 1))
-        table = self.table
-        heap = [(*table[pair], at) for at, pair in enumerate(zip(ids, ids[1:])) if pair in table]
+        lowest rank is merged, the leftmost first, until none is in the table.
+        Symbols without a token are left out, as by the library."""
+        known = [self.inner.get(c) for c in symbols[:-1]] + [self.last.get(c) for c in symbols[-1:]]
+        ids = [i for i in known if i is not None]
+        return self._short(ids) if len(ids) <= SHORT else self._long(ids)
+
+    def _short(self, ids: list[int]) -> list[int]:
+        rank, merged = self.rank.get, self.merged
+        ranks = [rank(pair, NEVER) for pair in zip(ids, ids[1:])]
+        while ranks:
+            low = min(ranks)
+            if low == NEVER:
+                break
+            i = ranks.index(low)
+            ids[i:i + 2] = [merged[low]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((ids[i - 1], ids[i]), NEVER)
+            if i < len(ranks):
+                ranks[i] = rank((ids[i], ids[i + 1]), NEVER)
+        return ids
+
+    def _long(self, ids: list[int]) -> list[int]:
+        rank, n = self.rank.get, len(ids)
+        following, preceding = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, at) for at, pair in enumerate(zip(ids, ids[1:])) if (r := rank(pair)) is not None]
         heapq.heapify(heap)
         while heap:
-            rank, merged, at = heapq.heappop(heap)
+            low, at = heapq.heappop(heap)
             right = following[at]
             # an entry is void once one of its two symbols has been merged away or changed
-            if ids[at] < 0 or right >= len(ids) or table.get((ids[at], ids[right])) != (rank, merged):
+            if ids[at] < 0 or right >= n or rank((ids[at], ids[right])) != low:
                 continue
-            ids[at], ids[right] = merged, -1
+            ids[at], ids[right] = self.merged[low], -1
             following[at] = after = following[right]
-            if after < len(ids):
+            if after < n:
                 preceding[after] = at
-                if pair := table.get((merged, ids[after])):
-                    heapq.heappush(heap, (*pair, at))
+                if (r := rank((ids[at], ids[after]))) is not None:
+                    heapq.heappush(heap, (r, at))
             before = preceding[at]
-            if before >= 0 and (pair := table.get((ids[before], merged))):
-                heapq.heappush(heap, (*pair, before))
+            if before >= 0 and (r := rank((ids[before], ids[at]))) is not None:
+                heapq.heappush(heap, (r, before))
         return [i for i in ids if i >= 0]
 
 
