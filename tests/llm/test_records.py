@@ -1,7 +1,9 @@
 """Archive round trip and secret scan."""
 
 import hashlib
+import re
 
+from pyspark.sql import functions as F
 from weir.llm import secret_scan, warc
 from weir.session import scratch_path
 
@@ -38,9 +40,30 @@ def test_payloads_are_stored_once_and_records_rebuilt(spark):
         length = int(head.split(b"Content-Length: ")[1].split(b"\r\n")[0])
         assert rest == (bytes(r.payload) if r.record_type == "response" else b"") + b"\r\n\r\n"
         assert length == len(rest) - 4 and len(bytes(r.payload)) == r.payload_bytes
+        fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
+        assert fields[b"WARC-Block-Digest"] == b"sha1:" + hashlib.sha1(rest[:-4]).hexdigest().encode()
+        assert re.fullmatch(rb"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields[b"WARC-Date"])
     assert warc.archive(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_query_rebuilds_records_and_finds_a_wrong_one(spark):
+    import pytest
+
+    path = scratch_path(spark, "warc-bad")
+    long = "é" * 300_000
+    pages = spark.createDataFrame([(1, "u", long, 0), (2, "u", "b" * 1500, 0)], SCHEMA)
+    warc.write_archive(pages, path, captured=F.lit("2024-02-03 04:05:06").cast("timestamp"))
+    rows = {r.page_id: r for r in warc.read_records(spark, path).collect()}
+    assert b"WARC-Date: 2024-02-03T04:05:06Z\r\n" in bytes(rows[1].record) and long.encode() in bytes(rows[1].record)
+    headers = spark.read.parquet(f"{path}/headers").withColumn("header", F.encode(F.regexp_replace(
+        F.decode("header", "utf-8"), "Content-Length: 1500", "Content-Length: 1499"), "utf-8"))
+    headers.write.parquet(f"{path}-2/headers")
+    spark.read.parquet(f"{path}/payloads").write.parquet(f"{path}-2/payloads")
+    narrow = warc.read_records(spark, f"{path}-2").select("page_id", "payload_digest")
+    with pytest.raises(Exception, match="record and digests differ"):
+        narrow.collect()
+
+
 def _texts():
     hexes = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(40)]
     rows = [(i, f'one two three token = "{h}" four five {4000000000000000 + i * 7919} six') for i, h in enumerate(hexes)]

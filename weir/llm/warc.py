@@ -2,9 +2,11 @@
 
 A record's payload is stored once under its SHA-256, whatever the number of
 records that carry it; the record's header block is stored exactly, apart from
-it, with the digest. Reading joins the two and checks every payload against its
-length and digest before it is used. All steps are SQL expressions; only ids and
-digests are shuffled to find who holds a payload.
+it, with the digest. Reading joins the two, checks every payload against its
+length and digest, rebuilds the original record (header block, content block,
+closing lines) and checks its content block against the block digest its own header
+names. All steps are SQL expressions; only ids and digests are shuffled to find who
+holds a payload, and payloads once to rebuild the records.
 
 Of records with equal payloads of at least `revisit_from` bytes, that with the
 largest page id is a response and the others are revisits that refer to it;
@@ -14,11 +16,16 @@ Defined cases: a null html is an empty payload; a null url gives an empty target
 URI; line breaks in a url are percent-encoded, since they would end a header
 line; a null page_id takes part with the smallest rank (a response only if no
 other page has its payload); repeated rows are records of their own (equal ids
-and payloads: all are responses); an empty table gives an empty archive.
+and payloads: all are responses, of one record id); a payload may have any length
+that a cell holds; further columns of any name stay out of the plan; an empty table
+gives an empty archive. Pages carry no time of capture, so WARC-Date is `captured`,
+the time of writing unless the caller has another.
 """
 
 from __future__ import annotations
 
+from hashlib import sha1
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from weir.session import scratch_path
@@ -26,13 +33,14 @@ from weir.session import scratch_path
 REVISIT_FROM = 1000  # bytes
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the format
 CRLF = "\r\n"
+EMPTY_SHA1 = sha1(b"").hexdigest()
 
 
 def record_id(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("unknown")), F.lit(">"))
 
 
-def write_archive(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM) -> None:
+def write_archive(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM, captured: Column | None = None) -> None:
     """Two tables under `path`: headers (one row per record) and payloads (one
     row per distinct payload)."""
     rows = pages.select(
@@ -54,8 +62,10 @@ def write_archive(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM)
         F.lit(f"WARC/1.1{CRLF}"),
         line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         line("WARC-Record-ID", record_id(F.col("page_id"))),
+        line("WARC-Date", F.date_format(F.current_timestamp() if captured is None else captured, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         line("WARC-Target-URI", url),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
+        line("WARC-Block-Digest", F.concat(F.lit("sha1:"), F.when(revisit, F.lit(EMPTY_SHA1)).otherwise(F.col("sha1")))),
         F.when(revisit, F.concat(line("WARC-Refers-To", record_id(F.col("holder"))), line("WARC-Profile", F.lit(PROFILE))))
         .otherwise(F.lit("")),
         line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("length").cast("string"))),
@@ -92,16 +102,21 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     headers = spark.read.parquet(f"{path}/headers")
     joined = headers.join(read_payloads(spark, path), F.col("digest") == F.col("stored"))
     refers = F.regexp_extract(_field("WARC-Refers-To"), r"<urn:page:(-?\d+)>", 1)
-    end = F.lit(CRLF * 2).cast("binary")
     kind = _field("WARC-Type")
     block = F.when(kind == "revisit", F.lit(b"")).otherwise(F.col("payload"))
+    rebuilt = joined.withColumn("record", F.concat(F.col("header"), block, F.lit(CRLF * 2).cast("binary")))
+    # what the record itself says of its content block, against the bytes that stand there
+    length = _field("Content-Length").cast("int")
+    content = F.substring("record", F.octet_length("header") + 1, length)
+    whole = (F.octet_length("record") == F.octet_length("header") + length + 4) & (
+        F.concat(F.lit("sha1:"), F.sha1(content)) == _field("WARC-Block-Digest"))
     named = F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "")
-    digest = F.when(named == F.col("sha1"), named).otherwise(
-        F.raise_error(F.lit("record and payload digests differ")).cast("string"))
-    return joined.select(
+    digest = F.when(whole & (named == F.col("sha1")), named).otherwise(
+        F.raise_error(F.lit("record and digests differ")).cast("string"))
+    return rebuilt.select(
         "page_id", "payload_bytes", digest.alias("payload_digest"), kind.alias("record_type"),
         F.when(refers != "", refers.cast("long")).alias("refers_to"), _field("WARC-Target-URI").alias("url"),
-        "payload", F.concat(F.col("header"), block, end).alias("record"))
+        "payload", "record")
 
 
 def archive(pages: DataFrame) -> DataFrame:
