@@ -99,10 +99,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d
 
 
+_SCRATCH: set[str] = set()
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Makes a folder that its file system removes when the driver's JVM ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the shared checkpoint root. Spark makes the
+    """A fresh folder name below the shared checkpoint root, in a folder of this
+    application that is removed when the application ends. Spark makes the
     folder when it writes, on whatever file system the root names."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    root = checkpoint_root(spark).rstrip("/")
+    try:
+        root = f"{root}/weir-{spark.sparkContext.applicationId}"
+        if root not in _SCRATCH:
+            _remove_at_exit(spark, root)
+            _SCRATCH.add(root)
+    except Exception:  # noqa: BLE001 - no SparkContext access (e.g. Spark Connect): nothing is removed
+        pass
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def build_session(
