@@ -4,6 +4,11 @@ predecessor kept, is written as Parquet and read again by the next one.
 Language ID drops texts in no learned language; SimHash keeps one document of
 each near-duplicate group; suffix-array dedup removes repeated 100-byte strings;
 the secret scan redacts what it finds; packing lays the texts out in sequences.
+
+Every stage takes `documents` as its predecessor left them, with any further
+columns, whatever their names, and all but the last return the same columns. Null
+ids, null and empty texts, repeated rows, long texts and empty tables are taken as
+each stage says below.
 """
 
 from __future__ import annotations
@@ -24,6 +29,9 @@ MIN_LANGUAGE_SCORE = 0.1  # share of a text's n-grams that its best language mus
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language. Null texts and texts without a letter are in
+    none and go; repeated rows and null ids are judged by their text alone; of equally
+    probable languages the first by name is taken."""
     apply_result_conf(spark)
     bitmask = langid.learn(docs, id_fold() != 0)
     judged = langid.predict(docs, bitmask, [F.col(f"`{c}`") for c in docs.columns])
@@ -32,21 +40,30 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: the smallest id (null ids last),
+    and of rows repeated under it the one whose text hashes smallest. Texts without a
+    word share a fingerprint and are one group."""
     apply_result_conf(spark)
     return simhash.keep_one(docs, shingle=3, budget=2)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes that a 100-byte string covers which also starts
+    earlier; `n_chars` follows the text. Rows stay, with what is left of their text."""
     apply_result_conf(spark)
     return suffix.remove_repeats(docs, width=100, text=True)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with every secret replaced; a string judged secret at one of its places
+    is replaced at all places of that text. Null and empty texts stay as they are."""
     apply_result_conf(spark)
     return secret_scan.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece with its sequence and offset; a null or empty text is one
+    piece of the end id alone, a long one is cut into pieces of 2048 ids."""
     apply_result_conf(spark)
     return packing.pack(docs, public_tokenizers.path(TOKENIZER), capacity=2048)
 
