@@ -5,12 +5,18 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from weir.llm import suffix
 
 
+def _tie(text):
+    """Rows of one id are ordered by a signed 64-bit hash of their text."""
+    return int(np.uint64(xxhash.xxh64_intdigest(text, seed=42)).astype(np.int64))
+
+
 def _removed(docs, width=100):
     seen, out = set(), []
-    for d, text in sorted(docs, key=lambda r: (r[0] is None, r[0] or 0, (r[1] or "").encode())):
+    for d, text in sorted(docs, key=lambda r: (r[0] is None, r[0] or 0, _tie((r[1] or "").encode()))):
         b = (text or "").encode()
         mask = np.zeros(len(b), bool)
         for i in range(len(b) - width + 1):
@@ -50,6 +56,17 @@ def test_matches_brute_force(spark, monkeypatch, seed):
     assert got == _removed(docs)
 
 
+def test_hot_ids_lie_in_many_blocks(spark, monkeypatch):
+    """Of the rows, a third have a null id and a third one id; a text longer than a block."""
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", 1 << 12)
+    monkeypatch.setattr(suffix, "RANGE_BYTES", 1 << 12)
+    docs = [((None, 9, i)[i % 3], t) for i, (_, t) in enumerate(_docs(3))]
+    docs.append((None, "".join(t or "" for _, t in docs[:40])))
+    df = spark.createDataFrame([(*d, 0) for d in docs], "doc_id long, text string, tie int")
+    got = sorted((tuple(r) for r in suffix.remove_repeats(df).collect()), key=repr)
+    assert got == _removed(docs)
+
+
 def test_text_form_keeps_columns(spark):
     docs = [(1, "p" * 50 + "q" * 60 + "é" * 40, "en", 150, 9), (2, "p" * 50 + "q" * 60 + "é" * 40, "en", 150, 9),
             (3, None, "fr", None, 9), (4, "short", None, 5, 9)]

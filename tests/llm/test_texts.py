@@ -244,14 +244,13 @@ def _tree_scores(docs, depth=ctw.DEPTH):
     for d, t in docs:
         score = 0.0
         for context, node, bit in decisions(t):
-            p = None
+            p = 0.5
             for k in range(depth, -1, -1):
                 c = count.get((context[:k], node))
                 if c:
-                    own = (c[bit] + 0.5) / (sum(c) + 1)
                     w = share[context[:k], node]
-                    p = own if p is None else w * own + (1 - w) * p
-            score += math.log10(0.5 if p is None else p)
+                    p = w * (c[bit] + 0.5) / (sum(c) + 1) + (1 - w) * p
+            score += math.log10(p)
         tokens = [*(t or "").encode().lower().split(), None]
         base = sum(math.log10((words[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens)
         out.append((d, not learns(d), len(tokens), sum(words[w] > 0 for w in tokens), n, base, score))
@@ -267,6 +266,62 @@ def test_context_tree_weighting_by_definition(spark, texts):
     assert ctw.score(df.limit(0)).collect() == []
 
 
+def test_prediction_is_the_ratio_of_weighted_probabilities(spark):
+    """A one-byte text after training: the whole tree's probability with it over without."""
+    learns = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = next(i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1)
+    rows = [(i, t) for i, t in zip(learns, ["abab", "abba", "b", "", "aab ba", "ab" * 40])]
+
+    def log_weighted(decisions):
+        """log10 of the weighted probability of (context, node, bit) decisions, by recursion."""
+        def at(seen, n):
+            own = _log_kt(sum(not b for _, b in seen), sum(b for _, b in seen))
+            if n == ctw.DEPTH:
+                return own
+            children = {}
+            for c, b in seen:
+                children.setdefault(c[n], []).append((c, b))
+            return np.logaddexp(own, sum(at(v, n + 1) for v in children.values())) - math.log(2)
+
+        nodes = {}
+        for c, node, b in decisions:
+            nodes.setdefault(node, []).append((c, b))
+        return sum(at(v, 0) for v in nodes.values()) / math.log(10)
+
+    def decisions(text):
+        data = bytes([254]) * ctw.DEPTH + text.encode() + b"\xff"
+        return [(data[i - ctw.DEPTH:i][::-1], 1 << k | data[i] >> (8 - k), data[i] >> (7 - k) & 1)
+                for i in range(ctw.DEPTH, len(data)) for k in range(8)]
+
+    before = [d for _, t in rows for d in decisions(t)]
+    for text in ("", "a", "z"):
+        got = {r.doc_id: r.score for r in ctw.score(spark.createDataFrame(
+            [*rows, (held, text)], "doc_id long, text string")).collect()}[held]
+        # of the text's bytes, each is predicted from the training texts alone
+        want = sum(log_weighted(before + decisions(text)[k:k + 8]) - log_weighted(before)
+                   for k in range(0, len(decisions(text)), 8))
+        assert got == pytest.approx(want, abs=1e-9)
+
+
+def _log_kt(a, b):
+    return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+
+def test_tree_scores_with_a_hot_null_id_in_many_blocks(spark, monkeypatch):
+    """A third of all rows under a null id, blocks and shards by the text."""
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(ctw, "SHARD_BYTES", 200)
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 3 == 0 else i, " ".join(rng.choice(["ab", "the", "né", "of x"], 20))) for i in range(120)]
+    rows += [(None, "long " * 900), (7, None), (7, "")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, tie int")
+    got = sorted(map(tuple, ctw.score(df).collect()), key=repr)
+    want = sorted(_tree_scores(rows), key=repr)
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-9, abs=1e-9)
+
+
 def test_nothing_to_train_on(spark):
     ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1][:3]
     df = spark.createDataFrame([(i, "ab") for i in ids], "doc_id long, text string")

@@ -49,20 +49,27 @@ def id_fold(id_col: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def in_blocks(rows: DataFrame, target_bytes: int, least: int = 32) -> DataFrame:
-    """Adds `block`: rows dealt by the hash of their id into blocks of about
-    `target_bytes` of `body`. The number of blocks follows the input, so a
-    block fits a Python worker at any size; all rows of an id share one."""
-    total = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+def body_bytes(rows: DataFrame) -> int:
+    """Bytes of `body` in all rows: what the numbers of blocks, shards and ranges follow."""
+    return rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+
+
+def in_blocks(rows: DataFrame, total: int, target_bytes: int, least: int = 32) -> DataFrame:
+    """Adds `tie` (a hash of the body) and `block`: rows dealt by the hash of id and
+    body into blocks of about `target_bytes` of the `total`. The number of blocks
+    follows the input, so a block fits a Python worker at any size, and the rows of a
+    null or repeated id are spread like any others; equal rows share a block."""
     n = max(least, math.ceil(total / target_bytes))
-    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")).repartition(n, "block")
+    tied = rows.withColumn("tie", F.xxhash64("body"))
+    return tied.withColumn("block", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(n)).cast("int")).repartition(n, "block")
 
 
 def sorted_block(table) -> tuple[list, list, np.ndarray]:
-    """Ids and bodies of one block in the order (id, body), null ids last: the
+    """Ids and bodies of one block in the order (id, tie, body), null ids last: the
     same order in every pass over the block, whatever order the shuffle gave."""
     ids, bodies = table.column("doc_id").to_pylist(), table.column("body").to_pylist()
-    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, bodies[i]))
+    ties = table.column("tie").to_pylist()
+    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, ties[i], bodies[i]))
     return [ids[i] for i in order], [bodies[i] for i in order], np.array(order, dtype=np.int64)
 
 

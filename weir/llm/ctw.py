@@ -5,20 +5,24 @@ to `DEPTH` preceding bytes a Krichevsky-Trofimov estimator counts zeros and ones
 over all training texts, and a node's weighted probability is half its own and
 half the product of its children's, over all depths. The trained tree predicts
 with the posterior weights this gives: from the root down, a node's own estimate
-counts by how much of the training evidence it explains; a context never seen in
-training leaves the decision to the longest one that was. The score of a text is
-the sum over its bytes, and one end mark, of log10 of the predicted probability.
+counts by how much of the training evidence it explains, a context never seen in
+training predicts evenly. The score of a text is the sum over its bytes, and one
+end mark, of log10 of the predicted probability.
 
 The corpus never meets in one place. Blocks of documents count their distinct
-(context, byte) grams and words; a shard gathers all grams whose last two context
-bytes hash to it, which is whole subtrees from depth 2 on, weights them, and
-answers every block with the log probabilities of its grams. Depths 0 and 1, at
-most 257 contexts, are summed over the shards and sent to each. What is gathered
-grows with the corpus; a shard's share is bounded by the number of shards.
+(context, byte) grams and words; a shard gathers all grams whose last three context
+bytes hash to it, which is whole subtrees from depth 3 on, weights them, and
+answers every block with the log probabilities of its grams. Contexts of two bytes
+are summed over the shards that hold their children, in groups, and returned to
+those shards alone; depths 0 and 1, at most 257 contexts, are summed over all and
+sent to each. What is gathered grows with the corpus, and so does the number of
+shards.
 
 Defined cases: a null text is empty and has only its end mark; a null doc_id is
-scored and trains like any other; repeated rows count each; an empty table gives
-an empty result; with no training text every decision is even.
+scored and trains like any other; repeated rows count each; a text longer than a
+block is a block of its own, scanned whole; further columns of any name stay out of
+the plan; an empty table gives an empty result; with no training text every decision
+is even.
 """
 
 from __future__ import annotations
@@ -29,10 +33,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from weir.llm.common import chunks, id_and_bytes, id_fold, in_blocks, shuffle_partitions
+from weir.llm.common import body_bytes, chunks, id_and_bytes, id_fold, in_blocks, shuffle_partitions
 
 DEPTH = 5
-BLOCK_BYTES = 20 << 20
+BLOCK_BYTES = SHARD_BYTES = 8 << 20  # text per block, and per shard
+PAIR_GROUPS = 64  # groups of two-byte contexts, of which there are at most 65,536
 SCAN_BYTES = 2 << 20
 START, END = 0xFE, 0xFF  # never bytes of UTF-8
 TOP = ("zeros", "ones", "below")
@@ -56,8 +61,8 @@ def gram_keys(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    """By the two nearest context bytes: whole subtrees below depth 2."""
-    top = keys >> np.uint64(8 * (DEPTH - 2) + 8)
+    """By the three nearest context bytes: whole subtrees below depth 3."""
+    top = keys >> np.uint64(8 * (DEPTH - 3) + 8)
     return ((top * np.uint64(0x9E3779B1)) >> np.uint64(7)) % np.uint64(shards)
 
 
@@ -126,26 +131,30 @@ def weigh(own: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def subtree(keys: np.ndarray, n: np.ndarray):
-    """Depths DEPTH to 2 of one shard: by depth (nodes, zeros, ones, weight of the
-    own estimate, gram index), and the weighted log probabilities at depth 2."""
+    """Depths DEPTH to 3 of one shard: by depth (nodes, zeros, ones, weight of the
+    own estimate, gram index), and the weighted log probabilities at depth 3."""
     levels, below = {}, None
-    for depth in range(DEPTH, 1, -1):
+    for depth in range(DEPTH, 2, -1):
         node, zeros, ones, index = nodes_at(keys, n, depth)
         own = log_kt(zeros, ones)
         if below is None:
             total, share = own, np.ones(len(node))
         else:
-            total, share = weigh(own, _sum_to_parents(below, node))
+            total, share = weigh(own, np.bincount(np.searchsorted(node, parents(below[0])), below[1], len(node)))
         levels[depth] = (node, zeros, ones, share, index)
         below = (node, total)
     return levels, below
 
 
-def _sum_to_parents(below, parents: np.ndarray) -> np.ndarray:
-    """Sums of children's log probabilities: a parent lacks the child's farthest byte."""
-    node, total = below
-    parent = (node >> np.uint64(16)) << np.uint64(8) | node & np.uint64(0xFF)
-    return np.bincount(np.searchsorted(parents, parent), total, len(parents))
+def parents(node: np.ndarray) -> np.ndarray:
+    """A parent's key lacks its child's farthest context byte."""
+    return (node >> np.uint64(16)) << np.uint64(8) | node & np.uint64(0xFF)
+
+
+def summed(node: np.ndarray, *values: np.ndarray):
+    """Distinct nodes, sorted, and the sums of their values."""
+    one, inverse = np.unique(node, return_inverse=True)
+    return one, *(np.bincount(inverse, v, len(one)) for v in values)
 
 
 def log_probabilities(keys: np.ndarray, levels, top) -> np.ndarray:
@@ -155,9 +164,8 @@ def log_probabilities(keys: np.ndarray, levels, top) -> np.ndarray:
     for k in range(8):
         bit = ((byte >> np.uint64(7 - k)) & np.uint64(1)).astype(bool)
         p = np.full(len(keys), 0.5)
-        seen = np.zeros(len(keys), bool)
         for depth in range(DEPTH, -1, -1):
-            if depth >= 2:
+            if depth >= 3:
                 _, zeros, ones, share, index = levels[depth]
                 i = index[k]
             else:
@@ -165,10 +173,8 @@ def log_probabilities(keys: np.ndarray, levels, top) -> np.ndarray:
                 context = keys >> np.uint64(8 * (DEPTH - depth) + 8) if depth else np.zeros(len(keys), np.uint64)
                 i = np.searchsorted(node, context << np.uint64(8) | np.uint64(1 << k) | byte >> np.uint64(8 - k))
             n = zeros[i] + ones[i]
-            own = (np.where(bit, ones[i], zeros[i]) + 0.5) / (n + 1)
-            mixed = np.where(seen, share[i] * own + (1 - share[i]) * p, own)
-            p = np.where(n > 0, mixed, p)
-            seen |= n > 0
+            own = (np.where(bit, ones[i], zeros[i]) + 0.5) / (n + 1)  # even where training never came
+            p = share[i] * own + (1 - share[i]) * p
         out += np.log10(p)
     return out
 
@@ -177,9 +183,8 @@ def top_of(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndar
     """Depths 1 and 0 from the sums over all shards by (nearest byte, partial
     byte), sorted; `below`: log probabilities weighted at depth 2."""
     total, share = weigh(log_kt(zeros, ones), below)
-    root, up = np.unique(node & np.uint64(0xFF), return_inverse=True)
-    z0, o0 = np.bincount(up, zeros, len(root)), np.bincount(up, ones, len(root))
-    _, share0 = weigh(log_kt(z0, o0), np.bincount(up, total, len(root)))
+    root, z0, o0, total0 = summed(node & np.uint64(0xFF), zeros, ones, total)
+    _, share0 = weigh(log_kt(z0, o0), total0)
     return {1: (node, zeros, ones, share), 0: (root, z0, o0, share0)}
 
 
@@ -226,8 +231,9 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
     held_out = id_fold() == 1 if held_out is None else held_out
     spark = docs.sparkSession
     bodies = id_and_bytes(docs).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
-    blocks = in_blocks(bodies, BLOCK_BYTES)
-    shards = max(32, 2 * shuffle_partitions(spark))
+    total_bytes = body_bytes(bodies)
+    blocks = in_blocks(bodies, total_bytes, BLOCK_BYTES)
+    shards = max(32, 2 * shuffle_partitions(spark), math.ceil(total_bytes / SHARD_BYTES))
 
     def gather(key, table):
         bodies = table.column("body").to_pylist()
@@ -243,12 +249,13 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         ke = np.searchsorted(by_key[ko], np.arange(shards + 1))
         we = np.searchsorted(by_word[wo], np.arange(shards + 1))
         out = {c: [] for c in ("keys", "counts", "words", "times")}
-        for s in range(shards):
+        used = np.nonzero((np.diff(ke) > 0) | (np.diff(we) > 0))[0].tolist()
+        for s in used:
             i, j = ko[ke[s]:ke[s + 1]], wo[we[s]:we[s + 1]]
             for c, x in zip(out, (keys[i], n[i].astype("<i4"), hashes[j], times[j].astype("<i4"))):
                 out[c].append(_bytes(x))
-        return pa.table({"shard": pa.array(range(shards), pa.int32()),
-                         "of_block": pa.array([key[0].as_py()] * shards, pa.int32()),
+        return pa.table({"shard": pa.array(used, pa.int32()),
+                         "of_block": pa.array([key[0].as_py()] * len(used), pa.int32()),
                          **{c: pa.array(v, pa.binary()) for c, v in out.items()}})
 
     def shard_sums(table):
@@ -261,20 +268,40 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         return keys, words, all_keys, n, all_words, t
 
     def summit(key, table):
-        """A shard's part of depths 1 and 0; in row -1, of the training tokens."""
+        """A shard's part of depth 2, by group of contexts; in group -1, of the training tokens."""
         _, _, keys, n, _, times = shard_sums(table)
-        rows = np.array([[-1, times.sum(), (times > 0).sum(), 0]], float)
+        out = [(-1, np.array([0, times.sum(), (times > 0).sum(), 0], float))]
         if len(keys):
             levels, (node, total) = subtree(keys, n)
-            _, zeros, ones, _, _ = levels[2]
-            up = (node >> np.uint64(16)) << np.uint64(8) | node & np.uint64(0xFF)
-            one, inverse = np.unique(up, return_inverse=True)
-            sums = [np.bincount(inverse, v, len(one)) for v in (zeros, ones, total)]
-            rows = np.concatenate([rows, np.stack([one.astype(float), *sums], axis=1)])
-        return pa.table({"node": rows[:, 0].astype(np.int64), **{c: rows[:, i] for c, i in zip(TOP, (1, 2, 3))}})
+            _, zeros, ones, _, _ = levels[3]
+            two = np.stack(summed(parents(node), zeros, ones, total))
+            group = (two[0].astype(np.int64) >> 8) % PAIR_GROUPS
+            out += [(g, two[:, group == g].ravel()) for g in np.unique(group).tolist()]
+        return pa.table({"pairs": pa.array([g for g, _ in out], pa.int32()),
+                         "of_shard": pa.array([key[0].as_py()] * len(out), pa.int32()),
+                         "sums": pa.array([_bytes(x) for _, x in out], pa.binary())})
+
+    def pair_sums(key, table):
+        """One group's depth 2: to each shard its nodes with their weights (`two`), and
+        upwards, to shard -1, the sums for depth 1; of group -1, the tokens as node -1."""
+        parts = [_array(x, "<f8").reshape(4, -1) for x in table.column("sums").to_pylist()]
+        if key[0].as_py() < 0:
+            up, replies = [np.array([x]) for x in (-1, *np.concatenate(parts, axis=1).sum(axis=1)[1:])], []
+        else:
+            node, zeros, ones, below = summed(*np.concatenate(parts, axis=1))
+            total, share = weigh(log_kt(zeros, ones), below)
+            up = summed(parents(node.astype(np.uint64)), zeros, ones, total)
+            whole = np.stack([node, zeros, ones, share])
+            replies = [_bytes(whole[:, np.searchsorted(node, x[0])].ravel()) for x in parts]
+        m = len(up[0])
+        return pa.table({
+            "to_shard": pa.array([-1] * m + table.column("of_shard").to_pylist()[:len(replies)], pa.int32()),
+            "node": pa.array(up[0].astype(np.int64).tolist() + [None] * len(replies), pa.int64()),
+            **{c: pa.array(x.tolist() + [None] * len(replies), pa.float64()) for c, x in zip(TOP, up[1:])},
+            "two": pa.array([None] * m + replies, pa.binary())})
 
     def join_summits(key, table):
-        """The sums of all shards as one row."""
+        """The sums of all groups as one row."""
         at = np.argsort(table.column("node").to_numpy())
         node, *sums = (table.column(c).to_numpy()[at] for c in ("node", *TOP))
         return pa.table({"top": [_bytes(np.concatenate([node.astype(float), *sums]))]})
@@ -284,9 +311,13 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         if not left.num_rows:
             return _answers([])
         keys, words, all_keys, n, all_words, times = shard_sums(left)
-        node, zeros, ones, below = _array(right.column("top")[0].as_py(), "<f8").reshape(4, -1)
+        node, zeros, ones, below = _array(right.column("top").drop_null()[0].as_py(), "<f8").reshape(4, -1)
         tokens, distinct = int(zeros[0]), int(ones[0])
         top = top_of(node[1:].astype(np.uint64), zeros[1:], ones[1:], below[1:])
+        two = [_array(x, "<f8").reshape(4, -1) for x in right.column("two").drop_null().to_pylist()]
+        two = np.concatenate([np.zeros((4, 0)), *two], axis=1)
+        two = two[:, np.argsort(two[0])]
+        top[2] = two[0].astype(np.uint64), *two[1:]
         log_p = log_probabilities(all_keys, subtree(all_keys, n)[0], top) if len(all_keys) else np.zeros(0)
         return _answers([
             (block, shard, _bytes(log_p[np.searchsorted(all_keys, k)]),
@@ -305,10 +336,13 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         hashes = np.append(word_hashes(words), np.uint64(END_WORD))
         names = list(words) + [None]
         by_key, by_word = shard_of(keys, shards), np.sort(hashes) % np.uint64(shards)
+        ko, wo = np.argsort(by_key, kind="stable"), np.argsort(by_word, kind="stable")
+        ke = np.searchsorted(by_key[ko], np.arange(shards + 1))
+        we = np.searchsorted(by_word[wo], np.arange(shards + 1))
         log_p, times = np.zeros(len(keys)), np.zeros(len(hashes), np.int64)
         for s, p, t in zip(*(right.column(c).to_pylist() for c in ("from_shard", "log_p", "times"))):
-            log_p[by_key == s] = _array(p, "<f8")
-            times[by_word == s] = _array(t, "<i8")
+            log_p[ko[ke[s]:ke[s + 1]]] = _array(p, "<f8")
+            times[wo[we[s]:we[s + 1]]] = _array(t, "<i8")
         at = np.argsort(hashes, kind="stable")
         count = dict(zip([names[i] for i in at], times.tolist()))
         total, distinct = right.column("tokens")[0].as_py(), right.column("distinct_tokens")[0].as_py()
@@ -345,11 +379,14 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
     sent = blocks.groupBy("block").applyInArrow(
         gather, "shard int, of_block int, keys binary, counts binary, words binary, times binary"
     ).repartition(shards, "shard")
+    pairs = sent.groupBy("shard").applyInArrow(summit, "pairs int, of_shard int, sums binary").groupBy(
+        "pairs").applyInArrow(pair_sums, "to_shard int, node long, zeros double, ones double, below double, two binary")
     # depths 0 and 1 are 257 contexts of 255 nodes at most: summed, they are one row, sent to each shard
-    summits = sent.groupBy("shard").applyInArrow(summit, "node long, zeros double, ones double, below double")
-    top = summits.groupBy("node").agg(*[F.sum(c).alias(c) for c in TOP]).withColumn(
+    top = pairs.where("to_shard < 0").groupBy("node").agg(*[F.sum(c).alias(c) for c in TOP]).withColumn(
         "whole", F.lit("whole")).groupBy("whole").applyInArrow(join_summits, "top binary")
-    to_all = top.select("top", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("to_shard"))
+    to_all = top.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("to_shard"), "top",
+                        F.lit(None).cast("binary").alias("two"))
+    to_all = to_all.unionByName(pairs.where("to_shard >= 0").select("to_shard", F.lit(None).cast("binary").alias("top"), "two"))
     answers = sent.groupBy("shard").cogroup(to_all.groupBy("to_shard")).applyInArrow(
         answer, "to_block int, from_shard int, log_p binary, times binary, tokens long, distinct_tokens long")
     return blocks.groupBy("block").cogroup(answers.groupBy("to_block")).applyInArrow(

@@ -22,12 +22,14 @@ prefix of neighbours says how far their windows agree.
 4. Where splitters cut through one core's contexts, the windows that may equal
    one across the cut are exchanged by digest and resolved there.
 
-Ranges hold about as many distinct contexts each, whatever the keys, and every
-step keeps one block or range in memory.
+Ranges hold about as many distinct contexts each, whatever the keys; blocks and
+ranges grow in number with the text, and every step keeps one of them in memory.
 
 Defined cases: a null text is empty; texts below `width` bytes lose nothing;
-rows are ordered by (doc_id, text), null ids last, and repeated rows are
-documents of their own; an empty table gives an empty result.
+rows are ordered by (doc_id, hash of the text), null ids last, so that the rows of
+one id need not meet; repeated rows are documents of their own; a text longer than
+a block is a block of its own; further columns of any name stay out of the plan
+(with `text`, they are carried along); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,11 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
-from weir.llm.common import chunks, id_and_bytes, in_blocks, released, shuffle_partitions, sorted_block
+from weir.llm.common import body_bytes, chunks, id_and_bytes, in_blocks, released, shuffle_partitions, sorted_block
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 WIDTH, CORE = 100, 32
 BLOCK_BYTES = 8 << 20
+RANGE_BYTES = 16 << 20  # text per range of hashes; there are twice as many ranges of contexts
 SCAN_BYTES = 1 << 20  # texts are scanned for anchors in pieces of this many bytes
 SPLITTER_DOCS = 2000  # documents sampled for splitters; they only decide which task merges what
 MAX_SPLITTERS = 1 << 16
@@ -304,9 +307,11 @@ def _splitters(docs: DataFrame, ranges: int, width: int, core: int) -> list[byte
 
 
 def _ids(table) -> np.ndarray:
-    """Row ids in block order; a null id sorts last."""
-    ids, _, _ = sorted_block(table)
-    return np.array([2**63 - 1 if i is None else i for i in ids], np.int64)
+    """Row ids (a null id sorts last) and hashes of the texts in block order: rows
+    of (id, tie), the order of documents across blocks."""
+    ids, _, order = sorted_block(table)
+    return np.stack([np.array([2**63 - 1 if i is None else i for i in ids], np.int64),
+                     table.column("tie").to_numpy()[order]])
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -395,7 +400,7 @@ def spans_by_block(blocks: DataFrame, cuts: list[bytes], parts: int, width: int,
         for k, (i, j) in enumerate(zip(edges, edges[1:])):
             if j > i:
                 lcp, tails = front_code(keys[i:j].view(np.uint8).reshape(-1, row_bytes))
-                places = np.stack([ids[row[i:j]], row[i:j], p[i:j]], axis=1).astype("<i8")
+                places = np.stack([*ids[:, row[i:j]], row[i:j], p[i:j]], axis=1).astype("<i8")
                 out.append((k, block, lcp, _pack(np.frombuffer(tails, np.uint8)), _pack(places)))
         return _table(RUNS, out)
 
@@ -408,13 +413,13 @@ def spans_by_block(blocks: DataFrame, cuts: list[bytes], parts: int, width: int,
         lists = [front_decode(x, _unpack(t), row_bytes) for x, t in zip(
             table.column("prefixes").to_pylist(), table.column("tails").to_pylist())]
         block_of = np.array(table.column("of_block").to_pylist(), np.int64)
-        places = [np.frombuffer(_unpack(x), "<i8").reshape(-1, 3) for x in table.column("places").to_pylist()]
+        places = [np.frombuffer(_unpack(x), "<i8").reshape(-1, 4) for x in table.column("places").to_pylist()]
         run, index, lcp = merge_runs(lists)
         first_of = np.cumsum([0, *map(len, places)])[:-1]
-        ids, row, p = np.concatenate(places)[first_of[run] + index].T
+        ids, tie, row, p = np.concatenate(places)[first_of[run] + index].T
         block = block_of[run]
         text = np.empty(len(ids), np.int64)
-        text[np.lexsort((p, row, ids))] = np.arange(len(ids))  # place in text order
+        text[np.lexsort((p, row, block, tie, ids))] = np.arange(len(ids))  # place in text order
         fresh = lcp < row_bytes
         fresh[:1] = True
         group = np.cumsum(fresh) - 1
@@ -448,22 +453,22 @@ def spans_by_block(blocks: DataFrame, cuts: list[bytes], parts: int, width: int,
         for b in np.unique(block_all).tolist():
             m = block_all == b
             said.append((-1 - b, b, False, _triples(*intervals(row_all[m], start_all[m], end_all[m]))))
-        said += _doubtful(rows, doubt, one, block, ids, row, p, parts, width)
+        said += _doubtful(rows, doubt, one, block, (ids, tie, row), p, parts, width)
         return _table(SAID, said)
 
     def settle(key, table):
         """Windows whose equals may be in other ranges: all but the earliest go."""
         if key[0].as_py() < 0:
             return pa.table({"to_block": table.column("of_block"), "data": table.column("data")})
-        parts_of = [np.frombuffer(_unpack(x), "<i8").reshape(-1, 5) for x in table.column("data").to_pylist()]
+        parts_of = [np.frombuffer(_unpack(x), "<i8").reshape(-1, 6) for x in table.column("data").to_pylist()]
         block = np.repeat(np.array(table.column("of_block").to_pylist(), np.int64), [len(x) for x in parts_of])
         w = np.concatenate(parts_of)
-        at = np.lexsort((w[:, 4], w[:, 3], w[:, 2], w[:, 1], w[:, 0]))
+        at = np.lexsort((w[:, 5], w[:, 4], block, w[:, 3], w[:, 2], w[:, 1], w[:, 0]))
         w, block = w[at], block[at]
         again = np.zeros(len(w), bool)
         again[1:] = (w[1:, 0] == w[:-1, 0]) & (w[1:, 1] == w[:-1, 1])
         w, block = w[again], block[again]
-        out = [(b, _triples(*intervals(w[m, 3], w[m, 4], w[m, 4] + width)))
+        out = [(b, _triples(*intervals(w[m, 4], w[m, 5], w[m, 5] + width)))
                for b in np.unique(block).tolist() for m in (block == b,)]
         return pa.table({"to_block": pa.array([o[0] for o in out], pa.int32()),
                          "data": pa.array([o[1] for o in out], pa.binary())})
@@ -481,8 +486,8 @@ def spans_by_block(blocks: DataFrame, cuts: list[bytes], parts: int, width: int,
         lambda key, table: released(settle, key, table), "to_block int, data binary")
 
 
-def _doubtful(rows, doubt, one, block, ids, row, p, parts, width):
-    """Messages with the windows of `doubt`: digest (two numbers), id, row, start."""
+def _doubtful(rows, doubt, one, block, at_row, p, parts, width):
+    """Messages with the windows of `doubt`: digest (two numbers), id, tie, row, start."""
     import xxhash
 
     got = {}
@@ -495,7 +500,7 @@ def _doubtful(rows, doubt, one, block, ids, row, p, parts, width):
         d = b"".join([digest(strings[k:k + width]) for k in range(0, len(strings), width)])
         i = one[held]
         record = np.concatenate([np.frombuffer(d, "<i8").reshape(-1, 2),
-                                 np.stack([ids[i], row[i], p[i] - o], axis=1)], axis=1)
+                                 np.stack([*(x[i] for x in at_row), p[i] - o], axis=1)], axis=1)
         to = (record[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int64)
         where = to << 32 | block[i]
         at = np.argsort(where, kind="stable")
@@ -518,8 +523,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, core: int = CORE, text:
                            F.col("text").isNull().alias("is_null"))
     else:
         body = id_and_bytes(docs)
-    blocks = in_blocks(body, BLOCK_BYTES)
-    parts = shuffle_partitions(spark)
+    total = body_bytes(body)
+    blocks = in_blocks(body, total, BLOCK_BYTES)
+    parts = max(shuffle_partitions(spark), total // RANGE_BYTES)
     cuts = _splitters(id_and_bytes(docs), max(32, 2 * parts), width, core)
     spans = spans_by_block(blocks, cuts, parts, width, core)
 
