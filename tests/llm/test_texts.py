@@ -186,6 +186,27 @@ def test_long_texts_are_cut_at_the_production_capacity(spark):
     assert mine == [(i, 2048 * i, min(2048, n - 2048 * i)) for i in range(math.ceil(n / 2048))] and n > 3 * 2048
 
 
+def test_sequences_hold_the_ids_of_the_library(spark, texts):
+    df, rows = _documents(spark, texts[:60] + ODD + [None, "", texts[0] * 30])
+    got = packing.pack(df, PATH, capacity=256, ids=True).collect()
+    sequences = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        held = sequences.setdefault(r.sequence_id, [])
+        assert r.offset == len(held) and r.length == len(r.ids)
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        held += r.ids
+    assert max(map(len, sequences.values())) <= 256
+    library = Tokenizer.from_file(PATH)
+    library.no_truncation()
+    library.no_padding()
+    want = []
+    for d, t in rows:
+        ids = library.encode(t or "", add_special_tokens=False).ids + [0]
+        want += [(d, k // 256, tuple(ids[k:k + 256])) for k in range(0, len(ids), 256)]
+    read = [(r.doc_id, r.piece, tuple(sequences[r.sequence_id][r.offset:r.offset + r.length])) for r in got]
+    assert sorted(read, key=repr) == sorted(want, key=repr)
+
+
 def test_language_held_out_accuracy(spark):
     df = spark.read.parquet(SF_SMALL.replace("0.001", "0.01") + "/documents.parquet")
     out = langid.identify(df).join(df.select("doc_id", "lang"), "doc_id").collect()

@@ -213,9 +213,12 @@ def slot_table(plan: Plan) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece: a document's ids and
-    the end id, cut only where they exceed `capacity`."""
+PLACES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+
+
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, ids: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 (and with `ids` the ids themselves) of
+    every piece: a document's ids and the end id, cut only where they exceed `capacity`."""
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file
     end = np.array([end_id], "<u4").tobytes()
@@ -223,29 +226,34 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: i
     def cut(batches):
         encoder = worker_encoder(tokenizer)
         for b in batches:
-            out = []
+            out, held = [], []
             for doc_id, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = encoder.encode(body.decode("utf-8", "replace")) + end
-                for k in range(0, len(ids), 4 * capacity):
-                    part = ids[k:k + 4 * capacity]
+                whole = encoder.encode(body.decode("utf-8", "replace")) + end
+                if ids:
+                    held.append(whole)
+                for k in range(0, len(whole), 4 * capacity):
+                    part = whole[k:k + 4 * capacity]
                     out.append((doc_id, k // (4 * capacity), k // 4, len(part) // 4, zlib.crc32(part)))
             columns = list(zip(*out)) or [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if ids:  # a document's pieces follow one another, so its ids need no cut
+                ends = np.cumsum([0, *columns[3]], dtype=np.int32)
+                arrays.append(pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(held), "<i4")))
+            yield pa.RecordBatch.from_arrays(arrays, names=names + ["ids"] * ids)
         give_back()
 
-    return id_and_bytes(docs).mapInArrow(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return id_and_bytes(docs).mapInArrow(cut, PLACES + ", ids array<int>" * ids)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    """Every piece with its `sequence_id` and `offset`."""
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, ids: bool = False) -> DataFrame:
+    """Every piece with its `sequence_id` and `offset`, and with `ids` its ids: a
+    sequence is its pieces' ids joined by offset, with no text tokenized again."""
     spark = docs.sparkSession
     path = scratch_path(spark, "pieces")
-    # the histogram and the placement both read the pieces: written once, without their ids
-    pieces(docs, tokenizer_path, capacity, end_id).write.mode("overwrite").parquet(path)
+    # the histogram and the placement both read the pieces: written once; only the placement reads their ids
+    pieces(docs, tokenizer_path, capacity, end_id, ids).write.mode("overwrite").parquet(path)
     cut = spark.read.parquet(path)
     # a length's pieces are ranked in parts, so that a frequent length is many groups
     parts = max(1, math.ceil((cut.count() or 1) / 20_000))
@@ -259,7 +267,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = cut.withColumn("rank", F.row_number().over(within) - 1).join(
         before, (F.col("length") == F.col("l")) & (F.col("part") == F.col("p"))
-    ).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
+    ).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"),
+             *["ids"] * ids)
     size_of, rank_of = slots[:, 0], slots[:, 1]
     start_of = {int(s): i for i, s in reversed(list(enumerate(size_of)))}
 
@@ -276,8 +285,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
             k = rank - row[:, 1]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:5], pa.array(row[:, 3] + k // row[:, 2]),
-                 pa.array(row[:, 4] + k % row[:, 2] * length)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+                 pa.array(row[:, 4] + k % row[:, 2] * length), *b.columns[6:]],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] + ["ids"] * ids)
 
-    return ranked.mapInArrow(
-        place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(place, PLACES + ", sequence_id long, offset long" + ", ids array<int>" * ids)
