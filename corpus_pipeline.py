@@ -62,10 +62,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece with its sequence and offset; a null or empty text is one
+    """One row per piece with its sequence, offset and ids; a null or empty text is one
     piece of the end id alone, a long one is cut into pieces of 2048 ids."""
     apply_result_conf(spark)
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER), capacity=2048)
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), capacity=2048, ids=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
