@@ -80,3 +80,21 @@ def test_strict_documents_reader(spark, tmp):
     except Exception as ex:  # noqa: BLE001
         raised = "required field" in str(ex)
     assert raised
+
+
+def test_documents_are_stored_compressed(spark, tmp):
+    import glob
+
+    from weir.plans import orders
+    from weir.sources.files import read_documents_strict
+
+    sf = f"{tmp}/orders_sf"
+    spark.sql("SELECT 1L l_orderkey, 3L l_partkey, 2D l_quantity, 10.5D l_extendedprice, "
+              "TIMESTAMP_NTZ '2024-01-05 00:00:00' l_shipdate").write.parquet(f"{sf}/lineitem.parquet")
+    spark.sql("SELECT 1L o_orderkey, 7L o_custkey, 'F' o_orderstatus, "
+              "TIMESTAMP_NTZ '2024-01-05 00:00:00' o_orderdate").write.parquet(f"{sf}/orders.parquet")
+    spark.sql("SELECT 7L c_custkey, 'Customer#7' c_name, 1 c_nationkey").write.parquet(f"{sf}/customer.parquet")
+    orders._documents(spark, sf, f"{tmp}/docs")
+    assert glob.glob(f"{tmp}/docs/*.json.gz") and not glob.glob(f"{tmp}/docs/*.json")
+    read = read_documents_strict(spark, f"{tmp}/docs", schemas.ORDER, (*schemas.ORDER_CSV_FIELDS, "lines")).first()
+    assert (read.order_id, read.status, len(read.lines)) == (1, "paid", 1)

@@ -27,13 +27,14 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Order documents with their lines, as JSON."""
+    """Order documents with their lines, as gzipped JSON (a file is as small
+    as a write task, so its not being splittable costs no parallelism)."""
     docs = O.order_documents(D.order_headers(spark, sf_dir), _lines(spark, sf_dir))
     docs.select(
         "order_id", "account_id", "company", "contact", "status", "currency", "lines",
         *[F.col(c).cast("double").alias(c) for c in ("subtotal", "tax", "total")],
         "created_at", "source",
-    ).write.mode("overwrite").json(folder)
+    ).write.mode("overwrite").option("compression", "gzip").json(folder)
 
 
 def order_totals_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
