@@ -115,3 +115,8 @@ def test_observing_leaves_the_session_fit_for_learners(spark, table):
     rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(
         spark.range(40).selectExpr("cast(id as double) x", "cast(id % 2 as double) label"))
     RandomForestClassifier(numTrees=2, seed=1).fit(rows)
+
+
+def test_buckets_grow_with_the_rows():
+    assert SPEC.for_rows(0) == SPEC and SPEC.for_rows(4 * T.BUCKET_ROWS) == SPEC
+    assert SPEC.for_rows(4 * T.BUCKET_ROWS + 1).buckets == 5

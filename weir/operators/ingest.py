@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.functions.columns import empty_if_null, false_if_null
-from weir.operators.joins import broadcast_if_bounded
+from weir.operators.joins import DEFAULT_MAX_BYTES, broadcast_if_bounded, measure_bounded
 from weir.operators.sinks import KeyBounds, key_measures, manifest_append, rows_to_insert
 from weir.schemas import FUEL_TARGET_KEY
 from weir.session import checkpoint_root
@@ -114,6 +114,17 @@ def file_step(incoming: DataFrame, manifest: DataFrame) -> FileStep:
                     loaded.select("source_file", "rows_loaded"))
 
 
+def accepted(step: FileStep) -> DataFrame:
+    """The rows of the files that are not rejected whole. The names of the
+    rejected ones are broadcast, so that no row moves for the few there are. They
+    are stored, so measuring them is no scan, whatever their plan is estimated at."""
+    refused = step.rejected.select("source_file")
+    size = measure_bounded(refused, hopeless_bytes=1 << 63)
+    if size is None or size.bytes > DEFAULT_MAX_BYTES:
+        return step.fresh.join(refused, "source_file", "left_anti")
+    return step.fresh.join(F.broadcast(refused), "source_file", "left_anti") if size.rows else step.fresh
+
+
 @dataclass
 class IngestStep:
     inserts: DataFrame        # rows to append to the target
@@ -128,12 +139,9 @@ def ingest_step(incoming: DataFrame, target: DataFrame, manifest: DataFrame) ->
     size and bounds of the keys come from the files' stored counts."""
     step = file_step(incoming, manifest)
     total = step.files.agg(
-        F.count_if(F.col("bad_rows") > 0).alias("refused"), F.sum("key_rows").alias("rows"),
-        F.sum("key_bytes").alias("bytes"), F.min("key_low").alias("low"), F.max("key_high").alias("high")).first()
-    good = step.fresh
-    if total["refused"]:
-        refused, _ = broadcast_if_bounded(step.rejected.select("source_file"))
-        good = good.join(refused, "source_file", "left_anti")
+        F.sum("key_rows").alias("rows"), F.sum("key_bytes").alias("bytes"),
+        F.min("key_low").alias("low"), F.max("key_high").alias("high")).first()
+    good = accepted(step)
     bounds = KeyBounds(total["rows"] or 0, total["bytes"] or 0, total["low"], total["high"])
     inserts = rows_to_insert(flatten_fuel(good, with_load_time=False), target, FUEL_TARGET_KEY, FIRST_WINS_ORDER, bounds)
     return IngestStep(inserts.withColumn("loaded_at", F.current_timestamp()), step.manifest_new, step.rejected, step.attempted)

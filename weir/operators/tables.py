@@ -14,8 +14,9 @@ carries the load's key bounds, and row groups of other key ranges are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ from pyspark.sql import functions as F
 from weir.operators.sinks import observed, rows_to_insert
 
 
+BUCKET_ROWS = 1_000_000  # rows of a bucket that a writing task sorts in its memory
+
+
 @dataclass(frozen=True)
 class TableColumn:
     name: str
@@ -42,6 +46,11 @@ class TableSpec:
     key: str
     buckets: int = 64  # so that a bucket's rows fit a task at the size the table is to reach
 
+    def for_rows(self, rows: int) -> TableSpec:
+        """This table declared for that many rows: more buckets where they would
+        hold more than `BUCKET_ROWS` each, never fewer than it names."""
+        return replace(self, buckets=max(self.buckets, math.ceil(rows / BUCKET_ROWS)))
+
     def given(self, df: DataFrame) -> list[str]:
         """The declared columns that `df` brings, in table order. A required
         column that is neither brought nor filled in is an error."""

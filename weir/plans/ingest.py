@@ -38,7 +38,7 @@ class Stored:
 
 def write_landing(rows: DataFrame, landing: str) -> None:
     """The export files on disk, one `source_file=<name>/` folder per export
-    (Spark cannot name its output files). Written without a shuffle: each
+    (Spark cannot name its output files). Written without a shuffle or sort: each
     task adds a part file to the few folders it has rows for; the folder,
     not the part file, is the unit the manifest records."""
     write_partitioned(rows, landing, "source_file", few_values=True)
@@ -83,8 +83,7 @@ def _file_step(spark: SparkSession, sf_dir: str) -> tuple[Stored, I.FileStep]:
 def accepted_rows(spark: SparkSession, s: Stored) -> DataFrame:
     """The new files' flattened rows, without files that are rejected whole."""
     step = I.file_step(_new_rows(spark, s), s.manifest)
-    good = step.fresh.join(step.attempted.select("source_file"), "source_file", "left_semi")
-    return I.flatten_fuel(good, with_load_time=False)
+    return I.flatten_fuel(I.accepted(step), with_load_time=False)
 
 
 def _run(spark: SparkSession, sf_dir: str) -> tuple[Stored, I.IngestStep]:

@@ -38,11 +38,12 @@ def _loaded(spark: SparkSession, sf_dir: str, broadcast_max_bytes: int | None) -
     """The earlier run's rows, then the new files' rows whose key is absent, in a
     freshly declared table; read back from its folder."""
     s = stored_state(spark, sf_dir)
+    spec = FUEL_TABLE.for_rows(s.rows.count())
     table, location = f"fuel_{uuid.uuid4().hex}", f"{scratch_path(spark, 'fuel-table')}/rows"
-    T.declare(spark, table, FUEL_TABLE, location)
-    T.insert(s.target.drop("loaded_at"), table, FUEL_TABLE)
-    T.declare(spark, table, FUEL_TABLE, location)  # there already: nothing changes
-    T.load_absent(accepted_rows(spark, s), table, FUEL_TABLE, I.FIRST_WINS_ORDER, broadcast_max_bytes)
+    T.declare(spark, table, spec, location)
+    T.insert(s.target.drop("loaded_at"), table, spec)
+    T.declare(spark, table, spec, location)  # there already: nothing changes
+    T.load_absent(accepted_rows(spark, s), table, spec, I.FIRST_WINS_ORDER, broadcast_max_bytes)
     spark.sql(f"DROP TABLE {table}")  # the folder stays: the table is external
     return spark.read.schema(FUEL_TARGET).parquet(location)
 
