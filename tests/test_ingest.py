@@ -195,3 +195,30 @@ def test_export_stream_by_folder_reads_ns(spark, tmp):
 
     schema = export_stream(spark, tmp, partitioned_by_file=True).schema
     assert schema["visited_at"].dataType.simpleString() == "timestamp" and "source_file" in schema.names
+
+
+def test_accepted_rows_are_not_moved_to_leave_out_a_rejected_file(spark):
+    fresh = _df(spark, [_row("b", src="bad.parquet"), _row("c", station=None, src="bad.parquet"),
+                        _row("d", src="good.parquet")])
+    step = I.file_step(fresh, _empty_manifest(spark))
+    good = I.accepted(I.FileStep(fresh, step.files, step.manifest_new, step.rejected, step.attempted))
+    assert [r.transaction_id for r in good.collect()] == ["d"]
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_the_landing_is_written_without_a_sort(spark, tmp, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from weir.operators.sinks import OPEN_WRITERS, write_partitioned
+
+    name, seen, plain = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a: (seen.append(spark.conf.get(name, None)), plain(w, *a))[1])
+    before = spark.conf.get(name, None)
+    # more folders than a task keeps open: the rows of the others are written all the same
+    write_partitioned(spark.range(400).selectExpr("id", "id % 20 as f").coalesce(1), f"{tmp}/few", "f", few_values=True)
+    assert seen == [str(OPEN_WRITERS)] and spark.conf.get(name, None) == before
+    back = spark.read.parquet(f"{tmp}/few")
+    assert sorted((r.id, r.f) for r in back.collect()) == [(i, i % 20) for i in range(400)]
+    write_partitioned(spark.range(4).selectExpr("id", "id % 2 as f"), f"{tmp}/many", "f")
+    assert seen[1] == before

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,9 +66,10 @@ def write_partitioned(
     merged) instead of every task writing a file into every folder.
     `one_file_per_partition` hash-partitions by the column instead: one
     task and one file per value (meant for small results such as the KPI).
-    `few_values` writes without any shuffle: for a column with a handful of
-    values, every task writing one file into each folder it holds is both
-    the cheapest and the most parallel layout.
+    `few_values` writes without any shuffle or sort: for a column with a
+    handful of values, every task writing one file into each folder it holds
+    is both the cheapest and the most parallel layout. A task keeps up to
+    `OPEN_WRITERS` files open; only the rows of further values are sorted.
     """
     if one_file_per_partition:
         df = df.repartition(partition_col)
@@ -76,7 +78,26 @@ def write_partitioned(
     w = df.write.partitionBy(partition_col).mode(mode)
     if dynamic_overwrite:
         w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+    with _open_writers(df.sparkSession, OPEN_WRITERS if few_values else None):
+        w.parquet(path)
+
+
+OPEN_WRITERS = 8  # files a task of a `few_values` write keeps open
+
+
+@contextmanager
+def _open_writers(spark: SparkSession, files: int | None):
+    """Lets a partitioned write keep that many files open per task in place of
+    sorting the task's rows by folder; the session's own setting comes back."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    if files is not None:
+        spark.conf.set(name, str(files))
+    try:
+        yield
+    finally:
+        if files is not None:
+            spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 # K4 ------------------------------------------------------------------------
