@@ -102,3 +102,18 @@ def test_beyond_64_bits_and_empty(spark):
     assert {tuple(r) for r in got} == _expected([(i, [int(c // 1) for c in v], lab) for i, v, lab in rows])
     assert covertree.hard_negatives(df.limit(0), F.col("vec_id") == 0, F.col("label")).collect() == []
     assert covertree.hard_negatives(df, F.col("vec_id") == 9, F.col("label")).collect() == []
+
+
+def test_a_search_that_cannot_prune_scores_many_rows_at_once():
+    rng = np.random.default_rng(3)
+    x = rng.integers(-300, 300, (1000, 32)).astype(float)
+    tree, ids, calls = covertree.CoverTree(x), np.arange(1000), []
+    plain = tree.scores
+    tree.scores = lambda q, rows: (calls.append(len(rows)), plain(q, rows))[1]
+    exact = (x @ x[0]).astype(int)
+    low, high = np.array([-10**6, 0], object), np.array([10**9, 40_000], object)
+    window, found, score, _ = tree.search(x[0], 3, low, high, ids, ids != 0)
+    for w, (a, b) in enumerate(zip(low, high)):
+        inside = [i for i in range(1, 1000) if a <= exact[i] <= b]
+        assert sorted(found[window == w]) == sorted(sorted(inside, key=lambda i: (-exact[i], i))[:3])
+    assert len(calls) < 100

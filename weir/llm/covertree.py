@@ -8,7 +8,7 @@ node keeps the distance to its farthest point as covering radius. For a query q
 (lifted by a zero) the inner product of any point of a node lies within
 |q| * radius of the one with its centre.
 
-A search descends best bound first. Nodes wholly outside the score windows asked
+A search descends best bound first, one node and then ever more at a time. Nodes wholly outside the score windows asked
 for, or below what is already found, are skipped; points are verified by their
 exact integer score. First each anchor finds its positives: the best rows of its
 own label, in blocks of that label. Each positive gives a window of scores, and a
@@ -39,6 +39,7 @@ from weir.session import scratch_path
 BLOCK_ROWS = 8_192
 LABEL_BUCKETS = 64
 LEAF = 8  # points that are verified at once instead of being split
+WAVE = 64  # nodes a search takes from its queue at once, at most
 LEVEL = 2.0  # ratio of the radii of two levels
 SLACK = 1e-7  # of |q| and the largest norm: covers the rounding of radii and bounds
 LONG = 2**63 - 1
@@ -145,29 +146,35 @@ class CoverTree:
             verify(np.arange(len(self.x)))
         elif len(self.centre):
             queue = [(-math.inf, 0, math.inf, -math.inf)]
+        cap = max((float(b) for a, b in windows if a <= b), default=0.0)  # a window's end caps how good a node can be
+        wave = 1
         while queue:
-            _, node, most, least = heapq.heappop(queue)
-            if not may_help(most, least):
+            nodes: list[int] = []
+            while queue and len(nodes) < wave:
+                _, node, most, least = heapq.heappop(queue)
+                if may_help(most, least):
+                    nodes.append(node)
+            wave = min(2 * wave, WAVE)  # few nodes while they may still settle the search, then many at once
+            leaves = [self.points[n] for n in nodes if self.points[n] is not None]
+            if leaves:
+                verify(np.concatenate(leaves))
+            below = [np.arange(*self.children[n]) for n in nodes if self.points[n] is None]
+            if not below:
                 continue
-            if self.points[node] is not None:
-                verify(self.points[node])
-                continue
-            a, b = self.children[node]
-            middle = self.x[self.centre_of[a:b]] @ q
-            room = reach * self.radius_of[a:b] + spare
+            child = np.concatenate(below)
+            middle = self.x[self.centre_of[child]] @ q
+            room = reach * self.radius_of[child] + spare
             most, least = middle + room, middle - room
-            wanted = np.zeros(b - a, bool)
+            wanted = np.zeros(len(child), bool)
             for (lo, hi), h in zip(windows, best):
                 bar = max(lo, h[0][0]) if len(h) == k else lo
                 wanted |= (most >= bar) & (least <= hi)
-            single = self.single[a:b]
-            alone = np.nonzero(wanted & single)[0]
+            single = self.single[child]
+            alone = child[wanted & single]
             if len(alone):  # single points need no place in the queue
-                verify(self.centre_of[a + alone])
+                verify(self.centre_of[alone])
             for i in np.nonzero(wanted & ~single)[0]:
-                # a window's end caps how good a node can be
-                rank = min(float(most[i]), max((float(hi) for (lo, hi) in windows if lo <= hi), default=0.0))
-                heapq.heappush(queue, (-rank, int(a + i), float(most[i]), float(least[i])))
+                heapq.heappush(queue, (-min(float(most[i]), cap), int(child[i]), float(most[i]), float(least[i])))
         found = [(w, -i, s) for w, h in enumerate(best) for s, i in h]
         return (*(np.array(c, np.int64) for c in (zip(*found) if found else ((), (), ()))), verified)
 
