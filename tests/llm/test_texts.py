@@ -348,3 +348,19 @@ def test_nothing_to_train_on(spark):
     df = spark.createDataFrame([(i, "ab") for i in ids], "doc_id long, text string")
     assert {(r.train_tokens, r.n_known, round(r.score, 6)) for r in ctw.score(df).collect()} == {
         (0, 0, round(24 * math.log10(0.5), 6))}
+
+
+def test_a_worker_keeps_one_operators_things_and_lets_go_of_them():
+    import weakref
+
+    from weir.llm.common import forget, kept
+
+    class Thing:
+        pass
+
+    first = weakref.ref(kept("a", Thing))
+    assert kept("a", Thing) is first()
+    second = weakref.ref(kept("b", Thing))
+    assert first() is None and second() is not None
+    forget()
+    assert second() is None

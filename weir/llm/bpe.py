@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from weir.llm.common import id_and_bytes
+from weir.llm.common import id_and_bytes, kept
 from weir.session import scratch_path
 
 FREQUENT = 2e-6  # share of a task's runs from which a run is frequent: at most 500,000 of a task
@@ -336,17 +336,13 @@ class Encoder:
         return " ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-_ENCODERS: dict = {}
-
-
 def worker_encoder(broadcast_json, lexicon_name: str | None = None) -> Encoder:
     """This Python worker's encoder; kept between tasks."""
-    key = lexicon_name or "plain"
-    if key not in _ENCODERS:
-        lexicon = Lexicon.mapped(SparkFiles.get(lexicon_name)) if lexicon_name else None
-        _ENCODERS.clear()  # one at a time: a worker's memory holds one set of words
-        _ENCODERS[key] = Encoder(broadcast_json.value, lexicon)
-    return _ENCODERS[key]
+
+    def make() -> Encoder:
+        return Encoder(broadcast_json.value, Lexicon.mapped(SparkFiles.get(lexicon_name)) if lexicon_name else None)
+
+    return kept(("encoder", lexicon_name), make)
 
 
 # ---- the operator -----------------------------------------------------------

@@ -23,6 +23,26 @@ def give_back() -> None:
         pass
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make):
+    """What this Python worker keeps between tasks under `key`, made when it is
+    asked for first. A worker keeps one thing at a time."""
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Lets go of what another operator's tasks left in this worker, so that it
+    does not stand beside the memory of this one's."""
+    if _KEPT:
+        _KEPT.clear()
+        give_back()
+
+
 def released(step, *args):
     """One group's `step`, its memory given back once its locals are gone."""
     try:

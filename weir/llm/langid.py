@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from weir.llm.common import give_back, id_fold
+from weir.llm.common import forget, give_back, id_fold
 
 ORDERS = (3, 4)
 SHARE = 1e-5  # so a language has at most 100,000 n-grams of any corpus
@@ -135,6 +135,7 @@ def learn(docs: DataFrame, learns: Column, share: float = SHARE) -> BitmaskFilte
     def count(batches):
         import regex
 
+        forget()
         letters, held = regex.compile(r"\p{L}+").findall, {}
 
         def flush():
@@ -182,6 +183,7 @@ def predict(docs: DataFrame, bitmask: BitmaskFilter, columns: list[Column]) -> D
     frame = docs.select(F.col("text"), *[c.alias(f"c{i}") for i, c in enumerate(columns)])
 
     def run(batches):
+        forget()
         counting = Counting(BitmaskFilter(*sent.value))
         for b in batches:
             found = [counting.predict(t) for t in b.column(0).to_pylist()]

@@ -213,6 +213,7 @@ def slot_table(plan: Plan) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
+SLICE_ROWS = 1_000  # documents whose pieces are made at once
 PLACES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -225,7 +226,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: i
 
     def cut(batches):
         encoder = worker_encoder(tokenizer)
-        for b in batches:
+        # in slices: a slice's ids stand in memory several times until they are sent
+        for b in (x.slice(i, SLICE_ROWS) for x in batches for i in range(0, max(1, x.num_rows), SLICE_ROWS)):
             out, held = [], []
             for doc_id, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 whole = encoder.encode(body.decode("utf-8", "replace")) + end
